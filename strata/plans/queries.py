@@ -16,9 +16,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, TimestampType
 
 from strata.functions import clean as C
-from strata.operators import gold, silver
+from strata.operators import audit, gold, silver
+from strata.operators.dedup import latest_by, recency
 from strata.plans import oracle as O
 from strata.plans.feeds import feed
+from strata.plans.feeds import read_table as feed_table
+from strata.session import scratch_path
+from strata.sinks.writers import export_csv
+from strata.sources.contracts import CONTRACTS, all_text, conform
+from strata.sources.landing import ingest_audit, ingest_entity
+from strata.sources.tables import read_table
+from strata.streaming.incremental import drain, start_incremental_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -166,3 +174,258 @@ def q_silver_shipments(spark, sf):
                   final=f"SELECT {O.as_double('shipping_cost')} FROM ss"))
 def q_silver_shipments_multi_format(spark, sf):
     return shipments_silver(spark, sf, ts_formats=(None, C.DMY_MINUTES))
+
+
+# --- column builders -------------------------------------------------------------------------------
+
+def _feed_sql(name: str, select: str) -> str:
+    return O.with_(*O.feeds(name), final=f"SELECT {select} FROM feed_{name}")
+
+
+@register("parse_decimal", _feed_sql(
+    "order_items",
+    "order_id, product_id, ingest_date, quantity AS quantity_raw, unit_price AS unit_price_raw, "
+    "discount_amount AS discount_raw, "
+    f"CAST({O.parse_decimal('quantity')} AS DOUBLE) AS quantity, "
+    f"CAST({O.parse_decimal('unit_price')} AS DOUBLE) AS unit_price, "
+    f"CAST({O.parse_decimal('discount_amount')} AS DOUBLE) AS discount_amount"))
+def q_parse_decimal(spark, sf):
+    return feed(spark, sf, "order_items").select(
+        "order_id", "product_id", "ingest_date",
+        F.col("quantity").alias("quantity_raw"), F.col("unit_price").alias("unit_price_raw"),
+        F.col("discount_amount").alias("discount_raw"),
+        C.parse_decimal("quantity").alias("quantity"), C.parse_decimal("unit_price").alias("unit_price"),
+        C.parse_decimal("discount_amount").alias("discount_amount"))
+
+
+@register("parse_timestamp_multi", _feed_sql(
+    "orders",
+    "order_id, ingest_date, order_ts AS order_ts_raw, "
+    f"{O.parse_ts('order_ts')} AS order_ts_iso, {O.parse_ts('order_ts', dmy=True)} AS order_ts_any"))
+def q_parse_timestamp_multi(spark, sf):
+    return feed(spark, sf, "orders").select(
+        "order_id", "ingest_date", F.col("order_ts").alias("order_ts_raw"),
+        C.parse_ts("order_ts").alias("order_ts_iso"),
+        C.parse_ts("order_ts", (None, C.DMY_MINUTES)).alias("order_ts_any"))
+
+
+@register("null_sentinel", _feed_sql(
+    "shipments",
+    "order_id, ingest_date, delivered_ts AS delivered_raw, nullif(delivered_ts, 'N/A') AS delivered_text, "
+    f"{O.parse_ts(O.na('delivered_ts'), dmy=True)} AS delivered_ts"))
+def q_null_sentinel(spark, sf):
+    return feed(spark, sf, "shipments").select(
+        "order_id", "ingest_date", F.col("delivered_ts").alias("delivered_raw"),
+        C.null_if("delivered_ts", "N/A").alias("delivered_text"),
+        C.parse_ts(C.null_if("delivered_ts", "N/A"), (None, C.DMY_MINUTES)).alias("delivered_ts"))
+
+
+@register("text_normalize", _feed_sql(
+    "customers",
+    "customer_id, ingest_date, city AS city_raw, "
+    f"translate(city, '{C.ACCENTED}', '{C.UNACCENTED}') AS city_plain, {O.title_clean('city')} AS city_title, "
+    f"{O.title_clean('city', False)} AS city_title_accented, upper(trim(state)) AS state_code"))
+def q_text_normalize(spark, sf):
+    return feed(spark, sf, "customers").select(
+        "customer_id", "ingest_date", F.col("city").alias("city_raw"),
+        C.strip_accents("city").alias("city_plain"), C.title_clean("city").alias("city_title"),
+        C.title_clean("city", accents=False).alias("city_title_accented"), C.upper_trim("state").alias("state_code"))
+
+
+@register("default_blank", _feed_sql(
+    "customers",
+    "customer_id, ingest_date, "
+    f"CASE WHEN {O.blank('state')} THEN 'NA' ELSE state END AS state_or_na, "
+    "CASE WHEN city IS NULL THEN 'Unknown' ELSE city END AS city_or_unknown, "
+    f"CASE WHEN {O.blank('city')} THEN 'Unknown' ELSE {O.title_clean('city')} END AS city_clean"))
+def q_default_blank(spark, sf):
+    return feed(spark, sf, "customers").select(
+        "customer_id", "ingest_date",
+        C.default_if_blank("state", "NA").alias("state_or_na"),
+        C.default_if_null("city", "Unknown").alias("city_or_unknown"),
+        C.default_if_blank("city", "Unknown", then=C.title_clean).alias("city_clean"))
+
+
+@register("negative_rules", O.with_(
+    ("a", "SELECT c_custkey, CAST(c_acctbal AS DECIMAL(12, 2)) AS acct FROM customer"),
+    final="SELECT c_custkey, CAST(acct AS DOUBLE) AS acct, "
+          "CAST(CASE WHEN acct < 0 THEN NULL ELSE acct END AS DOUBLE) AS acct_nonneg, "
+          "CAST(CASE WHEN acct < 0 THEN 0 ELSE acct END AS DOUBLE) AS acct_floor0, "
+          "CAST(coalesce(CASE WHEN acct < 0 THEN NULL ELSE acct END, 0) AS DOUBLE) AS acct_nonneg_or_zero "
+          "FROM a"))
+def q_negative_rules(spark, sf):
+    zero = C.money_zero(DecimalType(12, 2))
+    acct = F.col("c_acctbal").cast(DecimalType(12, 2))
+    return feed_table(spark, sf, "customer").select(
+        "c_custkey", acct.alias("acct"), C.null_if_negative(acct).alias("acct_nonneg"),
+        C.zero_if_negative(acct, zero).alias("acct_floor0"),
+        C.zero_if_null(C.null_if_negative(acct), zero).alias("acct_nonneg_or_zero"))
+
+
+@register("whole_units", _feed_sql(
+    "order_items",
+    "order_id, product_id, ingest_date, quantity AS quantity_raw, "
+    f"TRY_CAST(floor({O.parse_decimal('quantity')}) AS INTEGER) AS units"))
+def q_whole_units(spark, sf):
+    return feed(spark, sf, "order_items").select(
+        "order_id", "product_id", "ingest_date", F.col("quantity").alias("quantity_raw"),
+        C.whole_units(C.parse_decimal("quantity")).alias("units"))
+
+
+@register("timestamp_fallback", _feed_sql(
+    "orders",
+    "order_id, ingest_date, order_ts AS order_ts_raw, "
+    f"coalesce({O.parse_ts('order_ts')}, CAST(ingest_date AS TIMESTAMP)) AS order_ts"))
+def q_timestamp_fallback(spark, sf):
+    return feed(spark, sf, "orders").select(
+        "order_id", "ingest_date", F.col("order_ts").alias("order_ts_raw"),
+        C.ts_or_date(C.parse_ts("order_ts"), "ingest_date").alias("order_ts"))
+
+
+@register("created_fallback", _feed_sql(
+    "customers",
+    f"customer_id, ingest_date, coalesce({O.parse_ts('created_ts')}, ingestion_ts) AS created_ts"))
+def q_created_fallback(spark, sf):
+    return feed(spark, sf, "customers").select(
+        "customer_id", "ingest_date", C.ts_or_ts(C.parse_ts("created_ts"), "ingestion_ts").alias("created_ts"))
+
+
+# --- de-duplication --------------------------------------------------------------------------------
+
+@register("latest_per_key", O.with_(("e", O.newest(
+    "events", "user_id",
+    f"ts DESC NULLS LAST, {O.tie('event_id', 'ts', 'event_type', 'value', 'props')}")), final="SELECT * FROM e"))
+def q_latest_per_key(spark, sf):
+    return latest_by(feed_table(spark, sf, "events"), ["user_id"], recency("ts"))
+
+
+_LI_REST = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+            "l_linestatus", "l_shipdate")
+
+
+@register("latest_per_composite_key", O.with_(("l", O.newest(
+    "lineitem", "l_orderkey, l_linenumber", f"l_shipdate DESC NULLS LAST, {O.tie(*_LI_REST)}")),
+    final="SELECT * FROM l"))
+def q_latest_per_composite_key(spark, sf):
+    return latest_by(feed_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], recency("l_shipdate"))
+
+
+# --- quality and audits ----------------------------------------------------------------------------
+
+_ORDER_FLAGS = audit.SILVER_FLAGS["orders"]
+
+
+@register("order_quality_flags", O.with_(
+    *O.feeds("orders"), *O.silver_orders_ctes("feed_orders"),
+    final=f"SELECT {', '.join(_ORDER_FLAGS)}, count(*) AS rows FROM so GROUP BY ALL"))
+def q_order_quality_flags(spark, sf):
+    return audit.flag_profile(orders_silver(spark, sf), _ORDER_FLAGS)
+
+
+def _summary_sql() -> str:
+    rels = {"customers": "sc", "products": "sp", "orders": "so", "order_items": "si", "shipments": "ss"}
+    parts = []
+    for table, rel in rels.items():
+        parts.append(f"SELECT '{table}' AS table_name, 'rows' AS measure, count(*) AS value FROM {rel}")
+        for flag in audit.SILVER_FLAGS[table]:
+            parts.append(f"SELECT '{table}', '{flag}', count_if({flag}) FROM {rel}")
+    ctes = (O.feeds("customers", "products", "orders", "order_items", "shipments")
+            + O.silver_customers_ctes("feed_customers") + O.silver_products_ctes("feed_products")
+            + O.silver_orders_ctes("feed_orders") + O.silver_order_items_ctes("feed_order_items")
+            + O.silver_shipments_ctes("feed_shipments"))
+    return O.with_(*ctes, final=" UNION ALL ".join(parts))
+
+
+@register("quality_summary", _summary_sql())
+def q_quality_summary(spark, sf):
+    return audit.quality_summary({
+        "customers": silver.silver_customers(feed(spark, sf, "customers")),
+        "products": silver.silver_products(feed(spark, sf, "products")),
+        "orders": orders_silver(spark, sf),
+        "order_items": items_silver(spark, sf),
+        "shipments": shipments_silver(spark, sf),
+    })
+
+
+@register("orphan_audit", O.with_(
+    *O.feeds("orders", "order_items"), *O.silver_orders_ctes("feed_orders"),
+    *O.silver_order_items_ctes("feed_order_items"),
+    ("p", "SELECT DISTINCT order_id FROM so WHERE order_id IS NOT NULL"),
+    ("c", "SELECT order_id, count(*) AS n FROM si WHERE order_id IS NOT NULL GROUP BY order_id"),
+    final="SELECT CAST(coalesce(sum(CASE WHEN p.order_id IS NULL THEN c.n END), 0) AS BIGINT) AS orphan_rows, "
+          "count_if(p.order_id IS NULL) AS orphan_keys, count_if(c.order_id IS NULL) AS parents_without_children "
+          "FROM p FULL OUTER JOIN c ON p.order_id = c.order_id"))
+def q_orphan_audit(spark, sf):
+    return audit.orphan_audit(orders_silver(spark, sf), items_silver(spark, sf))
+
+
+@register("ingest_audit",
+          "SELECT CAST(ts AS DATE) AS ingest_date, count(*) AS rows FROM events GROUP BY 1 ORDER BY 1")
+def q_ingest_audit(spark, sf):
+    return ingest_audit(feed_table(spark, sf, "events").withColumn("ingest_date", F.to_date("ts")))
+
+
+# --- sources and sinks -----------------------------------------------------------------------------
+
+_CUSTOMER_LANDING = ("customer_id", "state", "city", "created_ts")
+# A landing CSV has no way to tell an empty field from a missing one, and the
+# landing contract reads both as null; so after the trip through CSV an empty
+# text value is expected back as null.
+_LANDING_SQL = _feed_sql("customers", ", ".join(f"nullif({c}, '') AS {c}" for c in _CUSTOMER_LANDING)
+                         + ", ingest_date")
+
+
+def write_landing(df: DataFrame, root: str, entity: str) -> None:
+    """Write a feed as landing CSV folders ``<root>/<entity>/ingest_date=<d>/``
+    (text kept exactly: no edge trimming)."""
+    (df.write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .partitionBy("ingest_date").csv(f"{root}/{entity}"))
+
+
+@register("bronze_roundtrip", _LANDING_SQL)
+def q_bronze_roundtrip(spark, sf):
+    """Feed -> landing CSV -> bronze, loaded twice: the second load replaces
+    its days, so every landed row is in bronze exactly once."""
+    root = scratch_path(spark, "bronze-roundtrip")
+    write_landing(feed(spark, sf, "customers").select(*_CUSTOMER_LANDING, "ingest_date"), f"{root}/landing",
+                  "customers")
+    for _ in range(2):
+        ingest_entity(spark, f"{root}/landing", f"{root}/bronze/customers", "customers",
+                      pattern="{entity}/ingest_date=*/*.csv", by_header=True)
+    return read_table(spark, f"{root}/bronze/customers").select(*_CUSTOMER_LANDING, "ingest_date")
+
+
+@register("stream_bronze_roundtrip", _LANDING_SQL)
+def q_stream_bronze_roundtrip(spark, sf):
+    """Feed -> landing CSV -> bronze through the incremental stream, run
+    twice: the second run finds no new file, so nothing is loaded twice."""
+    root = scratch_path(spark, "stream-roundtrip")
+    write_landing(feed(spark, sf, "customers").select(*_CUSTOMER_LANDING, "ingest_date"), f"{root}/landing",
+                  "customers")
+    for _ in range(2):
+        drain(start_incremental_ingest(spark, f"{root}/landing/customers", f"{root}/bronze/customers",
+                                       f"{root}/checkpoints/customers", _CUSTOMER_LANDING))
+    return read_table(spark, f"{root}/bronze/customers").select(*_CUSTOMER_LANDING, "ingest_date")
+
+
+@register("csv_export_roundtrip", O.with_(*O.feeds("products"), *O.silver_products_ctes("feed_products"),
+                                          final="SELECT * FROM sp"))
+def q_csv_export_roundtrip(spark, sf):
+    """Silver products -> ';' extract with header -> read back and conformed
+    to the silver schema: the extract loses nothing."""
+    table = silver.silver_products(feed(spark, sf, "products"))
+    path = scratch_path(spark, "csv-export")
+    export_csv(table, path)
+    back = (spark.read.option("header", True).option("delimiter", ";")
+            .schema(all_text(table.columns)).csv(path))
+    return conform(back, table.schema)
+
+
+@register("contract_conform", _feed_sql(
+    "orders",
+    "order_id, customer_id, TRY_CAST(order_ts AS TIMESTAMP) AS order_ts, status, payment_method, "
+    "CAST(TRY_CAST(total_amount AS DECIMAL(10, 2)) AS DOUBLE) AS total_amount, currency, ingestion_ts, "
+    "CAST(ingest_date AS VARCHAR) AS ingest_date, source_file"))
+def q_contract_conform(spark, sf):
+    return conform(feed(spark, sf, "orders"), CONTRACTS["orders"])
