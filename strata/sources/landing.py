@@ -30,11 +30,17 @@ DEFAULT_PATTERN = "ingest_date=*/{entity}.csv"
 def lineage(df: DataFrame, ingestion_ts: Column | None = None) -> DataFrame:
     """Stamp ``ingestion_ts`` (now) and ``source_file`` (the file each row came from).
 
-    ``ingest_date`` is the partition column of the landing path."""
-    return df.withColumns({
-        "ingestion_ts": ingestion_ts if ingestion_ts is not None else F.current_timestamp(),
-        "source_file": F.col("_metadata.file_path"),
-    })
+    ``ingest_date`` is the partition column of the landing path.  A frame
+    read by ``read_landing`` already carries ``source_file`` (the file
+    metadata column only resolves directly above a scan)."""
+    stamps = {"ingestion_ts": ingestion_ts if ingestion_ts is not None else F.current_timestamp()}
+    if "source_file" not in df.columns:
+        stamps["source_file"] = F.col("_metadata.file_path")
+    return df.withColumns(stamps)
+
+
+def _with_source(df: DataFrame) -> DataFrame:
+    return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def _reader(spark: SparkSession, base: str, delimiter: str):
@@ -92,7 +98,7 @@ def read_landing(
     if by_header:
         frames = []
         for header, files in file_headers(spark, [glob], delimiter).items():
-            frames.append(_reader(spark, base, delimiter).schema(_with_day(all_text(header))).csv(files))
+            frames.append(_with_source(_reader(spark, base, delimiter).schema(_with_day(all_text(header))).csv(files)))
         if not frames:
             raise FileNotFoundError(glob)
         out = frames[0]
@@ -104,7 +110,7 @@ def read_landing(
         reader = reader.schema(_with_day(all_text(columns)))
     else:
         reader = reader.option("inferSchema", False)
-    return reader.csv(glob)
+    return _with_source(reader.csv(glob))
 
 
 def _with_day(schema):
