@@ -21,6 +21,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.sources.tables import widen
+
 
 def _s(expr: str) -> str:
     return f"CAST({expr} AS STRING)"
@@ -225,10 +227,15 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def scan(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A benchmark table, spread over the cores if its file reads as one task."""
+    return widen(read_table(spark, sf_dir, table))
+
+
 def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The feed as a Spark frame (each copy is a projection of the scan)."""
     f = FEEDS[name]
-    src = read_table(spark, sf_dir, f.tables[0])
+    src = scan(spark, sf_dir, f.tables[0])
     if f.join is not None:
         # the dimension side is a fixed-size reference table (25 nations)
         src = src.join(read_table(spark, sf_dir, f.tables[1]), on=_join_cols(f.join), how="inner")

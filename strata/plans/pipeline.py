@@ -20,10 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.operators import gold, silver
 from strata.sinks.writers import export_csv, write_table
 from strata.sources.contracts import business_columns
-from strata.sources.landing import ingest_entity
+from strata.sources.landing import DEFAULT_PATTERN, ingest_entity
 from strata.sources.tables import read_if_exists, read_table
 
 ENTITIES = ("customers", "products", "orders", "order_items", "shipments")
+GOLD_TABLES = ("dim_customers", "dim_products", "fact_order_items", "fact_orders")
 
 SILVER_STAGES = {
     "customers": silver.silver_customers,
@@ -58,16 +59,18 @@ def _publish(spark: SparkSession, lake: Lake, df: DataFrame, layer: str, name: s
 
 
 def run_bronze(spark: SparkSession, landing: str, lake: Lake, entities: Sequence[str] = ENTITIES,
-               days: Sequence[str] | None = None, by_header: bool = True) -> None:
+               days: Sequence[str] | None = None, by_header: bool = True, pattern: str = DEFAULT_PATTERN) -> None:
     """Load every entity (or only ``days``) into bronze, idempotently per day.
 
     ``by_header`` binds CSV columns by header name (safe under any schema
-    drift); ``False`` binds the contract's columns by position (one less
-    pass over file heads, safe only for columns appended at the end)."""
+    drift); ``False`` binds the contract's columns by position (no read of
+    file heads on the driver, safe only for columns appended at the end).
+    ``pattern`` locates an entity's files under ``landing`` (see
+    ``strata.sources.landing``)."""
     for entity in entities:
         path = lake.path("bronze", entity)
         ingest_entity(spark, landing, path, entity, columns=None if by_header else business_columns(entity),
-                      days=days, by_header=by_header)
+                      pattern=pattern, days=days, by_header=by_header)
         lake.written[f"bronze/{entity}"] = path
 
 
@@ -81,31 +84,36 @@ def run_silver(spark: SparkSession, lake: Lake, entities: Sequence[str] = ENTITI
     return out
 
 
-def run_gold(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+def run_gold(spark: SparkSession, lake: Lake, tables: Sequence[str] = GOLD_TABLES) -> dict[str, DataFrame]:
     """Dimensions and the item fact from silver; the order fact from silver
     orders, the *gold* item fact, and silver shipments / payments when present."""
-    out = {
-        "dim_customers": _publish(spark, lake, gold.dim_customers(read_table(spark, lake.path("silver", "customers"))),
-                                  "gold", "dim_customers"),
-        "dim_products": _publish(spark, lake, gold.dim_products(read_table(spark, lake.path("silver", "products"))),
-                                 "gold", "dim_products"),
-        "fact_order_items": _publish(spark, lake,
-                                     gold.fact_order_items(read_table(spark, lake.path("silver", "order_items"))),
-                                     "gold", "fact_order_items"),
-    }
-    orders = read_table(spark, lake.path("silver", "orders"))
-    shipments = read_if_exists(spark, lake.path("silver", "shipments"))
-    payments = read_if_exists(spark, lake.path("silver", "payments"))
-    out["fact_orders"] = _publish(spark, lake, gold.fact_orders(orders, out["fact_order_items"], shipments, payments),
-                                  "gold", "fact_orders")
+    out = {}
+    if "dim_customers" in tables:
+        out["dim_customers"] = _publish(
+            spark, lake, gold.dim_customers(read_table(spark, lake.path("silver", "customers"))), "gold", "dim_customers")
+    if "dim_products" in tables:
+        out["dim_products"] = _publish(
+            spark, lake, gold.dim_products(read_table(spark, lake.path("silver", "products"))), "gold", "dim_products")
+    if "fact_order_items" in tables or "fact_orders" in tables:
+        out["fact_order_items"] = _publish(
+            spark, lake, gold.fact_order_items(read_table(spark, lake.path("silver", "order_items"))),
+            "gold", "fact_order_items")
+    if "fact_orders" in tables:
+        orders = read_table(spark, lake.path("silver", "orders"))
+        shipments = read_if_exists(spark, lake.path("silver", "shipments"))
+        payments = read_if_exists(spark, lake.path("silver", "payments"))
+        out["fact_orders"] = _publish(
+            spark, lake, gold.fact_orders(orders, out["fact_order_items"], shipments, payments), "gold", "fact_orders")
     return out
 
 
 def run_pipeline(spark: SparkSession, landing: str, lake_root: str, exports: str | None = None,
-                 days: Sequence[str] | None = None) -> Lake:
+                 days: Sequence[str] | None = None, entities: Sequence[str] = ENTITIES,
+                 gold_tables: Sequence[str] = GOLD_TABLES, by_header: bool = True,
+                 pattern: str = DEFAULT_PATTERN) -> Lake:
     """bronze -> silver -> gold, in dependency order."""
     lake = Lake(lake_root, exports)
-    run_bronze(spark, landing, lake, days=days)
-    run_silver(spark, lake)
-    run_gold(spark, lake)
+    run_bronze(spark, landing, lake, entities=entities, days=days, by_header=by_header, pattern=pattern)
+    run_silver(spark, lake, entities=entities)
+    run_gold(spark, lake, gold_tables)
     return lake

@@ -19,11 +19,12 @@ from strata.functions import clean as C
 from strata.operators import audit, gold, silver
 from strata.operators.dedup import latest_by, recency
 from strata.plans import oracle as O
-from strata.plans.feeds import feed
-from strata.plans.feeds import read_table as feed_table
+from strata.plans.feeds import feed, feed_sql
+from strata.plans.feeds import scan as feed_table
 from strata.session import scratch_path
 from strata.sinks.writers import export_csv
-from strata.sources.contracts import CONTRACTS, all_text, conform
+from strata.plans.pipeline import run_pipeline
+from strata.sources.contracts import CONTRACTS, all_text, business_columns, conform
 from strata.sources.landing import ingest_audit, ingest_entity
 from strata.sources.tables import read_table
 from strata.streaming.incremental import drain, start_incremental_ingest
@@ -375,10 +376,16 @@ _LANDING_SQL = _feed_sql("customers", ", ".join(f"nullif({c}, '') AS {c}" for c
                          + ", ingest_date")
 
 
-def write_landing(df: DataFrame, root: str, entity: str) -> None:
-    """Write a feed as landing CSV folders ``<root>/<entity>/ingest_date=<d>/``
-    (text kept exactly: no edge trimming)."""
-    (df.write.mode("overwrite").option("header", True)
+def write_landing(df: DataFrame, root: str, entity: str, files_per_load: int = 1) -> None:
+    """Write a feed as landing CSV drops ``<root>/<entity>/ingest_date=<d>/``
+    (text kept exactly: no edge trimming).
+
+    Rows are first shuffled by load day and a hash bucket of the row, so
+    each load becomes ``files_per_load`` files, as a landing zone holds
+    them, instead of one file per writing task and day; raising
+    ``files_per_load`` splits a large load over that many tasks."""
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_load))
+    (df.repartition("ingest_date", bucket).write.mode("overwrite").option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .partitionBy("ingest_date").csv(f"{root}/{entity}"))
 
@@ -429,3 +436,40 @@ def q_csv_export_roundtrip(spark, sf):
     "CAST(ingest_date AS VARCHAR) AS ingest_date, source_file"))
 def q_contract_conform(spark, sf):
     return conform(feed(spark, sf, "orders"), CONTRACTS["orders"])
+
+
+# --- end to end ------------------------------------------------------------------------------------
+
+_PIPELINE_ENTITIES = ("orders", "order_items", "shipments")
+# Bronze stamps one ``ingestion_ts`` per load, so inside a load the stamp
+# never decides a tie; any constant stands for it in the oracle.
+_LOAD_STAMP = "TIMESTAMP '2000-01-01 00:00:00'"
+
+
+def _pipeline_sql() -> str:
+    ctes = []
+    for entity in _PIPELINE_ENTITIES:
+        cols = ", ".join(f"nullif({c}, '') AS {c}" for c in business_columns(entity))
+        ctes.append((f"land_{entity}",
+                     f"SELECT {cols}, CAST(date_trunc('month', ingest_date) AS DATE) AS ingest_date, "
+                     f"{_LOAD_STAMP} AS ingestion_ts FROM ({feed_sql(entity)}) f"))
+    ctes += (O.silver_orders_ctes("land_orders") + O.silver_order_items_ctes("land_order_items")
+             + O.fact_order_items_ctes("si") + O.silver_shipments_ctes("land_shipments")
+             + O.fact_orders_ctes("so", "fi", "ss"))
+    return O.with_(*ctes, final=f"SELECT {O.as_double(*_MONEY_FACT)} FROM fo")
+
+
+@register("pipeline_fact_orders", _pipeline_sql())
+def q_pipeline_fact_orders(spark, sf):
+    """The whole pipeline on landing CSVs: feeds land as monthly CSV drops
+    (``<entity>/ingest_date=<first of month>/``), then bronze -> silver ->
+    gold run as separate jobs, each layer written as Parquet and read back.
+    The result is gold ``fact_orders`` as written."""
+    root = scratch_path(spark, "pipeline")
+    for entity in _PIPELINE_ENTITIES:
+        landed = feed(spark, sf, entity).select(*business_columns(entity),
+                                                F.trunc("ingest_date", "month").alias("ingest_date"))
+        write_landing(landed, f"{root}/landing", entity)
+    lake = run_pipeline(spark, f"{root}/landing", f"{root}/lake", entities=_PIPELINE_ENTITIES,
+                        gold_tables=("fact_orders",), by_header=False, pattern="{entity}/ingest_date=*/*.csv")
+    return read_table(spark, lake.path("gold", "fact_orders"))

@@ -14,6 +14,19 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> Dat
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
+def widen(df: DataFrame, parallelism: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than there are cores.
+
+    A Parquet file with a single row group (or one gzip CSV) is read by one
+    task, and every narrow step above it (parsing, cleaning, the map side of
+    the next shuffle) then runs on one core.  Such a scan is repartitioned
+    round-robin to ``parallelism`` (default: the session's default
+    parallelism).  A scan that is already wide, as any large multi-file
+    table is, comes back unchanged, so this adds no shuffle at scale."""
+    n = parallelism or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None if there is none (on any filesystem)."""
     try:
