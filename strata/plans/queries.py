@@ -17,6 +17,7 @@ from pyspark.sql.types import DecimalType, TimestampType
 
 from strata.functions import clean as C
 from strata.operators import audit, gold, silver
+from strata.operators.inspect import preview
 from strata.operators.dedup import latest_by, recency
 from strata.plans import oracle as O
 from strata.plans.feeds import feed, feed_sql
@@ -360,6 +361,12 @@ def q_orphan_audit(spark, sf):
     return audit.orphan_audit(orders_silver(spark, sf), items_silver(spark, sf))
 
 
+@register("orders_preview", O.with_(*O.feeds("orders"), *O.silver_orders_ctes("feed_orders"),
+                                    final=f"SELECT {O.as_double('total_amount')} FROM so ORDER BY order_id LIMIT 130"))
+def q_orders_preview(spark, sf):
+    return preview(orders_silver(spark, sf), ["order_id"], 130)
+
+
 @register("ingest_audit",
           "SELECT CAST(ts AS DATE) AS ingest_date, count(*) AS rows FROM events GROUP BY 1 ORDER BY 1")
 def q_ingest_audit(spark, sf):

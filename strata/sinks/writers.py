@@ -28,12 +28,14 @@ def export_csv(df: DataFrame, path: str, delimiter: str = ";", header: bool = Tr
                single_file: bool = False, trim_edges: bool = True) -> None:
     """Delimited extract of a table.
 
-    ``single_file=True`` coalesces to one task first; keep it for small
-    outputs only, since it also collapses the stage that computes ``df``.
+    ``single_file=True`` moves all rows to one task for the write (a
+    ``repartition(1)``: the stage computing ``df`` keeps its parallelism,
+    unlike ``coalesce(1)``, which would pull it into that one task too);
+    keep it for small outputs.
     ``trim_edges`` is Spark's default on write (leading/trailing blanks are
     dropped); pass False to keep text exactly.
     """
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     (out.write.mode("overwrite")
      .option("header", header)
      .option("delimiter", delimiter)
