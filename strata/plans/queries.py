@@ -23,7 +23,7 @@ from strata.plans import oracle as O
 from strata.plans.feeds import feed, feed_sql
 from strata.plans.feeds import scan as feed_table
 from strata.session import scratch_path
-from strata.sinks.writers import export_csv
+from strata.sinks.writers import cluster_by, export_csv
 from strata.plans.pipeline import run_pipeline
 from strata.sources.contracts import CONTRACTS, all_text, business_columns, conform
 from strata.sources.landing import ingest_audit, ingest_entity
@@ -383,16 +383,11 @@ _LANDING_SQL = _feed_sql("customers", ", ".join(f"nullif({c}, '') AS {c}" for c
                          + ", ingest_date")
 
 
-def write_landing(df: DataFrame, root: str, entity: str, files_per_load: int = 1) -> None:
+def write_landing(df: DataFrame, root: str, entity: str) -> None:
     """Write a feed as landing CSV drops ``<root>/<entity>/ingest_date=<d>/``
-    (text kept exactly: no edge trimming).
-
-    Rows are first shuffled by load day and a hash bucket of the row, so
-    each load becomes ``files_per_load`` files, as a landing zone holds
-    them, instead of one file per writing task and day; raising
-    ``files_per_load`` splits a large load over that many tasks."""
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_load))
-    (df.repartition("ingest_date", bucket).write.mode("overwrite").option("header", True)
+    (text kept exactly: no edge trimming).  Rows are clustered by load day
+    first, so a load is a few files, as a landing zone holds them."""
+    (cluster_by(df, "ingest_date").write.mode("overwrite").option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .partitionBy("ingest_date").csv(f"{root}/{entity}"))
 

@@ -8,19 +8,35 @@ from pyspark.sql import DataFrame
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full overwrite of a Parquet table (optionally partitioned)."""
-    writer = df.write.mode("overwrite")
+    """Full overwrite of a Parquet table (optionally partitioned; a
+    partitioned table is clustered by its partition columns first, see
+    ``cluster_by``)."""
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        cluster_by(df, *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
-def write_days(df: DataFrame, path: str, day_col: str = "ingest_date") -> None:
+def cluster_by(df: DataFrame, *cols: str) -> DataFrame:
+    """Gather rows by ``cols`` before a partitioned write (a ``REBALANCE``).
+
+    Each value of ``cols`` then lands in few files instead of one file per
+    writing task.  Adaptive execution sizes the result: a value holding a
+    large share of the rows is split over several tasks, small ones are
+    packed together, so a hot day never ends up in one task."""
+    return df.hint("rebalance", *cols)
+
+
+def write_days(df: DataFrame, path: str, day_col: str = "ingest_date", cluster: bool = False) -> None:
     """Replace only the days present in ``df`` (dynamic partition overwrite).
 
     Re-running a load, or a task retry, rewrites its days instead of
-    appending them a second time, so a load is idempotent."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    appending them a second time, so a load is idempotent.  A daily load
+    writes map-side (one file per input split, no shuffle); ``cluster=True``
+    suits a backfill of many days, where that would mean one file per task
+    and day (see ``cluster_by``)."""
+    out = cluster_by(df, day_col) if cluster else df
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(day_col).parquet(path))
 
 

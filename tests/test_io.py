@@ -100,3 +100,24 @@ def test_incremental_ingest_loads_each_file_once(spark, tmp_path):
     df = read_table(spark, bronze)
     assert sorted(r.customer_id for r in df.collect()) == ["C1", "C2", "C3", "C4"]
     assert {"ingestion_ts", "source_file", "ingest_date"} <= set(df.columns)
+
+
+def test_clustered_day_write_splits_a_hot_day(spark, tmp_path):
+    # one day holds a third of all rows; the rest spread over 20 days
+    df = spark.range(0, 60000, numPartitions=8).select(
+        F.col("id"), F.repeat(F.lit("x"), 40).alias("pad"),
+        F.when(F.col("id") % 3 == 0, F.lit("2025-12-01")).otherwise(
+            F.date_format(F.date_add(F.lit("2025-11-01").cast("date"), (F.col("id") % 20).cast("int")), "yyyy-MM-dd"))
+        .cast("date").alias("ingest_date"))
+    path = str(tmp_path / "days")
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        write_days(df, path, cluster=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = glob.glob(os.path.join(path, "ingest_date=2025-12-01", "part-*"))
+    cold = glob.glob(os.path.join(path, "ingest_date=2025-11-02", "part-*"))
+    assert len(hot) > 1          # the hot day was split over several tasks
+    assert len(cold) <= 2        # a small day is not scattered over every task
+    assert read_table(spark, path).count() == 60000
