@@ -330,7 +330,7 @@ def _summary_sql() -> str:
     for table, rel in rels.items():
         parts.append(f"SELECT '{table}' AS table_name, 'rows' AS measure, count(*) AS value FROM {rel}")
         for flag in audit.SILVER_FLAGS[table]:
-            parts.append(f"SELECT '{table}', '{flag}', count_if({flag}) FROM {rel}")
+            parts.append(f"SELECT '{table}', '{flag}', CAST(count_if({flag}) AS BIGINT) FROM {rel}")
     ctes = (O.feeds("customers", "products", "orders", "order_items", "shipments")
             + O.silver_customers_ctes("feed_customers") + O.silver_products_ctes("feed_products")
             + O.silver_orders_ctes("feed_orders") + O.silver_order_items_ctes("feed_order_items")
@@ -355,7 +355,8 @@ def q_quality_summary(spark, sf):
     ("p", "SELECT DISTINCT order_id FROM so WHERE order_id IS NOT NULL"),
     ("c", "SELECT order_id, count(*) AS n FROM si WHERE order_id IS NOT NULL GROUP BY order_id"),
     final="SELECT CAST(coalesce(sum(CASE WHEN p.order_id IS NULL THEN c.n END), 0) AS BIGINT) AS orphan_rows, "
-          "count_if(p.order_id IS NULL) AS orphan_keys, count_if(c.order_id IS NULL) AS parents_without_children "
+          "CAST(count_if(p.order_id IS NULL) AS BIGINT) AS orphan_keys, "
+          "CAST(count_if(c.order_id IS NULL) AS BIGINT) AS parents_without_children "
           "FROM p FULL OUTER JOIN c ON p.order_id = c.order_id"))
 def q_orphan_audit(spark, sf):
     return audit.orphan_audit(orders_silver(spark, sf), items_silver(spark, sf))

@@ -11,7 +11,7 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
-from check_oracle import TABLES, rows_of  # noqa: E402
+from check_oracle import TABLES, rows_of, type_mismatches  # noqa: E402
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 
@@ -43,4 +43,5 @@ def test_query_matches_oracle(spark, duck, name):
     sdf = queries()[name](spark, SF)
     res = duck.sql(oracle_sql()[name])
     assert sorted(sdf.columns) == sorted(res.columns)
+    assert type_mismatches(sdf.schema, res.columns, res.types) == {}
     assert rows_of(sdf.columns, [tuple(r) for r in sdf.collect()]) == rows_of(res.columns, res.fetchall())
