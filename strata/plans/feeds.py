@@ -227,9 +227,19 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+# Unique key of each benchmark table read by a feed or query.
+TABLE_KEYS = {
+    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+    "orders": ("o_orderkey",),
+    "customer": ("c_custkey",),
+    "part": ("p_partkey",),
+    "events": ("event_id",),
+}
+
+
 def scan(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A benchmark table, spread over the cores if its file reads as one task."""
-    return widen(read_table(spark, sf_dir, table))
+    """A benchmark table, spread over the cores (on its key) if its file reads as one task."""
+    return widen(read_table(spark, sf_dir, table), by=TABLE_KEYS.get(table))
 
 
 def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
