@@ -16,6 +16,7 @@ by their header line and unions the groups by name.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,28 +55,35 @@ def _base_path(root: str, pattern: str, entity: str) -> str:
     return f"{root}/{prefix}" if prefix else root
 
 
-def file_headers(spark: SparkSession, paths: Sequence[str], delimiter: str = ",") -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their header line (read from the first line of each
-    file through the Hadoop filesystem: one short read per file, no data)."""
+def _first_line(jvm, fs, path) -> str:
+    stream = fs.open(path)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
+def file_headers(spark: SparkSession, paths: Sequence[str], delimiter: str = ",",
+                 threads: int = 16) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by their header line.
+
+    Files are listed through the Hadoop filesystem, then the first line of
+    each is read: one short read per file, no data, done by ``threads``
+    concurrent readers so that object-store latency is paid in parallel."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    groups: dict[tuple[str, ...], list[str]] = {}
+    files = []
     for pattern in paths:
         gpath = jvm.org.apache.hadoop.fs.Path(pattern)
         fs = gpath.getFileSystem(conf)
         for status in fs.globStatus(gpath) or []:
             targets = [status] if status.isFile() else [s for s in fs.listStatus(status.getPath()) if s.isFile()]
-            for st in targets:
-                name = st.getPath().getName()
-                if name.startswith(("_", ".")):
-                    continue
-                stream = fs.open(st.getPath())
-                try:
-                    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-                    line = reader.readLine() or ""
-                finally:
-                    stream.close()
-                groups.setdefault(tuple(c.strip() for c in line.strip().split(delimiter)), []).append(st.getPath().toString())
+            files.extend((fs, st.getPath()) for st in targets if not st.getPath().getName().startswith(("_", ".")))
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        lines = list(pool.map(lambda f: _first_line(jvm, *f), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for (_, path), line in zip(files, lines):
+        groups.setdefault(tuple(c.strip() for c in line.strip().split(delimiter)), []).append(path.toString())
     return groups
 
 
