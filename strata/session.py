@@ -22,6 +22,24 @@ RECOMMENDED_CONF = {
 }
 
 
+# Starting points for a large cluster (about 100 TB of input), on top of
+# RECOMMENDED_CONF.  The shuffle width is an upper bound that adaptive
+# execution coalesces down to ``advisoryPartitionSizeInBytes`` per task
+# (``parallelismFirst=false`` makes it honour that size instead of keeping
+# many tiny tasks); skewed join and rebalance partitions are split to the
+# same size.  Scans read 512 MB splits.  Broadcasts stay size-checked by the
+# default threshold; nothing in the library forces one.
+SCALE_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "strata") -> SparkSession:
     """A local session for tests and benchmarks (clusters bring their own)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

@@ -15,6 +15,7 @@ by their header line and unions the groups by name.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -83,10 +84,16 @@ def file_headers(spark: SparkSession, paths: Sequence[str], delimiter: str = ","
         lines = list(pool.map(lambda f: _first_line(jvm, *f), files))
     groups: dict[tuple[str, ...], list[str]] = {}
     for (_, path), line in zip(files, lines):
-        groups.setdefault(tuple(c.strip() for c in line.strip().split(delimiter)), []).append(path.toString())
+        groups.setdefault(header_names(line, delimiter), []).append(path.toString())
     return groups
 
 
+def header_names(line: str, delimiter: str = ",") -> tuple[str, ...]:
+    """Column names of a CSV header line (quotes and a byte-order mark removed)."""
+    fields = next(csv.reader([line.lstrip("\ufeff").strip()], delimiter=delimiter), [])
+    return tuple(f.strip() for f in fields)
+
+
 def read_landing(
     spark: SparkSession,
     root: str,

@@ -121,3 +121,10 @@ def test_clustered_day_write_splits_a_hot_day(spark, tmp_path):
     assert len(hot) > 1          # the hot day was split over several tasks
     assert len(cold) <= 2        # a small day is not scattered over every task
     assert read_table(spark, path).count() == 60000
+
+
+def test_header_names():
+    from strata.sources.landing import header_names
+
+    assert header_names("customer_id,state, city\n") == ("customer_id", "state", "city")
+    assert header_names('﻿"customer_id";"state"', ";") == ("customer_id", "state")
