@@ -443,15 +443,15 @@ def q_contract_conform(spark, sf):
 
 # --- end to end ------------------------------------------------------------------------------------
 
-_PIPELINE_ENTITIES = ("orders", "order_items", "shipments")
+_LANDED_ENTITIES = ("orders", "order_items", "shipments")
 # Bronze stamps one ``ingestion_ts`` per load, so inside a load the stamp
 # never decides a tie; any constant stands for it in the oracle.
 _LOAD_STAMP = "TIMESTAMP '2000-01-01 00:00:00'"
 
 
-def _pipeline_sql() -> str:
+def _end_to_end_sql() -> str:
     ctes = []
-    for entity in _PIPELINE_ENTITIES:
+    for entity in _LANDED_ENTITIES:
         cols = ", ".join(f"nullif({c}, '') AS {c}" for c in business_columns(entity))
         ctes.append((f"land_{entity}",
                      f"SELECT {cols}, CAST(date_trunc('month', ingest_date) AS DATE) AS ingest_date, "
@@ -462,17 +462,17 @@ def _pipeline_sql() -> str:
     return O.with_(*ctes, final=f"SELECT {O.as_double(*_MONEY_FACT)} FROM fo")
 
 
-@register("pipeline_fact_orders", _pipeline_sql())
-def q_pipeline_fact_orders(spark, sf):
+@register("end_to_end_fact_orders", _end_to_end_sql())
+def q_end_to_end_fact_orders(spark, sf):
     """The whole pipeline on landing CSVs: feeds land as monthly CSV drops
     (``<entity>/ingest_date=<first of month>/``), then bronze -> silver ->
     gold run as separate jobs, each layer written as Parquet and read back.
     The result is gold ``fact_orders`` as written."""
-    root = scratch_path(spark, "pipeline")
-    for entity in _PIPELINE_ENTITIES:
+    root = scratch_path(spark, "end-to-end")
+    for entity in _LANDED_ENTITIES:
         landed = feed(spark, sf, entity).select(*business_columns(entity),
                                                 F.trunc("ingest_date", "month").alias("ingest_date"))
         write_landing(landed, f"{root}/landing", entity)
-    lake = run_pipeline(spark, f"{root}/landing", f"{root}/lake", entities=_PIPELINE_ENTITIES,
+    lake = run_pipeline(spark, f"{root}/landing", f"{root}/lake", entities=_LANDED_ENTITIES,
                         gold_tables=("fact_orders",), by_header=False, pattern="{entity}/ingest_date=*/*.csv")
     return read_table(spark, lake.path("gold", "fact_orders"))
