@@ -10,9 +10,10 @@ arithmetic on the row's own keys.
 Every column is one SQL expression written in the dialect shared by Spark SQL
 and DuckDB, so the Spark side (``feed``) and the DuckDB oracle
 (``feed_sql``) read exactly the same rows.  A feed with ``copies=2`` is the
-whole table sent twice (``UNION ALL``): the second copy lands a day earlier,
-the same day or a day later depending on the key, so de-duplication has real
-work to do and ties inside a day are broken by the load stamp.
+whole table sent twice (``UNION ALL`` in SQL; one scan with a copy number in
+Spark): the second copy lands a day earlier, the same day or a day later
+depending on the key, so de-duplication has real work to do and ties inside
+a day are broken by the load stamp.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.sources.tables import widen
 
@@ -243,21 +245,31 @@ def scan(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The feed as a Spark frame (each copy is a projection of the scan)."""
+    """The feed as a Spark frame, from one scan of its table.
+
+    A feed sent ``copies`` times repeats each row once per copy (``explode``
+    of the copy numbers) and lets every column pick its copy's expression:
+    the same rows as the ``UNION ALL`` of ``feed_sql``, without scanning the
+    table once per copy."""
     f = FEEDS[name]
     src = scan(spark, sf_dir, f.tables[0])
     if f.join is not None:
         # the dimension side is a fixed-size reference table (25 nations)
         src = src.join(read_table(spark, sf_dir, f.tables[1]), on=_join_cols(f.join), how="inner")
-    frames = [src.selectExpr(*(f"{expr} AS {col}" for col, expr in f.columns(c).items())) for c in range(f.copies)]
-    out = frames[0]
-    for other in frames[1:]:
-        out = out.unionByName(other)
-    return out
+    if f.copies == 1:
+        return src.selectExpr(*(f"{expr} AS {col}" for col, expr in f.columns(0).items()))
+    per_copy = [f.columns(c) for c in range(f.copies)]
+    rows = src.withColumn(_COPY, F.explode(F.sequence(F.lit(0), F.lit(f.copies - 1))))
+    exprs = []
+    for col, first in per_copy[0].items():
+        others = " ".join(f"WHEN {c} THEN {per_copy[c][col]}" for c in range(1, f.copies))
+        exprs.append(f"CASE {_COPY} {others} ELSE {first} END AS {col}")
+    return rows.selectExpr(*exprs)
 
 
-def _join_cols(cond: str):
-    from pyspark.sql import functions as F
+_COPY = "__copy"
 
+
+def _join_cols(cond: str):
     left, right = (s.strip() for s in cond.split("="))
     return F.col(left) == F.col(right)
