@@ -28,10 +28,12 @@ def widen(df: DataFrame, parallelism: int | None = None, by: Sequence[str] | Non
     round-robin split it needs no sort first.  A scan that is already wide,
     as any large multi-file table is, comes back unchanged, so this adds no
     shuffle at scale."""
-    n = parallelism or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        n = parallelism or df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < n
+    except Exception:  # noqa: BLE001 - a remote (Connect) session exposes no partitions: leave the scan as is
         return df
-    return df.repartition(n, *(by or df.columns))
+    return df.repartition(n, *(by or df.columns)) if narrow else df
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
