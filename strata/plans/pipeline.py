@@ -12,7 +12,8 @@ Paths: ``<lake>/bronze/<entity>``, ``<lake>/silver/<entity>``,
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,19 @@ SILVER_STAGES = {
 SILVER_PARTITIONS = {"products": ("ingest_date",)}
 
 
+def _fan_out(tasks: dict[str, Callable[[], object]], parallel: bool) -> dict[str, object]:
+    """Run independent stages, concurrently when ``parallel``.
+
+    Each stage is its own Spark job; jobs submitted from several threads of
+    one application run side by side and share the executors, so small
+    stages overlap instead of queueing one behind another."""
+    if not parallel or len(tasks) < 2:
+        return {name: task() for name, task in tasks.items()}
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = {name: pool.submit(task) for name, task in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 @dataclass
 class Lake:
     root: str
@@ -59,45 +73,58 @@ def _publish(spark: SparkSession, lake: Lake, df: DataFrame, layer: str, name: s
 
 
 def run_bronze(spark: SparkSession, landing: str, lake: Lake, entities: Sequence[str] = ENTITIES,
-               days: Sequence[str] | None = None, by_header: bool = True, pattern: str = DEFAULT_PATTERN) -> None:
+               days: Sequence[str] | None = None, by_header: bool = True, pattern: str = DEFAULT_PATTERN,
+               parallel: bool = True) -> None:
     """Load every entity (or only ``days``) into bronze, idempotently per day.
 
     ``by_header`` binds CSV columns by header name (safe under any schema
     drift); ``False`` binds the contract's columns by position (no read of
     file heads on the driver, safe only for columns appended at the end).
     ``pattern`` locates an entity's files under ``landing`` (see
-    ``strata.sources.landing``)."""
-    for entity in entities:
-        path = lake.path("bronze", entity)
-        ingest_entity(spark, landing, path, entity, columns=None if by_header else business_columns(entity),
-                      pattern=pattern, days=days, by_header=by_header)
-        lake.written[f"bronze/{entity}"] = path
-
-
-def run_silver(spark: SparkSession, lake: Lake, entities: Sequence[str] = ENTITIES, **options) -> dict[str, DataFrame]:
-    out = {}
-    for entity in entities:
-        bronze = read_table(spark, lake.path("bronze", entity))
-        stage = SILVER_STAGES[entity]
-        out[entity] = _publish(spark, lake, stage(bronze, **options.get(entity, {})), "silver", entity,
-                               SILVER_PARTITIONS.get(entity, ()))
-    return out
-
-
-def run_gold(spark: SparkSession, lake: Lake, tables: Sequence[str] = GOLD_TABLES) -> dict[str, DataFrame]:
-    """Dimensions and the item fact from silver; the order fact from silver
-    orders, the *gold* item fact, and silver shipments / payments when present."""
-    out = {}
+    ``strata.sources.landing``).  Entities load concurrently when
+    ``parallel``."""
+    def load(entity: str) -> Callable[[], None]:
+        def task() -> None:
+            path = lake.path("bronze", entity)
+            ingest_entity(spark, landing, path, entity, columns=None if by_header else business_columns(entity),
+                          pattern=pattern, days=days, by_header=by_header)
+            lake.written[f"bronze/{entity}"] = path
+        return task
+
+    _fan_out({entity: load(entity) for entity in entities}, parallel)
+
+
+def run_silver(spark: SparkSession, lake: Lake, entities: Sequence[str] = ENTITIES, parallel: bool = True,
+               **options) -> dict[str, DataFrame]:
+    """Every silver entity from its bronze table (concurrently when ``parallel``)."""
+    def build(entity: str) -> Callable[[], DataFrame]:
+        def task() -> DataFrame:
+            bronze = read_table(spark, lake.path("bronze", entity))
+            stage = SILVER_STAGES[entity]
+            return _publish(spark, lake, stage(bronze, **options.get(entity, {})), "silver", entity,
+                            SILVER_PARTITIONS.get(entity, ()))
+        return task
+
+    return _fan_out({entity: build(entity) for entity in entities}, parallel)
+
+
+def run_gold(spark: SparkSession, lake: Lake, tables: Sequence[str] = GOLD_TABLES,
+             parallel: bool = True) -> dict[str, DataFrame]:
+    """Dimensions and the item fact from silver (concurrently when
+    ``parallel``); then the order fact from silver orders, the *gold* item
+    fact, and silver shipments / payments when present."""
+    first: dict[str, Callable[[], DataFrame]] = {}
     if "dim_customers" in tables:
-        out["dim_customers"] = _publish(
+        first["dim_customers"] = lambda: _publish(
             spark, lake, gold.dim_customers(read_table(spark, lake.path("silver", "customers"))), "gold", "dim_customers")
     if "dim_products" in tables:
-        out["dim_products"] = _publish(
+        first["dim_products"] = lambda: _publish(
             spark, lake, gold.dim_products(read_table(spark, lake.path("silver", "products"))), "gold", "dim_products")
     if "fact_order_items" in tables or "fact_orders" in tables:
-        out["fact_order_items"] = _publish(
+        first["fact_order_items"] = lambda: _publish(
             spark, lake, gold.fact_order_items(read_table(spark, lake.path("silver", "order_items"))),
             "gold", "fact_order_items")
+    out = _fan_out(first, parallel)
     if "fact_orders" in tables:
         orders = read_table(spark, lake.path("silver", "orders"))
         shipments = read_if_exists(spark, lake.path("silver", "shipments"))
@@ -110,10 +137,12 @@ def run_gold(spark: SparkSession, lake: Lake, tables: Sequence[str] = GOLD_TABLE
 def run_pipeline(spark: SparkSession, landing: str, lake_root: str, exports: str | None = None,
                  days: Sequence[str] | None = None, entities: Sequence[str] = ENTITIES,
                  gold_tables: Sequence[str] = GOLD_TABLES, by_header: bool = True,
-                 pattern: str = DEFAULT_PATTERN) -> Lake:
-    """bronze -> silver -> gold, in dependency order."""
+                 pattern: str = DEFAULT_PATTERN, parallel: bool = True) -> Lake:
+    """bronze -> silver -> gold, in dependency order; inside a layer the
+    independent stages run concurrently when ``parallel``."""
     lake = Lake(lake_root, exports)
-    run_bronze(spark, landing, lake, entities=entities, days=days, by_header=by_header, pattern=pattern)
-    run_silver(spark, lake, entities=entities)
-    run_gold(spark, lake, gold_tables)
+    run_bronze(spark, landing, lake, entities=entities, days=days, by_header=by_header, pattern=pattern,
+               parallel=parallel)
+    run_silver(spark, lake, entities=entities, parallel=parallel)
+    run_gold(spark, lake, gold_tables, parallel=parallel)
     return lake
