@@ -38,7 +38,7 @@ SILVER_STAGES = {
 SILVER_PARTITIONS = {"products": ("ingest_date",)}
 
 
-def _fan_out(tasks: dict[str, Callable[[], object]], parallel: bool) -> dict[str, object]:
+def fan_out(tasks: dict[str, Callable[[], object]], parallel: bool) -> dict[str, object]:
     """Run independent stages, concurrently when ``parallel``.
 
     Each stage is its own Spark job; jobs submitted from several threads of
@@ -91,7 +91,7 @@ def run_bronze(spark: SparkSession, landing: str, lake: Lake, entities: Sequence
             lake.written[f"bronze/{entity}"] = path
         return task
 
-    _fan_out({entity: load(entity) for entity in entities}, parallel)
+    fan_out({entity: load(entity) for entity in entities}, parallel)
 
 
 def run_silver(spark: SparkSession, lake: Lake, entities: Sequence[str] = ENTITIES, parallel: bool = True,
@@ -105,7 +105,7 @@ def run_silver(spark: SparkSession, lake: Lake, entities: Sequence[str] = ENTITI
                             SILVER_PARTITIONS.get(entity, ()))
         return task
 
-    return _fan_out({entity: build(entity) for entity in entities}, parallel)
+    return fan_out({entity: build(entity) for entity in entities}, parallel)
 
 
 def run_gold(spark: SparkSession, lake: Lake, tables: Sequence[str] = GOLD_TABLES,
@@ -124,7 +124,7 @@ def run_gold(spark: SparkSession, lake: Lake, tables: Sequence[str] = GOLD_TABLE
         first["fact_order_items"] = lambda: _publish(
             spark, lake, gold.fact_order_items(read_table(spark, lake.path("silver", "order_items"))),
             "gold", "fact_order_items")
-    out = _fan_out(first, parallel)
+    out = fan_out(first, parallel)
     if "fact_orders" in tables:
         orders = read_table(spark, lake.path("silver", "orders"))
         shipments = read_if_exists(spark, lake.path("silver", "shipments"))

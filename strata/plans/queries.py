@@ -24,7 +24,7 @@ from strata.plans.feeds import feed, feed_sql
 from strata.plans.feeds import scan as feed_table
 from strata.session import scratch_path
 from strata.sinks.writers import cluster_by, export_csv
-from strata.plans.pipeline import run_pipeline
+from strata.plans.pipeline import fan_out, run_pipeline
 from strata.sources.contracts import CONTRACTS, all_text, business_columns, conform
 from strata.sources.landing import ingest_audit, ingest_entity
 from strata.sources.tables import read_table
@@ -469,10 +469,15 @@ def q_end_to_end_fact_orders(spark, sf):
     gold run as separate jobs, each layer written as Parquet and read back.
     The result is gold ``fact_orders`` as written."""
     root = scratch_path(spark, "end-to-end")
-    for entity in _LANDED_ENTITIES:
-        landed = feed(spark, sf, entity).select(*business_columns(entity),
-                                                F.trunc("ingest_date", "month").alias("ingest_date"))
-        write_landing(landed, f"{root}/landing", entity)
+
+    def land(entity: str):
+        def task() -> None:
+            landed = feed(spark, sf, entity).select(*business_columns(entity),
+                                                    F.trunc("ingest_date", "month").alias("ingest_date"))
+            write_landing(landed, f"{root}/landing", entity)
+        return task
+
+    fan_out({entity: land(entity) for entity in _LANDED_ENTITIES}, parallel=True)
     lake = run_pipeline(spark, f"{root}/landing", f"{root}/lake", entities=_LANDED_ENTITIES,
                         gold_tables=("fact_orders",), by_header=False, pattern="{entity}/ingest_date=*/*.csv")
     return read_table(spark, lake.path("gold", "fact_orders"))
