@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 ColumnOrName = Column | str
 
@@ -16,6 +17,17 @@ def _sort_key(c: ColumnOrName) -> Column:
     return F.col(c).asc_nulls_first() if isinstance(c, str) else c
 
 
+def _orderable(dtype: DataType) -> bool:
+    """Whether Spark can sort on the type (maps and variants cannot be ordered)."""
+    if isinstance(dtype, (MapType, VariantType)):
+        return False
+    if isinstance(dtype, ArrayType):
+        return _orderable(dtype.elementType)
+    if isinstance(dtype, StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    return True
+
+
 def recency(*cols: str) -> list[Column]:
     """Newest first on each column, nulls last (``ingest_date``, ``ingestion_ts``, ...)."""
     return [F.col(c).desc_nulls_last() for c in cols]
@@ -31,8 +43,9 @@ def latest_by(
 
     ``order`` holds sort expressions (see ``recency``); ``tie_break`` makes
     the choice deterministic when the recency columns tie (rows of one load
-    share their ingestion stamp).  It defaults to every other column,
-    ascending with nulls first; a plain column name means exactly that.
+    share their ingestion stamp).  It defaults to every other column Spark
+    can order (maps cannot be sorted), ascending with nulls first; a plain
+    column name means exactly that.
 
     Written as ``row_number() == 1`` over a key window, which Spark plans as a
     ``WindowGroupLimit``: a partial top-1 per key runs before the shuffle, so
@@ -41,7 +54,7 @@ def latest_by(
     """
     keys = list(keys)
     if tie_break is None:
-        tie_break = [c for c in df.columns if c not in keys]
+        tie_break = [f.name for f in df.schema.fields if f.name not in keys and _orderable(f.dataType)]
     ordering = [_sort_key(c) for c in list(order) + list(tie_break)]
     w = Window.partitionBy(*keys).orderBy(*ordering)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)

@@ -40,3 +40,10 @@ def test_composite_key(spark):
     df = spark.createDataFrame(rows, "o string, p string, t int, v int")
     got = sorted((r.o, r.p, r.v) for r in latest_by(df, ["o", "p"], recency("t")).collect())
     assert got == [("o1", "p1", 20), ("o1", "p2", 30)]
+
+
+def test_default_tie_break_skips_unorderable_columns(spark):
+    df = spark.createDataFrame([("a", 1, "x", {"k": 1}), ("a", 1, "w", {"k": 2})],
+                               "k string, t int, v string, m map<string,int>")
+    got = latest_by(df, ["k"], recency("t")).collect()
+    assert len(got) == 1 and got[0].v == "w"
