@@ -102,13 +102,19 @@ def read_landing(
     pattern: str = DEFAULT_PATTERN,
     delimiter: str = ",",
     by_header: bool = False,
+    days: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All days of one entity as text columns plus the ``ingest_date`` partition.
+    """All days (or only ``days``) of one entity as text columns plus the
+    ``ingest_date`` partition.
 
     Empty fields read as null.  See the module note on ``columns`` and
-    ``by_header``."""
+    ``by_header``.  With ``days`` the path glob names those day folders
+    (``ingest_date={d1,d2}``), so only they are listed, however many days
+    the landing zone holds."""
     root = root.rstrip("/")
     glob = f"{root}/{pattern.format(entity=entity)}"
+    if days:
+        glob = glob.replace("ingest_date=*", "ingest_date={" + ",".join(days) + "}")
     base = _base_path(root, pattern, entity)
     if by_header:
         frames = []
@@ -144,9 +150,9 @@ def ingest_entity(
 ) -> DataFrame:
     """Load one entity into bronze, replacing only the days it carries.
 
-    ``days`` limits the load to some days (partition pruning: only those
-    folders are listed and read).  Running it twice leaves one copy."""
-    df = read_landing(spark, landing_root, entity, columns, pattern, by_header=by_header)
+    ``days`` limits the load to some days: only those folders are listed
+    and read.  Running it twice leaves one copy."""
+    df = read_landing(spark, landing_root, entity, columns, pattern, by_header=by_header, days=days)
     if days:
         df = df.filter(F.col("ingest_date").isin([F.lit(d).cast("date") for d in days]))
     out = lineage(df)

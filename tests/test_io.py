@@ -128,3 +128,20 @@ def test_header_names():
 
     assert header_names("customer_id,state, city\n") == ("customer_id", "state", "city")
     assert header_names('﻿"customer_id";"state"', ";") == ("customer_id", "state")
+
+
+def test_day_limited_load_lists_only_those_days(spark, tmp_path):
+    from strata.sources.landing import ingest_entity, read_landing
+
+    landing = tmp_path / "landing"
+    for day in ("2025-12-01", "2025-12-02", "2025-12-03"):
+        (landing / f"ingest_date={day}").mkdir(parents=True)
+        (landing / f"ingest_date={day}" / "orders.csv").write_text(f"order_id,total_amount\nO-{day},1.00\n")
+    df = read_landing(spark, str(landing), "orders", ["order_id", "total_amount"], days=["2025-12-02"])
+    assert [r.order_id for r in df.collect()] == ["O-2025-12-02"]
+    assert df.inputFiles() == [f for f in df.inputFiles() if "2025-12-02" in f]
+    bronze = str(tmp_path / "bronze")
+    ingest_entity(spark, str(landing), bronze, "orders", by_header=True)
+    ingest_entity(spark, str(landing), bronze, "orders", by_header=True, days=["2025-12-01", "2025-12-03"])
+    assert sorted(r.order_id for r in read_table(spark, bronze).collect()) == \
+        ["O-2025-12-01", "O-2025-12-02", "O-2025-12-03"]
