@@ -66,7 +66,7 @@ def _publish(spark: SparkSession, lake: Lake, df: DataFrame, layer: str, name: s
     path = lake.path(layer, name)
     write_table(df, path, partition_by)
     lake.written[f"{layer}/{name}"] = path
-    table = read_table(spark, path)
+    table = read_table(spark, path, merge_schema=False)  # written whole by one job: one schema
     if lake.exports:
         export_csv(table, f"{lake.exports.rstrip('/')}/{layer}/{name}")
     return table
@@ -113,22 +113,28 @@ def run_gold(spark: SparkSession, lake: Lake, tables: Sequence[str] = GOLD_TABLE
     """Dimensions and the item fact from silver (concurrently when
     ``parallel``); then the order fact from silver orders, the *gold* item
     fact, and silver shipments / payments when present."""
+    # silver tables are written whole by one job, so their files share one
+    # schema and reading them needs no footer merge (bronze does: it
+    # accumulates days whose headers drift)
+    def silver_table(name: str) -> DataFrame:
+        return read_table(spark, lake.path("silver", name), merge_schema=False)
+
     first: dict[str, Callable[[], DataFrame]] = {}
     if "dim_customers" in tables:
         first["dim_customers"] = lambda: _publish(
-            spark, lake, gold.dim_customers(read_table(spark, lake.path("silver", "customers"))), "gold", "dim_customers")
+            spark, lake, gold.dim_customers(silver_table("customers")), "gold", "dim_customers")
     if "dim_products" in tables:
         first["dim_products"] = lambda: _publish(
-            spark, lake, gold.dim_products(read_table(spark, lake.path("silver", "products"))), "gold", "dim_products")
+            spark, lake, gold.dim_products(silver_table("products")), "gold", "dim_products")
     if "fact_order_items" in tables or "fact_orders" in tables:
         first["fact_order_items"] = lambda: _publish(
-            spark, lake, gold.fact_order_items(read_table(spark, lake.path("silver", "order_items"))),
+            spark, lake, gold.fact_order_items(silver_table("order_items")),
             "gold", "fact_order_items")
     out = fan_out(first, parallel)
     if "fact_orders" in tables:
-        orders = read_table(spark, lake.path("silver", "orders"))
-        shipments = read_if_exists(spark, lake.path("silver", "shipments"))
-        payments = read_if_exists(spark, lake.path("silver", "payments"))
+        orders = silver_table("orders")
+        shipments = read_if_exists(spark, lake.path("silver", "shipments"), merge_schema=False)
+        payments = read_if_exists(spark, lake.path("silver", "payments"), merge_schema=False)
         out["fact_orders"] = _publish(
             spark, lake, gold.fact_orders(orders, out["fact_order_items"], shipments, payments), "gold", "fact_orders")
     return out

@@ -36,10 +36,10 @@ def widen(df: DataFrame, parallelism: int | None = None, by: Sequence[str] | Non
     return df.repartition(n, *(by or df.columns)) if narrow else df
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_exists(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame | None:
     """The table at ``path``, or None if there is none (on any filesystem)."""
     try:
-        df = read_table(spark, path)
+        df = read_table(spark, path, merge_schema)
         df.schema  # resolves the file listing
         return df
     except AnalysisException as e:
