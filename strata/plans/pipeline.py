@@ -53,8 +53,12 @@ def fan_out(tasks: dict[str, Callable[[], object]], parallel: bool) -> dict[str,
 
 @dataclass
 class Lake:
+    """Where the layers live: ``<root>/<layer>/<name>``; CSV extracts, when
+    wanted, under ``<exports>/<layer>/<name>`` (one file each with
+    ``single_file_exports``, for small tables only)."""
     root: str
     exports: str | None = None
+    single_file_exports: bool = False
     written: dict[str, str] = field(default_factory=dict)
 
     def path(self, layer: str, name: str) -> str:
@@ -68,7 +72,7 @@ def _publish(spark: SparkSession, lake: Lake, df: DataFrame, layer: str, name: s
     lake.written[f"{layer}/{name}"] = path
     table = read_table(spark, path, merge_schema=False)  # written whole by one job: one schema
     if lake.exports:
-        export_csv(table, f"{lake.exports.rstrip('/')}/{layer}/{name}")
+        export_csv(table, f"{lake.exports.rstrip('/')}/{layer}/{name}", single_file=lake.single_file_exports)
     return table
 
 
@@ -143,10 +147,10 @@ def run_gold(spark: SparkSession, lake: Lake, tables: Sequence[str] = GOLD_TABLE
 def run_pipeline(spark: SparkSession, landing: str, lake_root: str, exports: str | None = None,
                  days: Sequence[str] | None = None, entities: Sequence[str] = ENTITIES,
                  gold_tables: Sequence[str] = GOLD_TABLES, by_header: bool = True,
-                 pattern: str = DEFAULT_PATTERN, parallel: bool = True) -> Lake:
+                 pattern: str = DEFAULT_PATTERN, parallel: bool = True, single_file_exports: bool = False) -> Lake:
     """bronze -> silver -> gold, in dependency order; inside a layer the
     independent stages run concurrently when ``parallel``."""
-    lake = Lake(lake_root, exports)
+    lake = Lake(lake_root, exports, single_file_exports)
     run_bronze(spark, landing, lake, entities=entities, days=days, by_header=by_header, pattern=pattern,
                parallel=parallel)
     run_silver(spark, lake, entities=entities, parallel=parallel)

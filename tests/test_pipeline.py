@@ -180,3 +180,14 @@ def test_rerun_of_silver_and_gold_is_stable(spark, lake):
     run_gold(spark, Lake(lake.root))
     after = sorted(map(tuple, read_table(spark, lake.path("gold", "fact_orders")).collect()))
     assert before == after
+
+
+def test_single_file_exports(spark, tmp_path):
+    import glob as _glob
+
+    root = tmp_path / "single"
+    write_landing(root / "landing")
+    lake = run_pipeline(spark, str(root / "landing"), str(root / "lake"), exports=str(root / "exports"),
+                        single_file_exports=True)
+    for table in ("silver/orders", "gold/fact_orders", "gold/dim_products"):
+        assert len(_glob.glob(f"{lake.exports}/{table}/**/part-*.csv", recursive=True)) == 1, table
