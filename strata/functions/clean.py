@@ -15,20 +15,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from strata.fixed import ACCENTED, DMY_MINUTES, MONEY_PRECISION, MONEY_SCALE, NO_VALUE, UNACCENTED
+
 ColumnOrName = Column | str
 
-# --- fixed values -----------------------------------------------------------
-# Accented letters folded to their base letter by ``strip_accents``.  The two
-# strings are aligned character by character (23 lower-case, then 23 upper-case).
-ACCENTED = "áàãâäéèêëíìîïóòõôöúùûüçÁÀÃÂÄÉÈÊËÍÌÎÏÓÒÕÔÖÚÙÛÜÇ"
-UNACCENTED = "aaaaaeeeeiiiiooooouuuucAAAAAEEEEIIIIOOOOOUUUUC"
-# Timestamp text accepted by default: whatever a cast to timestamp accepts
-# (ISO 8601 date, date-time with a space or a "T").  ``DMY_MINUTES`` is the
-# second layout seen in the feeds; it is opt-in.
-DMY_MINUTES = "dd/MM/yyyy HH:mm"
-# Money columns are decimal(10, 2).
-MONEY = DecimalType(10, 2)
-# -----------------------------------------------------------------------------
+# Timestamp text accepted by default is whatever a cast to timestamp accepts
+# (ISO 8601 date, date-time with a space or a "T"); ``DMY_MINUTES`` is opt-in.
+MONEY = DecimalType(MONEY_PRECISION, MONEY_SCALE)
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -61,8 +54,8 @@ def parse_ts(c: ColumnOrName, formats: Sequence[str | None] = (None,)) -> Column
     return tries[0] if len(tries) == 1 else F.coalesce(*tries)
 
 
-def null_if(c: ColumnOrName, sentinel: str) -> Column:
-    """Sentinel text (exact match, e.g. ``"N/A"``) -> null, before any parsing."""
+def null_if(c: ColumnOrName, sentinel: str = NO_VALUE) -> Column:
+    """Sentinel text (exact match; default ``NO_VALUE``) -> null, before any parsing."""
     return F.nullif(_col(c), F.lit(sentinel))
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strata.fixed import HOME_CURRENCY, MISSING_MARK
+
 
 def _true_or_false(cond: Column) -> Column:
     """``cond`` with null read as false (``when(cond, True).otherwise(False)``)."""
@@ -28,7 +30,7 @@ def customer_missing_fields(customer_id: Column, state: Column, city: Column) ->
 
 def order_flags(
     order_id: Column, customer_id: Column, order_ts: Column, total_amount: Column, currency: Column,
-    home_currency: str = "BRL",
+    home_currency: str = HOME_CURRENCY,
 ) -> dict[str, Column]:
     """Quality flags of a silver order (computed after the timestamp fallback).
 
@@ -56,14 +58,14 @@ def item_flags(quantity: Column, unit_price: Column) -> dict[str, Column]:
     }
 
 
-def product_flags(product_id: Column, category: Column, brand: Column, missing_mark: str = "UNKNOWN",
+def product_flags(product_id: Column, category: Column, brand: Column, missing_mark: str = MISSING_MARK,
                   category_mark: str | None = None) -> dict[str, Column]:
     """A product is flagged when any required field carries a missing mark.
 
     The category default is ``Unknown`` while the check looks for
     ``UNKNOWN`` (``category_mark`` defaults to ``missing_mark``), so by
-    default only the brand can raise the flag; pass ``category_mark="Unknown"``
-    for the strict reading.
+    default only the brand can raise the flag; pass the real default
+    (``CATEGORY_DEFAULT``) as ``category_mark`` for the strict reading.
     """
     marks = (
         product_id.isNull(),

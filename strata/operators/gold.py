@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata import fixed as K
 from strata.functions import clean as C
 from strata.operators.dedup import latest_by
 
@@ -26,9 +27,6 @@ FACT_ORDER_COLUMNS = ("order_id", "customer_id", "order_date", "order_ts", "gros
                       "delivered_ts", "delivery_time_hours", "is_late")
 SHIPMENT_FIELDS = ("carrier", "shipping_cost", "shipped_ts", "delivered_ts")
 
-# Delivery longer than this many hours is late (strictly greater).
-SLA_HOURS = 72
-
 
 def _newest_created(df: DataFrame, key: str, business: tuple[str, ...]) -> DataFrame:
     order = [F.col("created_ts").desc_nulls_last()]
@@ -48,8 +46,8 @@ def dim_products(silver: DataFrame) -> DataFrame:
     ingestion stamp."""
     df = silver.filter(F.col("product_id").isNotNull()).withColumns({
         "product_id": F.col("product_id").cast("string"),
-        "category": C.default_if_blank("category", "Unknown", then=C.upper_trim),
-        "brand": C.default_if_blank("brand", "Unknown", then=lambda c: F.initcap(F.trim(c))),
+        "category": C.default_if_blank("category", K.DIM_TEXT_DEFAULT, then=C.upper_trim),
+        "brand": C.default_if_blank("brand", K.DIM_TEXT_DEFAULT, then=lambda c: F.initcap(F.trim(c))),
         "created_ts": C.ts_or_ts("created_ts", "ingestion_ts"),
     })
     return _newest_created(df, "product_id", DIM_PRODUCT_COLUMNS).select(*DIM_PRODUCT_COLUMNS)
@@ -86,7 +84,7 @@ def fact_orders(
     shipments: DataFrame | None = None,
     payments: DataFrame | None = None,
     payment_source: str = "constant",
-    payment_default: str = "UNKNOWN",
+    payment_default: str = K.FACT_PAYMENT_DEFAULT,
 ) -> DataFrame:
     """One row per silver order: money, payment, shipping, delivery time,
     final status and the SLA flag.
@@ -128,13 +126,13 @@ def fact_orders(
         F.round(F.coalesce(gross, zero) - F.coalesce(discount, zero) + F.coalesce("shipping_cost", zero), 2)
         .alias("net_amount"),
         "payment_method",
-        F.when(F.col("delivered_ts").isNotNull(), "DELIVERED")
-        .when(F.col("shipped_ts").isNotNull(), "SHIPPED")
-        .otherwise("CREATED").alias("status_final"),
+        F.when(F.col("delivered_ts").isNotNull(), K.STATUS_DELIVERED)
+        .when(F.col("shipped_ts").isNotNull(), K.STATUS_SHIPPED)
+        .otherwise(K.STATUS_CREATED).alias("status_final"),
         "carrier",
         "shipping_cost",
         "shipped_ts",
         "delivered_ts",
         hours.alias("delivery_time_hours"),
-        (hours > SLA_HOURS).alias("is_late"),
+        (hours > K.SLA_HOURS).alias("is_late"),
     )

@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata import fixed as K
 from strata.functions import clean as C
 from strata.functions import flags as Q
 from strata.operators.dedup import latest_by, recency
@@ -64,8 +65,8 @@ def silver_customers(bronze: DataFrame) -> DataFrame:
     return df.withColumns({
         "has_null_required_fields": Q.customer_missing_fields(F.col("customer_id"), F.col("state"), F.col("city")),
     }).withColumns({
-        "state": C.default_if_blank("state", "NA"),
-        "city": C.default_if_blank("city", "Unknown"),
+        "state": C.default_if_blank("state", K.STATE_DEFAULT),
+        "city": C.default_if_blank("city", K.CITY_DEFAULT),
     }).select(*CUSTOMER_COLUMNS)
 
 
@@ -86,17 +87,17 @@ def silver_products(bronze: DataFrame, ts_formats: Sequence[str | None] = (None,
     )
     df = _newest(df, ["product_id"], ["category", "brand", "created_ts"])
     df = df.withColumns({
-        "category": C.default_if_blank("category", "Unknown", then=C.title_clean),
-        "brand": C.default_if_blank("brand", "UNKNOWN", then=C.upper_trim),
+        "category": C.default_if_blank("category", K.CATEGORY_DEFAULT, then=C.title_clean),
+        "brand": C.default_if_blank("brand", K.BRAND_DEFAULT, then=C.upper_trim),
         "product_created_date": F.to_date("created_ts"),
     })
     flags = Q.product_flags(F.col("product_id"), F.col("category"), F.col("brand"),
-                            category_mark="Unknown" if strict else None)
+                            category_mark=K.CATEGORY_DEFAULT if strict else None)
     return df.withColumns(flags).select(*PRODUCT_COLUMNS)
 
 
 def silver_orders(bronze: DataFrame, ts_formats: Sequence[str | None] = (None,), strict: bool = False,
-                  home_currency: str = "BRL") -> DataFrame:
+                  home_currency: str = K.HOME_CURRENCY) -> DataFrame:
     """Orders: parsed timestamp (missing -> midnight of the load day), money,
     lower-cased status and upper-cased payment method (missing -> ``UNKNOWN``),
     and quality flags.
@@ -120,8 +121,8 @@ def silver_orders(bronze: DataFrame, ts_formats: Sequence[str | None] = (None,),
     df = _newest(df, ["order_id"],
                  ["customer_id", "status", "payment_method", "currency", "order_ts", "total_amount"])
     df = df.withColumns({
-        "status": C.default_if_null("status", "UNKNOWN", then=F.lower),
-        "payment_method": C.default_if_null("payment_method", "UNKNOWN", then=F.upper),
+        "status": C.default_if_null("status", K.ORDER_STATUS_DEFAULT, then=F.lower),
+        "payment_method": C.default_if_null("payment_method", K.PAYMENT_DEFAULT, then=F.upper),
         "order_ts": C.ts_or_date("order_ts", "ingest_date"),
     }).withColumn("order_date", F.to_date("order_ts"))
     flags = Q.order_flags(F.col("order_id"), F.col("customer_id"), F.col("order_ts"), F.col("total_amount"),
@@ -152,7 +153,7 @@ def silver_order_items(bronze: DataFrame) -> DataFrame:
     return df.withColumns(Q.item_flags(F.col("quantity"), F.col("unit_price"))).select(*ORDER_ITEM_COLUMNS)
 
 
-def silver_shipments(bronze: DataFrame, ts_formats: Sequence[str | None] = (None,), sentinel: str = "N/A") -> DataFrame:
+def silver_shipments(bronze: DataFrame, ts_formats: Sequence[str | None] = (None,), sentinel: str = K.NO_VALUE) -> DataFrame:
     """Shipments: sentinel text -> null before parsing, carrier title-cased
     (missing -> ``Unknown``; blank stays blank), status lower-cased (missing
     -> ``unknown``), cost flagged when missing and then zeroed."""
@@ -168,8 +169,9 @@ def silver_shipments(bronze: DataFrame, ts_formats: Sequence[str | None] = (None
     )
     df = _newest(df, ["order_id"], ["carrier", "delivery_status", "shipped_ts", "delivered_ts", "shipping_cost"])
     df = df.withColumns({
-        "carrier": C.default_if_null("carrier", "Unknown", then=lambda c: C.title_clean(c, accents=False)),
-        "delivery_status": C.default_if_null("delivery_status", "unknown", then=lambda c: F.lower(F.trim(c))),
+        "carrier": C.default_if_null("carrier", K.CARRIER_DEFAULT, then=lambda c: C.title_clean(c, accents=False)),
+        "delivery_status": C.default_if_null("delivery_status", K.DELIVERY_STATUS_DEFAULT,
+                                            then=lambda c: F.lower(F.trim(c))),
         "is_shipping_cost_defaulted": F.col("shipping_cost").isNull(),
     }).withColumn("shipping_cost", C.zero_if_null("shipping_cost", C.money_zero()))
     flags = Q.shipment_flags(F.col("order_id"), F.col("delivery_status"), F.col("shipping_cost"))

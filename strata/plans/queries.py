@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, TimestampType
 
+from strata import fixed as K
 from strata.functions import clean as C
 from strata.operators import audit, gold, silver
 from strata.operators.inspect import preview
@@ -218,8 +219,8 @@ def q_parse_timestamp_multi(spark, sf):
 def q_null_sentinel(spark, sf):
     return feed(spark, sf, "shipments").select(
         "order_id", "ingest_date", F.col("delivered_ts").alias("delivered_raw"),
-        C.null_if("delivered_ts", "N/A").alias("delivered_text"),
-        C.parse_ts(C.null_if("delivered_ts", "N/A"), (None, C.DMY_MINUTES)).alias("delivered_ts"))
+        C.null_if("delivered_ts", K.NO_VALUE).alias("delivered_text"),
+        C.parse_ts(C.null_if("delivered_ts", K.NO_VALUE), (None, C.DMY_MINUTES)).alias("delivered_ts"))
 
 
 @register("text_normalize", _feed_sql(
@@ -243,9 +244,9 @@ def q_text_normalize(spark, sf):
 def q_default_blank(spark, sf):
     return feed(spark, sf, "customers").select(
         "customer_id", "ingest_date",
-        C.default_if_blank("state", "NA").alias("state_or_na"),
-        C.default_if_null("city", "Unknown").alias("city_or_unknown"),
-        C.default_if_blank("city", "Unknown", then=C.title_clean).alias("city_clean"))
+        C.default_if_blank("state", K.STATE_DEFAULT).alias("state_or_na"),
+        C.default_if_null("city", K.CITY_DEFAULT).alias("city_or_unknown"),
+        C.default_if_blank("city", K.CITY_DEFAULT, then=C.title_clean).alias("city_clean"))
 
 
 @register("negative_rules", O.with_(
