@@ -53,3 +53,26 @@ def test_parse_decimal_matches_rule(spark, values):
 def test_title_clean_matches_rule(spark, values):
     got = run(spark, values, C.title_clean("x"))
     assert got == [expected_title(v) for v in values]
+
+
+ROWS = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]),
+                          st.one_of(st.none(), st.integers(0, 3)),
+                          st.one_of(st.none(), st.sampled_from(["x", "y", "z"]))), min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(ROWS)
+def test_latest_by_matches_brute_force(spark, rows):
+    from strata.operators.dedup import latest_by, recency
+
+    df = spark.createDataFrame(rows, "k string, d int, v string")
+    got = sorted(((r.k, r.d, r.v) for r in latest_by(df, ["k"], recency("d")).collect()),
+                 key=lambda r: (r[0] is not None, r[0] or ""))
+    best = {}
+    for k, d, v in rows:
+        # newest first (d descending, nulls last), then v ascending with nulls first
+        rank = (d is None, -(d or 0), v is not None, v or "")
+        if k not in best or rank < best[k][0]:
+            best[k] = (rank, (k, d, v))
+    want = sorted((row for _, row in best.values()), key=lambda r: (r[0] is not None, r[0] or ""))
+    assert got == want
