@@ -375,6 +375,53 @@ def q_ingest_audit(spark, sf):
     return ingest_audit(feed_table(spark, sf, "events").withColumn("ingest_date", F.to_date("ts")))
 
 
+_ENTITIES = ("customers", "products", "orders", "order_items", "shipments")
+
+
+@register("bronze_rows_per_day", O.with_(
+    *O.feeds(*_ENTITIES),
+    final=" UNION ALL ".join(f"SELECT '{e}' AS table_name, CAST(ingest_date AS DATE) AS ingest_date, count(*) AS rows "
+                             f"FROM feed_{e} GROUP BY 2" for e in _ENTITIES)))
+def q_bronze_rows_per_day(spark, sf):
+    """Rows per load day of every landing feed (the ingest audit of each bronze table)."""
+    parts = [ingest_audit(feed(spark, sf, e), sort=False).select(F.lit(e).alias("table_name"), "ingest_date", "rows")
+             for e in _ENTITIES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _gold_counts_sql() -> str:
+    ctes = (O.feeds("customers", "products", "orders", "order_items", "shipments")
+            + O.silver_customers_ctes("feed_customers") + O.dim_customers_ctes("sc")
+            + O.silver_products_ctes("feed_products") + O.dim_products_ctes("sp")
+            + O.silver_orders_ctes("feed_orders") + O.silver_order_items_ctes("feed_order_items")
+            + O.fact_order_items_ctes("si") + O.silver_shipments_ctes("feed_shipments")
+            + O.fact_orders_ctes("so", "fi", "ss"))
+    rels = {"dim_customers": "dc", "dim_products": "dp", "fact_order_items": "fi", "fact_orders": "fo"}
+    return O.with_(*ctes, final=" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows FROM {r}" for t, r in rels.items()))
+
+
+@register("gold_row_counts", _gold_counts_sql())
+def q_gold_row_counts(spark, sf):
+    """Row count of each gold table (one global count per table)."""
+    items = items_gold(spark, sf)
+    tables = {
+        "dim_customers": gold.dim_customers(silver.silver_customers(feed(spark, sf, "customers"))),
+        "dim_products": gold.dim_products(silver.silver_products(feed(spark, sf, "products"))),
+        "fact_order_items": items,
+        "fact_orders": gold.fact_orders(orders_silver(spark, sf), items, shipments_silver(spark, sf)),
+    }
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "rows")
+             for t, df in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # --- sources and sinks -----------------------------------------------------------------------------
 
 _CUSTOMER_LANDING = ("customer_id", "state", "city", "created_ts")

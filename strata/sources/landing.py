@@ -160,6 +160,8 @@ def ingest_entity(
     return out
 
 
-def ingest_audit(df: DataFrame, day_col: str = "ingest_date") -> DataFrame:
-    """Rows per day, oldest first (a small result: one row per day)."""
-    return df.groupBy(day_col).agg(F.count(F.lit(1)).alias("rows")).orderBy(day_col)
+def ingest_audit(df: DataFrame, day_col: str = "ingest_date", sort: bool = True) -> DataFrame:
+    """Rows per day (a small result: one row per day), oldest first unless
+    ``sort=False`` (for a result that is combined further anyway)."""
+    counts = df.groupBy(day_col).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.orderBy(day_col) if sort else counts
