@@ -76,3 +76,29 @@ def test_latest_by_matches_brute_force(spark, rows):
             best[k] = (rank, (k, d, v))
     want = sorted((row for _, row in best.values()), key=lambda r: (r[0] is not None, r[0] or ""))
     assert got == want
+
+
+STAMPS = st.lists(st.one_of(st.none(), st.tuples(
+    st.integers(2000, 2030), st.integers(0, 13), st.integers(0, 32), st.integers(0, 24), st.integers(0, 60),
+    st.sampled_from([" ", "T"]))), min_size=1, max_size=60)
+
+
+@SETTINGS
+@given(STAMPS)
+def test_parse_ts_iso_matches_calendar(spark, parts):
+    import datetime as dt
+
+    values, want = [], []
+    for p in parts:
+        if p is None:
+            values.append(None)
+            want.append(None)
+            continue
+        y, mo, d, h, mi, sep = p
+        values.append(f"{y:04d}-{mo:02d}-{d:02d}{sep}{h:02d}:{mi:02d}:00")
+        try:
+            want.append(dt.datetime(y, mo, d, h, mi))
+        except ValueError:
+            want.append(None)
+    got = run(spark, values, C.parse_ts("x").cast("timestamp_ntz"))
+    assert got == want
