@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat_format, exact_dedup, license_scan, token_files, url_filter
+from strata.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, pii, token_files, toxicity, url_filter
 from strata.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,14 +38,35 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(spark, docs, tokenizer_path(), scratch_path(spark, "token-files"), END_ID)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "item_words", "covered_words", "coverage", F.size("tiles").alias("n_tiles"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    name = F.array(*[F.lit(k) for k in pii.KINDS])
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        listed(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
@@ -59,13 +80,28 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.conversation_digests(chat_format.format_windows(turns.unionByName(more)))
 
 
+def severity_grade() -> Column:
+    """The labels have no severity: 0 not toxic, 1 toxic, 2 toxic in a text of low quality."""
+    return F.when(F.col("toxic") == 0, 0).when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), severity_grade())
+    return toxicity.severity(docs, model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_token_files": op2_token_files,
+    "op3_decontaminate": op3_decontaminate,
     "op4_url_filter": op4_url_filter,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_pii": op7_pii,
     "op8_bpe": op8_bpe,
     "op9_chat_format": op9_chat_format,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
