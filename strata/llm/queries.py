@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, pii, token_files, toxicity, url_filter
+from strata.llm.oracles import ORACLE as ORACLE
 from strata.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -103,5 +104,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_format": op9_chat_format,
     "op10_toxicity": op10_toxicity,
 }
-
-ORACLE: dict[str, str] = {}
