@@ -56,6 +56,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
 
+def _equals(value: int) -> Callable[[Column], Column]:
+    return lambda x: x == value
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
     name = F.array(*[F.lit(k) for k in pii.KINDS])
@@ -63,7 +67,8 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def listed(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, _equals(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
                         listed(F.array_sort(F.concat("base", "added"))).alias("spans"))
 
