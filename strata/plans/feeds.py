@@ -21,8 +21,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.sources.tables import widen
-
 
 def _s(expr: str) -> str:
     return f"CAST({expr} AS STRING)"
@@ -183,10 +181,13 @@ def _products(c: int) -> dict[str, str]:
 
 
 def _payments(c: int) -> dict[str, str]:
+    """Every order's payment, and a second one: sent again on a later or earlier
+    day with another method, or split on the same day."""
     return {
         "order_id": f"'O' || {_s('o_orderkey')}",
-        "payment_method": ("CASE o_custkey % 5 WHEN 0 THEN 'PIX' WHEN 1 THEN 'CREDIT_CARD' WHEN 2 THEN 'BOLETO'"
+        "payment_method": (f"CASE (o_custkey + {c} * (o_orderkey % 3)) % 5 WHEN 0 THEN 'PIX' WHEN 1 THEN 'CREDIT_CARD' WHEN 2 THEN 'BOLETO'"
                            " WHEN 3 THEN 'DEBIT_CARD' ELSE NULL END"),
+        "ingest_date": f"CAST(o_orderdate AS DATE) + CAST({c} * (o_orderkey % 3 - 1) AS INT)",
     }
 
 
@@ -204,7 +205,7 @@ FEEDS: dict[str, Feed] = {
     "shipments": Feed(("lineitem",), _shipments),
     "customers": Feed(("customer", "nation"), _customers, copies=2, join="c_nationkey = n_nationkey"),
     "products": Feed(("part",), _products, copies=2),
-    "payments": Feed(("orders",), _payments),
+    "payments": Feed(("orders",), _payments, copies=2),
 }
 
 
@@ -227,33 +228,17 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-# Unique key of each benchmark table read by a feed or query.
-TABLE_KEYS = {
-    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
-    "orders": ("o_orderkey",),
-    "customer": ("c_custkey",),
-    "part": ("p_partkey",),
-    "events": ("event_id",),
-}
-
-
-def scan(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A benchmark table, spread over the cores (on its key) if its file reads as one task."""
-    return widen(read_table(spark, sf_dir, table), by=TABLE_KEYS.get(table))
-
-
 def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The feed as a Spark frame (each copy is a projection of the scan)."""
+    """The feed as a Spark frame: one scan, each row unfolded into its copies."""
     f = FEEDS[name]
-    src = scan(spark, sf_dir, f.tables[0])
+    src = read_table(spark, sf_dir, f.tables[0])
     if f.join is not None:
         # the dimension side is a fixed-size reference table (25 nations)
         src = src.join(read_table(spark, sf_dir, f.tables[1]), on=_join_cols(f.join), how="inner")
-    frames = [src.selectExpr(*(f"{expr} AS {col}" for col, expr in f.columns(c).items())) for c in range(f.copies)]
-    out = frames[0]
-    for other in frames[1:]:
-        out = out.unionByName(other)
-    return out
+    if f.copies == 1:
+        return src.selectExpr(*(f"{expr} AS {col}" for col, expr in f.columns(0).items()))
+    rows = ("named_struct(" + ", ".join(f"'{col}', {expr}" for col, expr in f.columns(c).items()) + ")" for c in range(f.copies))
+    return src.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _join_cols(cond: str):

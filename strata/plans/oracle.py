@@ -10,9 +10,23 @@ never matter.
 
 from __future__ import annotations
 
-from strata.functions.clean import ACCENTED, UNACCENTED
 from strata.plans.feeds import feed_sql
 
+# --- fixed values -----------------------------------------------------------
+# Stated here again, not imported: a wrong entry in the library must show.
+ACCENTED = "áàãâäéèêëíìîïóòõôöúùûüçÁÀÃÂÄÉÈÊËÍÌÎÏÓÒÕÔÖÚÙÛÜÇ"
+UNACCENTED = "aaaaaeeeeiiiiooooouuuucAAAAAEEEEIIIIOOOOOUUUUC"
+FLAGS = {
+    "customers": ("has_null_required_fields",),
+    "products": ("has_null_required_fields", "is_valid_record"),
+    "orders": ("is_currency_defaulted", "is_total_amount_defaulted", "has_foreign_currency",
+               "has_null_required_fields", "has_invalid_values", "is_valid_record"),
+    "order_items": ("has_invalid_quantity", "is_valid_item"),
+    "shipments": ("is_shipping_cost_defaulted", "has_null_required_fields", "has_invalid_values",
+                  "is_valid_record"),
+}
+# -----------------------------------------------------------------------------
+
 
 def initcap(x: str) -> str:
     """Spark's initcap (lower everything, upper the first letter after each space)."""
@@ -192,7 +206,9 @@ def fact_orders_ctes(orders: str, items: str, ships: str | None, payments: str |
         ship_join = f" LEFT JOIN {ships} s ON o.order_id = s.order_id"
     pay_col, pay_join = "'UNKNOWN' AS payment_method", ""
     if payments is not None:
-        pay_col, pay_join = "pm.payment_method", f" LEFT JOIN {payments} pm ON o.order_id = pm.order_id"
+        pay_col, pay_join = "pm.payment_method", (
+            f" LEFT JOIN ({newest(payments, 'order_id', 'ingest_date DESC NULLS LAST, payment_method ASC NULLS LAST')}) pm"
+            f" ON o.order_id = pm.order_id")
     joined = (f"SELECT o.order_id, o.customer_id, o.order_ts, round(a.gross_amount, 2) AS gross_amount, "
               f"round(a.discount_total, 2) AS discount_total, {pay_col}, {ship_cols} "
               f"FROM {orders} o LEFT JOIN {p}_a a ON o.order_id = a.order_id{pay_join}{ship_join}")

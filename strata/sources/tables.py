@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,26 +14,6 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> Dat
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
-def widen(df: DataFrame, parallelism: int | None = None, by: Sequence[str] | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than there are cores.
-
-    A Parquet file with a single row group (or one gzip CSV) is read by one
-    task, and every narrow step above it (parsing, cleaning, the map side of
-    the next shuffle) then runs on one core.  Such a scan is hash-partitioned
-    to ``parallelism`` (default: the session's default parallelism) on
-    ``by``, ideally a unique key, else on all columns.  Hashing is
-    deterministic, so a retried task gets the same rows, and unlike a
-    round-robin split it needs no sort first.  A scan that is already wide,
-    as any large multi-file table is, comes back unchanged, so this adds no
-    shuffle at scale."""
-    try:
-        n = parallelism or df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < n
-    except Exception:  # noqa: BLE001 - a remote (Connect) session exposes no partitions: leave the scan as is
-        return df
-    return df.repartition(n, *(by or df.columns)) if narrow else df
-
-
 def read_if_exists(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame | None:
     """The table at ``path``, or None if there is none (on any filesystem)."""
     try:
