@@ -118,7 +118,7 @@ def whole_units(c: ColumnOrName) -> Column:
 
 def ts_or_date(ts: ColumnOrName, d: ColumnOrName) -> Column:
     """Missing timestamp -> midnight of the fallback date."""
-    return F.coalesce(_col(ts), _col(d).cast("timestamp"))
+    return F.coalesce(_col(ts), _col(d).try_cast("timestamp"))
 
 
 def ts_or_ts(a: ColumnOrName, b: ColumnOrName) -> Column:

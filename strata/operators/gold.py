@@ -6,8 +6,8 @@ broadcasts a side only when its measured size is under
 per-order aggregate leaves its output hash-partitioned by ``order_id``, so
 the sort-merge joins that follow reuse that partitioning instead of
 shuffling it again.  Every join side is unique per ``order_id`` (silver
-orders / shipments are de-duplicated, the aggregate has one row per order),
-so no key can fan out.
+orders / shipments are de-duplicated, the aggregate has one row per order, payments
+are reduced to one per order), so no key can fan out.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from strata import fixed as K
 from strata.functions import clean as C
-from strata.operators.dedup import latest_by
+from strata.operators.dedup import latest_by, recency
 
 DIM_CUSTOMER_COLUMNS = ("customer_id", "state", "city", "created_ts")
 DIM_PRODUCT_COLUMNS = ("product_id", "category", "brand", "created_ts")
@@ -78,6 +78,16 @@ def order_item_totals(items: DataFrame) -> DataFrame:
     )
 
 
+def one_payment(payments: DataFrame) -> DataFrame:
+    """One method per order: of the newest load (``ingest_date``, then
+    ``ingestion_ts``, as far as the table has them), a named method before
+    a missing one, then the first by name."""
+    loads = [c for c in ("ingest_date", "ingestion_ts") if c in payments.columns]
+    rows = payments.filter(F.col("order_id").isNotNull()).select("order_id", "payment_method", *loads)
+    newest = latest_by(rows, ["order_id"], recency(*loads), tie_break=[F.col("payment_method").asc_nulls_last()])
+    return newest.select("order_id", "payment_method")
+
+
 def fact_orders(
     orders: DataFrame,
     items: DataFrame,
@@ -85,20 +95,27 @@ def fact_orders(
     payments: DataFrame | None = None,
     payment_source: str = "constant",
     payment_default: str = K.FACT_PAYMENT_DEFAULT,
+    valid_only: bool = False,
 ) -> DataFrame:
     """One row per silver order: money, payment, shipping, delivery time,
     final status and the SLA flag.
 
-    ``items`` are gold order lines.  ``payments`` (order_id, payment_method)
-    replaces the order's own method when given; otherwise the method is
+    ``items`` are gold order lines.  ``payments`` (order_id, payment_method,
+    and perhaps load columns) replaces the order's own method when given, one
+    payment per order (see ``one_payment``); otherwise the method is
     ``payment_default`` (``payment_source="orders"`` keeps the order's
-    method instead).  Without ``shipments`` the shipping columns are typed
+    method instead).  ``valid_only`` leaves out orders whose silver row is
+    not a valid record.  Without ``shipments`` the shipping columns are typed
     nulls and a zero cost.  Orders with no lines keep null gross/discount.
     """
+    if payment_source not in ("constant", "orders"):
+        raise ValueError(f"payment_source is 'constant' or 'orders', not {payment_source!r}")
+    if valid_only:
+        orders = orders.filter("is_valid_record")
     df = orders.join(order_item_totals(items), "order_id", "left")
 
     if payments is not None:
-        df = df.drop("payment_method").join(payments.select("order_id", "payment_method"), "order_id", "left")
+        df = df.drop("payment_method").join(one_payment(payments), "order_id", "left")
     elif payment_source != "orders":
         df = df.withColumn("payment_method", F.lit(payment_default))
 

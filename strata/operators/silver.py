@@ -59,7 +59,7 @@ def silver_customers(bronze: DataFrame) -> DataFrame:
         C.title_clean("city").alias("city"),
         C.parse_ts("created_ts").alias("created_ts"),
         "ingestion_ts",
-        F.col("ingest_date").cast("date").alias("ingest_date"),
+        F.col("ingest_date").try_cast("date").alias("ingest_date"),
     )
     df = _newest(df, ["customer_id"], ["state", "city", "created_ts"])
     return df.withColumns({
@@ -83,7 +83,7 @@ def silver_products(bronze: DataFrame, ts_formats: Sequence[str | None] = (None,
         F.col("brand").cast("string").alias("brand"),
         C.parse_ts("created_ts", ts_formats).alias("created_ts"),
         "ingestion_ts",
-        F.col("ingest_date").cast("date").alias("ingest_date"),
+        F.col("ingest_date").try_cast("date").alias("ingest_date"),
     )
     df = _newest(df, ["product_id"], ["category", "brand", "created_ts"])
     df = df.withColumns({
@@ -116,7 +116,7 @@ def silver_orders(bronze: DataFrame, ts_formats: Sequence[str | None] = (None,),
         C.parse_ts("order_ts", ts_formats).alias("order_ts"),
         C.parse_decimal("total_amount").alias("total_amount"),
         "ingestion_ts",
-        F.col("ingest_date").cast("date").alias("ingest_date"),
+        F.col("ingest_date").try_cast("date").alias("ingest_date"),
     )
     df = _newest(df, ["order_id"],
                  ["customer_id", "status", "payment_method", "currency", "order_ts", "total_amount"])
@@ -142,7 +142,7 @@ def silver_order_items(bronze: DataFrame) -> DataFrame:
         C.parse_decimal("unit_price").alias("unit_price"),
         C.parse_decimal("discount_amount").alias("discount_amount"),
         "ingestion_ts",
-        F.col("ingest_date").cast("date").alias("ingest_date"),
+        F.col("ingest_date").try_cast("date").alias("ingest_date"),
     )
     df = _newest(df, ["order_id", "product_id"], ["quantity", "unit_price", "discount_amount"])
     df = df.withColumns({
@@ -165,7 +165,7 @@ def silver_shipments(bronze: DataFrame, ts_formats: Sequence[str | None] = (None
         C.parse_ts(C.null_if("delivered_ts", sentinel), ts_formats).alias("delivered_ts"),
         C.parse_decimal("shipping_cost").alias("shipping_cost"),
         "ingestion_ts",
-        F.col("ingest_date").cast("date").alias("ingest_date"),
+        F.col("ingest_date").try_cast("date").alias("ingest_date"),
     )
     df = _newest(df, ["order_id"], ["carrier", "delivery_status", "shipped_ts", "delivered_ts", "shipping_cost"])
     df = df.withColumns({

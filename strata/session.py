@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -16,7 +18,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -57,7 +58,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster the folder must be set by whoever runs the job (it has to be
     visible to every executor).  Only a local-mode session without one gets a
-    fresh temporary folder, which is then registered as its checkpoint dir.
+    fresh temporary folder, which is then registered as its checkpoint dir
+    and removed when the process ends.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -65,7 +67,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
+    own = tempfile.mkdtemp(prefix="strata-ckpt-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    sc.setCheckpointDir(own)
     return sc.getCheckpointDir().rstrip("/")
 
 

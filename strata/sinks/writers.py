@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Full overwrite of a Parquet table (optionally partitioned; a
     partitioned table is clustered by its partition columns first, see
-    ``cluster_by``)."""
+    ``cluster_by``).  Partitions that ``df`` doesn't have go too, whatever
+    the session's overwrite mode."""
     if partition_by:
-        cluster_by(df, *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        (cluster_by(df, *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(*partition_by).parquet(path))
     else:
         df.write.mode("overwrite").parquet(path)
 
@@ -34,12 +37,43 @@ def write_days(df: DataFrame, path: str, day_col: str = "ingest_date", cluster:
     appending them a second time, so a load is idempotent.  A daily load
     writes map-side (one file per input split, no shuffle); ``cluster=True``
     suits a backfill of many days, where that would mean one file per task
-    and day (see ``cluster_by``)."""
+    and day (see ``cluster_by``).  A path that a streaming query writes is
+    refused: its readers follow the stream's log and would not see these files."""
+    if _exists(df.sparkSession, f"{path.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{path} is written by a streaming query; load it with that query only")
     out = cluster_by(df, day_col) if cluster else df
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(day_col).parquet(path))
 
 
+def clear_days(spark: SparkSession, path: str, days: Sequence[str], day_col: str = "ingest_date") -> None:
+    """Remove whole days from a table partitioned by ``day_col``."""
+    for day in days:
+        fs, folder = _file_system(spark, f"{path.rstrip('/')}/{day_col}={day}")
+        fs.delete(folder, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _file_system(spark, path)
+    return fs.exists(folder)
+
+
+def export_days(df: DataFrame, path: str, day_col: str = "ingest_date", delimiter: str = ";") -> None:
+    """Delimited extracts of a table by day, ``<path>/<day_col>=<d>/``; only
+    the days of ``df`` are replaced.  The day is a column of the files too."""
+    names = df.columns
+    out = cluster_by(df.withColumn(f"__{day_col}", F.col(day_col)), f"__{day_col}")
+    out = out.select(*names, F.col(f"__{day_col}"))
+    folders = out.withColumnsRenamed({day_col: f"{day_col} ", f"__{day_col}": day_col})
+    (folders.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True)
+     .option("delimiter", delimiter).partitionBy(day_col).csv(path))
+
+
 def export_csv(df: DataFrame, path: str, delimiter: str = ";", header: bool = True,
                single_file: bool = False, trim_edges: bool = True) -> None:
     """Delimited extract of a table.

@@ -6,27 +6,28 @@ entity: the day comes from the path as an inferred ``date`` partition column,
 so there is no driver loop over days and a new day is just another folder.
 
 Every column is read as text (nothing inferred; typing happens in silver).
-CSV columns bind by *position* when one schema is applied to many files.
-Columns appended at the end of the header on a later day (the drift seen in
-practice) are safe with ``columns`` listing the superset in header order;
-anything else should be read with ``by_header=True``, which groups the files
-by their header line and unions the groups by name.
+CSV columns bind by *position* inside one read, so files are grouped by their
+header line first (``by_header``, the default) and the groups are joined by
+name: a column inserted, appended or moved on a later day is safe.  A read by
+position checks every file's header against the expected columns and fails on
+a mismatch.
 """
 
 from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField
 
-from strata.sinks.writers import write_days
-from strata.sources.contracts import all_text
+from strata.sinks.writers import clear_days, write_days
+from strata.sources.contracts import LINEAGE_COLUMNS, all_text
+from strata.sources.tables import read_table
 
 DEFAULT_PATTERN = "ingest_date=*/{entity}.csv"
+CORRUPT = "_corrupt_record"
 
 
 def lineage(df: DataFrame, ingestion_ts: Column | None = None) -> DataFrame:
@@ -56,42 +57,57 @@ def _base_path(root: str, pattern: str, entity: str) -> str:
     return f"{root}/{prefix}" if prefix else root
 
 
-def _first_line(jvm, fs, path) -> str:
-    stream = fs.open(path)
-    try:
-        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
-    finally:
-        stream.close()
-
-
-def file_headers(spark: SparkSession, paths: Sequence[str], delimiter: str = ",",
-                 threads: int = 16) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their header line.
-
-    Files are listed through the Hadoop filesystem, then the first line of
-    each is read: one short read per file, no data, done by ``threads``
-    concurrent readers so that object-store latency is paid in parallel."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    files = []
-    for pattern in paths:
-        gpath = jvm.org.apache.hadoop.fs.Path(pattern)
-        fs = gpath.getFileSystem(conf)
-        for status in fs.globStatus(gpath) or []:
-            targets = [status] if status.isFile() else [s for s in fs.listStatus(status.getPath()) if s.isFile()]
-            files.extend((fs, st.getPath()) for st in targets if not st.getPath().getName().startswith(("_", ".")))
-    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        lines = list(pool.map(lambda f: _first_line(jvm, *f), files))
+def header_names(line: str, delimiter: str = ",") -> tuple[str, ...]:
+    """Column names of a CSV header line (quotes and a byte-order mark removed).
+
+    An empty line, an empty or repeated name, or a name that the load adds
+    itself can't be a header: reading on would lose or overwrite columns."""
+    fields = next(csv.reader([line.lstrip("﻿").strip()], delimiter=delimiter), [])
+    names = tuple(f.strip() for f in fields)
+    if not names or not all(names) or len({n.lower() for n in names}) < len(names):
+        raise ValueError(f"not a header line: {line!r}")
+    if reserved := {n.lower() for n in names} & {*LINEAGE_COLUMNS, CORRUPT}:
+        raise ValueError(f"header names reserved columns {sorted(reserved)}: {line!r}")
+    return names
+
+
+def file_headers(spark: SparkSession, glob: str, base: str) -> DataFrame:
+    """(file, ingest_date, header): the first line of every landing file.
+
+    One distributed text scan (so any codec Spark reads works), reduced to a
+    row per file inside the tasks."""
+    lines = spark.read.option("basePath", base).text(glob)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                         F.monotonically_increasing_id().alias("place"), "ingest_date", "value")
+    return lines.filter("block = 0").groupBy("file", "ingest_date").agg(F.min_by("value", "place").alias("header"))
+
+
+def _groups(spark: SparkSession, glob: str, base: str, delimiter: str) -> dict[tuple[str, ...], list[str]]:
+    """Paths to read by header.  Only days and their distinct headers reach
+    the driver; single files only for days that mix several headers."""
+    found = file_headers(spark, glob, base)
+    days = found.groupBy("ingest_date").agg(F.collect_set("header").alias("headers")).collect()
+    named = {r["ingest_date"]: {header_names(h, delimiter) for h in r["headers"]} for r in days}
+    headers = {h for hs in named.values() for h in hs}
+    if len(headers) == 1:
+        return {headers.pop(): [glob]}
     groups: dict[tuple[str, ...], list[str]] = {}
-    for (_, path), line in zip(files, lines):
-        groups.setdefault(header_names(line, delimiter), []).append(path.toString())
+    pure: dict[tuple[str, ...], list[str]] = {}
+    for day, hs in named.items():
+        if len(hs) == 1:
+            pure.setdefault(next(iter(hs)), []).append(str(day))
+    for header, some in pure.items():
+        groups[header] = [_for_days(glob, some)]
+    mixed = [day for day, hs in named.items() if len(hs) > 1]
+    if mixed:
+        for r in found.filter(F.col("ingest_date").isin(mixed)).select("file", "header").collect():
+            groups.setdefault(header_names(r["header"], delimiter), []).append(r["file"])
     return groups
 
 
-def header_names(line: str, delimiter: str = ",") -> tuple[str, ...]:
-    """Column names of a CSV header line (quotes and a byte-order mark removed)."""
-    fields = next(csv.reader([line.lstrip("\ufeff").strip()], delimiter=delimiter), [])
-    return tuple(f.strip() for f in fields)
+def _for_days(glob: str, days: Sequence[str]) -> str:
+    head, _, tail = glob.partition("ingest_date=")
+    return f"{head}ingest_date={{{','.join(sorted(days))}}}/{tail.partition('/')[2]}"
 
 
 def read_landing(
@@ -101,41 +117,41 @@ def read_landing(
     columns: Sequence[str] | None = None,
     pattern: str = DEFAULT_PATTERN,
     delimiter: str = ",",
-    by_header: bool = False,
+    by_header: bool = True,
     days: Sequence[str] | None = None,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """All days (or only ``days``) of one entity as text columns plus the
-    ``ingest_date`` partition.
-
-    Empty fields read as null.  See the module note on ``columns`` and
-    ``by_header``.  With ``days`` the path glob names those day folders
-    (``ingest_date={d1,d2}``), so only they are listed, however many days
-    the landing zone holds."""
+    ``ingest_date`` partition and ``source_file``.
+
+    Empty fields read as null.  ``by_header`` binds columns by name, whatever
+    their order in a file; without it ``columns`` (default: one file's header)
+    bind by position, and a file whose header differs fails the read.
+    ``keep_corrupt`` adds ``_corrupt_record`` with the text of rows that
+    don't fit their header.  With ``days`` the path glob names those day
+    folders, so only they are listed, however many days the zone holds."""
     root = root.rstrip("/")
     glob = f"{root}/{pattern.format(entity=entity)}"
     if days:
-        glob = glob.replace("ingest_date=*", "ingest_date={" + ",".join(days) + "}")
+        glob = _for_days(glob, days)
     base = _base_path(root, pattern, entity)
+
+    def schema_of(names: Sequence[str]):
+        return all_text([*names, *([CORRUPT] if keep_corrupt else [])]).add(StructField("ingest_date", DateType(), True))
+
     if by_header:
-        frames = []
-        for header, files in file_headers(spark, [glob], delimiter).items():
-            frames.append(_with_source(_reader(spark, base, delimiter).schema(_with_day(all_text(header))).csv(files)))
-        if not frames:
+        groups = _groups(spark, glob, base, delimiter)
+        if not groups:
             raise FileNotFoundError(glob)
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f, allowMissingColumns=True)
+        out = None
+        for header, paths in groups.items():
+            frame = _with_source(_reader(spark, base, delimiter).schema(schema_of(header)).csv(paths))
+            out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
         return out
-    reader = _reader(spark, base, delimiter)
-    if columns is not None:
-        reader = reader.schema(_with_day(all_text(columns)))
-    else:
-        reader = reader.option("inferSchema", False)
-    return _with_source(reader.csv(glob))
-
-
-def _with_day(schema):
-    return schema.add(StructField("ingest_date", DateType(), True))
+    reader = _reader(spark, base, delimiter).option("enforceSchema", False)
+    if columns is None:
+        columns = [f.name for f in reader.option("inferSchema", False).csv(glob).schema.fields if f.name != "ingest_date"]
+    return _with_source(reader.schema(schema_of(columns)).csv(glob))
 
 
 def ingest_entity(
@@ -146,22 +162,41 @@ def ingest_entity(
     columns: Sequence[str] | None = None,
     pattern: str = DEFAULT_PATTERN,
     days: Sequence[str] | None = None,
-    by_header: bool = False,
+    by_header: bool = True,
+    keep_corrupt: bool = False,
+    cluster: bool = False,
 ) -> DataFrame:
-    """Load one entity into bronze, replacing only the days it carries.
+    """Load one entity into bronze and return the written table.
 
-    ``days`` limits the load to some days: only those folders are listed
-    and read.  Running it twice leaves one copy."""
-    df = read_landing(spark, landing_root, entity, columns, pattern, by_header=by_header, days=days)
+    Only the days carried are replaced; with ``days`` only those folders are
+    listed and read, and each of them is replaced even if it has no rows any
+    more.  Running it twice leaves one copy."""
+    df = read_landing(spark, landing_root, entity, columns, pattern, by_header=by_header, days=days, keep_corrupt=keep_corrupt)
     if days:
         df = df.filter(F.col("ingest_date").isin([F.lit(d).cast("date") for d in days]))
-    out = lineage(df)
-    write_days(out, bronze_path)
-    return out
+    seen = Observation()
+    out = lineage(df).observe(seen, F.collect_set(F.col("ingest_date").cast("string")).alias("days"))
+    write_days(out, bronze_path, cluster=cluster)
+    if days:
+        clear_days(spark, bronze_path, sorted(set(days) - set(seen.get["days"])))
+    return read_table(spark, bronze_path)
 
 
 def ingest_audit(df: DataFrame, day_col: str = "ingest_date", sort: bool = True) -> DataFrame:
     """Rows per day (a small result: one row per day), oldest first unless
-    ``sort=False`` (for a result that is combined further anyway)."""
-    counts = df.groupBy(day_col).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.orderBy(day_col) if sort else counts
+    ``sort=False`` (for a result that is combined further anyway); with the
+    number of ``corrupt_rows`` if the table keeps them."""
+    counts = [F.count(F.lit(1)).alias("rows")]
+    if CORRUPT in df.columns:
+        counts.append(F.count(CORRUPT).alias("corrupt_rows"))
+    out = df.groupBy(day_col).agg(*counts)
+    return out.orderBy(day_col) if sort else out
+
+
+def lineage_audit(df: DataFrame, day_col: str = "ingest_date") -> DataFrame:
+    """Per day: rows, distinct load stamps, rows without a stamp, and rows
+    whose source file doesn't lie in the day's folder."""
+    inside = F.col("source_file").contains(F.concat(F.lit(f"/{day_col}="), F.col(day_col).cast("string"), F.lit("/")))
+    return df.groupBy(day_col).agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("ingestion_ts").alias("stamps"),
+        F.count_if(F.col("ingestion_ts").isNull()).alias("unstamped"), F.count_if(~F.coalesce(inside, F.lit(False))).alias("misplaced"))

@@ -37,10 +37,10 @@ def start_incremental_ingest(
     ``bronze_path`` (Parquet, partitioned by ``ingest_date``).
 
     ``columns`` is the text schema in header order (a stream needs a fixed
-    schema; columns appended later are read as null in older files)."""
+    schema); a file whose header differs from it fails the run."""
     schema = all_text(columns).add(StructField("ingest_date", DateType(), True))
     reader = (spark.readStream.schema(schema).option("header", True).option("delimiter", delimiter)
-              .option("mode", "PERMISSIVE"))
+              .option("mode", "PERMISSIVE").option("enforceSchema", False))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = lineage(reader.csv(landing_entity_root))
@@ -51,7 +51,9 @@ def start_incremental_ingest(
 
 
 def drain(query: StreamingQuery, timeout_s: float | None = None) -> None:
-    """Wait for an ``availableNow`` run to finish; re-raise its failure."""
-    query.awaitTermination(timeout_s)
+    """Wait for an ``availableNow`` run to finish; re-raise its failure, and
+    raise ``TimeoutError`` if it is still running after ``timeout_s``."""
+    if query.awaitTermination(timeout_s) is False:
+        raise TimeoutError(f"the load is still running after {timeout_s} s")
     if query.exception() is not None:
         raise query.exception()
