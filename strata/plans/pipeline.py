@@ -17,10 +17,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators import gold, silver
-from strata.sinks.writers import export_csv, write_table
-from strata.sources.contracts import business_columns
+from strata.sinks.writers import export_csv, export_days, write_table
+from strata.sources.contracts import LINEAGE_COLUMNS, business_columns
 from strata.sources.landing import DEFAULT_PATTERN, ingest_entity
 from strata.sources.tables import read_if_exists, read_table
 
@@ -36,6 +37,7 @@ SILVER_STAGES = {
 }
 # silver products is partitioned by load day, like bronze
 SILVER_PARTITIONS = {"products": ("ingest_date",)}
+SINGLE_FILE_TABLES = ("dim_customers", "dim_products")
 
 
 def fan_out(tasks: dict[str, Callable[[], object]], parallel: bool) -> dict[str, object]:
@@ -54,8 +56,9 @@ def fan_out(tasks: dict[str, Callable[[], object]], parallel: bool) -> dict[str,
 @dataclass
 class Lake:
     """Where the layers live: ``<root>/<layer>/<name>``; CSV extracts, when
-    wanted, under ``<exports>/<layer>/<name>`` (one file each with
-    ``single_file_exports``, for small tables only)."""
+    wanted, under ``<exports>/<layer>/<name>``.  ``single_file_exports`` makes
+    the extracts of the two dimensions one file each; the other tables
+    grow with the orders and always keep one file per task."""
     root: str
     exports: str | None = None
     single_file_exports: bool = False
@@ -72,26 +75,33 @@ def _publish(spark: SparkSession, lake: Lake, df: DataFrame, layer: str, name: s
     lake.written[f"{layer}/{name}"] = path
     table = read_table(spark, path, merge_schema=False)  # written whole by one job: one schema
     if lake.exports:
-        export_csv(table, f"{lake.exports.rstrip('/')}/{layer}/{name}", single_file=lake.single_file_exports)
+        single = lake.single_file_exports and name in SINGLE_FILE_TABLES
+        export_csv(table, f"{lake.exports.rstrip('/')}/{layer}/{name}", single_file=single)
     return table
 
 
 def run_bronze(spark: SparkSession, landing: str, lake: Lake, entities: Sequence[str] = ENTITIES,
                days: Sequence[str] | None = None, by_header: bool = True, pattern: str = DEFAULT_PATTERN,
-               parallel: bool = True) -> None:
+               parallel: bool = True, cluster: bool = False) -> None:
     """Load every entity (or only ``days``) into bronze, idempotently per day.
 
     ``by_header`` binds CSV columns by header name (safe under any schema
-    drift); ``False`` binds the contract's columns by position (no read of
-    file heads on the driver, safe only for columns appended at the end).
+    drift); ``False`` binds the contract's columns by position and fails on
+    files with any other header.  With ``exports`` the loaded days are also
+    written as extracts, from the written table.  ``cluster`` gathers each
+    day before the write (for backfills of many days).
     ``pattern`` locates an entity's files under ``landing`` (see
     ``strata.sources.landing``).  Entities load concurrently when
     ``parallel``."""
     def load(entity: str) -> Callable[[], None]:
         def task() -> None:
             path = lake.path("bronze", entity)
-            ingest_entity(spark, landing, path, entity, columns=None if by_header else business_columns(entity),
-                          pattern=pattern, days=days, by_header=by_header)
+            table = ingest_entity(spark, landing, path, entity, columns=None if by_header else business_columns(entity),
+                                  pattern=pattern, days=days, by_header=by_header, cluster=cluster)
+            if lake.exports:
+                loaded = table.filter(F.col("ingest_date").isin([F.lit(d).cast("date") for d in days])) if days else table
+                loaded = loaded.select(*[c for c in loaded.columns if c not in LINEAGE_COLUMNS], *LINEAGE_COLUMNS)
+                export_days(loaded, f"{lake.exports.rstrip('/')}/bronze/{entity}")
             lake.written[f"bronze/{entity}"] = path
         return task
 
@@ -100,7 +110,8 @@ def run_bronze(spark: SparkSession, landing: str, lake: Lake, entities: Sequence
 
 def run_silver(spark: SparkSession, lake: Lake, entities: Sequence[str] = ENTITIES, parallel: bool = True,
                **options) -> dict[str, DataFrame]:
-    """Every silver entity from its bronze table (concurrently when ``parallel``)."""
+    """Every silver entity from its bronze table (concurrently when
+    ``parallel``); ``options`` by entity, e.g. ``orders={"strict": True}``."""
     def build(entity: str) -> Callable[[], DataFrame]:
         def task() -> DataFrame:
             bronze = read_table(spark, lake.path("bronze", entity))
@@ -113,10 +124,11 @@ def run_silver(spark: SparkSession, lake: Lake, entities: Sequence[str] = ENTITI
 
 
 def run_gold(spark: SparkSession, lake: Lake, tables: Sequence[str] = GOLD_TABLES,
-             parallel: bool = True) -> dict[str, DataFrame]:
+             parallel: bool = True, **fact_options) -> dict[str, DataFrame]:
     """Dimensions and the item fact from silver (concurrently when
     ``parallel``); then the order fact from silver orders, the *gold* item
-    fact, and silver shipments / payments when present."""
+    fact, and silver shipments / payments when present.  ``fact_options`` go
+    to ``gold.fact_orders`` (``payment_source``, ``payment_default``, ``valid_only``)."""
     # silver tables are written whole by one job, so their files share one
     # schema and reading them needs no footer merge (bronze does: it
     # accumulates days whose headers drift)
@@ -140,19 +152,23 @@ def run_gold(spark: SparkSession, lake: Lake, tables: Sequence[str] = GOLD_TABLE
         shipments = read_if_exists(spark, lake.path("silver", "shipments"), merge_schema=False)
         payments = read_if_exists(spark, lake.path("silver", "payments"), merge_schema=False)
         out["fact_orders"] = _publish(
-            spark, lake, gold.fact_orders(orders, out["fact_order_items"], shipments, payments), "gold", "fact_orders")
+            spark, lake, gold.fact_orders(orders, out["fact_order_items"], shipments, payments, **fact_options),
+            "gold", "fact_orders")
     return out
 
 
 def run_pipeline(spark: SparkSession, landing: str, lake_root: str, exports: str | None = None,
                  days: Sequence[str] | None = None, entities: Sequence[str] = ENTITIES,
                  gold_tables: Sequence[str] = GOLD_TABLES, by_header: bool = True,
-                 pattern: str = DEFAULT_PATTERN, parallel: bool = True, single_file_exports: bool = False) -> Lake:
+                 pattern: str = DEFAULT_PATTERN, parallel: bool = True, single_file_exports: bool = False,
+                 cluster: bool = False, silver_options: dict[str, dict] | None = None,
+                 fact_options: dict | None = None) -> Lake:
     """bronze -> silver -> gold, in dependency order; inside a layer the
-    independent stages run concurrently when ``parallel``."""
+    independent stages run concurrently when ``parallel``.  See ``run_silver``
+    and ``run_gold`` for the options."""
     lake = Lake(lake_root, exports, single_file_exports)
     run_bronze(spark, landing, lake, entities=entities, days=days, by_header=by_header, pattern=pattern,
-               parallel=parallel)
-    run_silver(spark, lake, entities=entities, parallel=parallel)
-    run_gold(spark, lake, gold_tables, parallel=parallel)
+               parallel=parallel, cluster=cluster)
+    run_silver(spark, lake, entities=entities, parallel=parallel, **(silver_options or {}))
+    run_gold(spark, lake, gold_tables, parallel=parallel, **(fact_options or {}))
     return lake

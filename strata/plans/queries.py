@@ -22,12 +22,12 @@ from strata.operators.inspect import preview
 from strata.operators.dedup import latest_by, recency
 from strata.plans import oracle as O
 from strata.plans.feeds import feed, feed_sql
-from strata.plans.feeds import scan as feed_table
+from strata.plans.feeds import read_table as feed_table
 from strata.session import scratch_path
-from strata.sinks.writers import cluster_by, export_csv
-from strata.plans.pipeline import fan_out, run_pipeline
+from strata.sinks.writers import cluster_by, export_csv, write_table
+from strata.plans.pipeline import Lake, fan_out, run_bronze, run_gold, run_pipeline, run_silver
 from strata.sources.contracts import CONTRACTS, all_text, business_columns, conform
-from strata.sources.landing import ingest_audit, ingest_entity
+from strata.sources.landing import ingest_audit, ingest_entity, lineage_audit
 from strata.sources.tables import read_table
 from strata.streaming.incremental import drain, start_incremental_ingest
 
@@ -320,7 +320,7 @@ _ORDER_FLAGS = audit.SILVER_FLAGS["orders"]
 
 @register("order_quality_flags", O.with_(
     *O.feeds("orders"), *O.silver_orders_ctes("feed_orders"),
-    final=f"SELECT {', '.join(_ORDER_FLAGS)}, count(*) AS rows FROM so GROUP BY ALL"))
+    final=f"SELECT {', '.join(O.FLAGS['orders'])}, count(*) AS rows FROM so GROUP BY ALL"))
 def q_order_quality_flags(spark, sf):
     return audit.flag_profile(orders_silver(spark, sf), _ORDER_FLAGS)
 
@@ -330,7 +330,7 @@ def _summary_sql() -> str:
     parts = []
     for table, rel in rels.items():
         parts.append(f"SELECT '{table}' AS table_name, 'rows' AS measure, count(*) AS value FROM {rel}")
-        for flag in audit.SILVER_FLAGS[table]:
+        for flag in O.FLAGS[table]:
             parts.append(f"SELECT '{table}', '{flag}', CAST(count_if({flag}) AS BIGINT) FROM {rel}")
     ctes = (O.feeds("customers", "products", "orders", "order_items", "shipments")
             + O.silver_customers_ctes("feed_customers") + O.silver_products_ctes("feed_products")
@@ -432,11 +432,11 @@ _LANDING_SQL = _feed_sql("customers", ", ".join(f"nullif({c}, '') AS {c}" for c
                          + ", ingest_date")
 
 
-def write_landing(df: DataFrame, root: str, entity: str) -> None:
+def write_landing(df: DataFrame, root: str, entity: str, mode: str = "overwrite") -> None:
     """Write a feed as landing CSV drops ``<root>/<entity>/ingest_date=<d>/``
     (text kept exactly: no edge trimming).  Rows are clustered by load day
     first, so a load is a few files, as a landing zone holds them."""
-    (cluster_by(df, "ingest_date").write.mode("overwrite").option("header", True)
+    (cluster_by(df, "ingest_date").write.mode(mode).option("header", True)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .partitionBy("ingest_date").csv(f"{root}/{entity}"))
 
@@ -450,7 +450,7 @@ def q_bronze_roundtrip(spark, sf):
                   "customers")
     for _ in range(2):
         ingest_entity(spark, f"{root}/landing", f"{root}/bronze/customers", "customers",
-                      pattern="{entity}/ingest_date=*/*.csv", by_header=True)
+                      pattern="{entity}/ingest_date=*/*.csv", cluster=True)
     return read_table(spark, f"{root}/bronze/customers").select(*_CUSTOMER_LANDING, "ingest_date")
 
 
@@ -491,41 +491,179 @@ def q_contract_conform(spark, sf):
 
 # --- end to end ------------------------------------------------------------------------------------
 
-_LANDED_ENTITIES = ("orders", "order_items", "shipments")
 # Bronze stamps one ``ingestion_ts`` per load, so inside a load the stamp
 # never decides a tie; any constant stands for it in the oracle.
 _LOAD_STAMP = "TIMESTAMP '2000-01-01 00:00:00'"
+_DROPS = "{entity}/ingest_date=*/*.csv"
+
+
+def _landed(entity: str) -> str:
+    """A feed after its trip through landing CSVs: empty text reads as null, one stamp for the load."""
+    cols = ", ".join(f"nullif({c}, '') AS {c}" for c in business_columns(entity))
+    return f"SELECT {cols}, CAST(ingest_date AS DATE) AS ingest_date, {_LOAD_STAMP} AS ingestion_ts FROM ({feed_sql(entity)}) f"
+
+
+def land_drops(spark: SparkSession, sf: str, root: str, entity: str) -> None:
+    """An entity's feed as daily CSV drops; from the middle of the period on
+    with a column more in the middle of the header, as real feeds grow."""
+    landed = feed(spark, sf, entity).select(*business_columns(entity), "ingest_date")
+    names = business_columns(entity)
+    middle = landed.agg(F.percentile_approx(F.unix_date(F.col("ingest_date").cast("date")), 0.5).alias("d")).first()["d"]
+    late = F.unix_date(F.col("ingest_date").cast("date")) >= middle
+    write_landing(landed.filter(~late), root, entity)
+    grown = landed.filter(late).select(*names[:1], F.lit("v2").alias("feed_version"), *names[1:], "ingest_date")
+    write_landing(grown, root, entity, mode="append")
+
+
+def _end_to_end_lake(spark: SparkSession, sf: str) -> Lake:
+    """Landing CSVs -> bronze -> silver -> gold over all entities, as separate
+    jobs, each layer written and read back.  The four end-to-end queries read
+    the tables of one run per session and input."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RUNS:
+        root = scratch_path(spark, "end-to-end")
+        fan_out({e: (lambda e=e: land_drops(spark, sf, f"{root}/landing", e)) for e in _ENTITIES}, parallel=True)
+        _RUNS[key] = run_pipeline(spark, f"{root}/landing", f"{root}/lake", pattern=_DROPS, cluster=True)
+    return _RUNS[key]
+
+
+_RUNS: dict[tuple[str, str], Lake] = {}
+_LANDED = [(f"land_{e}", _landed(e)) for e in _ENTITIES]
+
+
+def _gold_as_written(table: str):
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        return read_table(spark, _end_to_end_lake(spark, sf).path("gold", table), merge_schema=False)
+    return query
+
+
+# a missing creation stamp falls back to the load's, which no oracle can know
+_KNOWN_STAMP = f"CASE WHEN created_ts <> {_LOAD_STAMP} THEN created_ts END AS created_ts"
+
+
+def _known_stamp(query):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        df = query(spark, sf)
+        day_before = F.date_sub(F.current_date(), 1)  # the feeds' stamps are years old, the load's is of now
+        return df.withColumn("created_ts", F.when(F.col("created_ts") < day_before, F.col("created_ts")))
+    return run
+
+
+register("end_to_end_dim_customers", O.with_(
+    *_LANDED, *O.silver_customers_ctes("land_customers"), *O.dim_customers_ctes("sc"),
+    final=f"SELECT * REPLACE ({_KNOWN_STAMP}) FROM dc"))(_known_stamp(_gold_as_written("dim_customers")))
+register("end_to_end_dim_products", O.with_(
+    *_LANDED, *O.silver_products_ctes("land_products"), *O.dim_products_ctes("sp"),
+    final=f"SELECT * REPLACE ({_KNOWN_STAMP}) FROM dp"))(_known_stamp(_gold_as_written("dim_products")))
+register("end_to_end_fact_order_items", O.with_(
+    *_LANDED, *O.silver_order_items_ctes("land_order_items"), *O.fact_order_items_ctes("si"),
+    final=f"SELECT {O.as_double('unit_price', 'discount_amount', 'item_net_amount')} FROM fi"))(_gold_as_written("fact_order_items"))
+register("end_to_end_fact_orders", O.with_(
+    *_LANDED, *O.silver_orders_ctes("land_orders"), *O.silver_order_items_ctes("land_order_items"), *O.fact_order_items_ctes("si"),
+    *O.silver_shipments_ctes("land_shipments"), *O.fact_orders_ctes("so", "fi", "ss"),
+    final=f"SELECT {O.as_double(*_MONEY_FACT)} FROM fo"))(_gold_as_written("fact_orders"))
+
+
+@register("bronze_lineage", O.with_(*_LANDED, final="SELECT table_name, ingest_date, count(*) AS rows, 1::BIGINT AS stamps, "
+          "0::BIGINT AS unstamped, 0::BIGINT AS misplaced FROM (" + " UNION ALL ".join(
+              f"SELECT '{e}' AS table_name, ingest_date FROM land_{e}" for e in _ENTITIES) + ") GROUP BY table_name, ingest_date"))
+def q_bronze_lineage(spark, sf):
+    """Lineage of every bronze table: per day one load stamp, no row without
+    one, and every source file in its day's folder."""
+    lake = _end_to_end_lake(spark, sf)
+    out = None
+    for e in _ENTITIES:
+        part = lineage_audit(read_table(spark, lake.path("bronze", e))).select(F.lit(e).alias("table_name"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-def _end_to_end_sql() -> str:
-    ctes = []
-    for entity in _LANDED_ENTITIES:
-        cols = ", ".join(f"nullif({c}, '') AS {c}" for c in business_columns(entity))
-        ctes.append((f"land_{entity}",
-                     f"SELECT {cols}, CAST(date_trunc('month', ingest_date) AS DATE) AS ingest_date, "
-                     f"{_LOAD_STAMP} AS ingestion_ts FROM ({feed_sql(entity)}) f"))
-    ctes += (O.silver_orders_ctes("land_orders") + O.silver_order_items_ctes("land_order_items")
-             + O.fact_order_items_ctes("si") + O.silver_shipments_ctes("land_shipments")
-             + O.fact_orders_ctes("so", "fi", "ss"))
-    return O.with_(*ctes, final=f"SELECT {O.as_double(*_MONEY_FACT)} FROM fo")
-
-
-@register("end_to_end_fact_orders", _end_to_end_sql())
-def q_end_to_end_fact_orders(spark, sf):
-    """The whole pipeline on landing CSVs: feeds land as monthly CSV drops
-    (``<entity>/ingest_date=<first of month>/``), then bronze -> silver ->
-    gold run as separate jobs, each layer written as Parquet and read back.
-    The result is gold ``fact_orders`` as written."""
-    root = scratch_path(spark, "end-to-end")
-
-    def land(entity: str):
-        def task() -> None:
-            landed = feed(spark, sf, entity).select(*business_columns(entity),
-                                                    F.trunc("ingest_date", "month").alias("ingest_date"))
-            write_landing(landed, f"{root}/landing", entity)
-        return task
-
-    fan_out({entity: land(entity) for entity in _LANDED_ENTITIES}, parallel=True)
-    lake = run_pipeline(spark, f"{root}/landing", f"{root}/lake", entities=_LANDED_ENTITIES,
-                        gold_tables=("fact_orders",), by_header=False, pattern="{entity}/ingest_date=*/*.csv")
-    return read_table(spark, lake.path("gold", "fact_orders"))
+@register("bronze_drift_roundtrip", "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in _CUSTOMER_LANDING)
+          + ", CASE WHEN k <> 0 THEN 'web' END AS channel, CAST(ingest_date AS DATE) AS ingest_date "
+          + f"FROM (SELECT *, date_diff('day', DATE '1970-01-01', CAST(ingest_date AS DATE)) % 3 AS k FROM ({feed_sql('customers')}) f)")
+def q_bronze_drift_roundtrip(spark, sf):
+    """Customers land with another header each day: as agreed, with a column
+    inserted, with it appended and all columns in another order; bronze binds each by name."""
+    root = scratch_path(spark, "drift")
+    df = feed(spark, sf, "customers").select(*_CUSTOMER_LANDING, F.lit("web").alias("channel"), "ingest_date")
+    k = F.unix_date(F.col("ingest_date").cast("date")) % 3
+    key, *rest = _CUSTOMER_LANDING
+    for n, names in enumerate((_CUSTOMER_LANDING, (key, "channel", *rest), (*reversed(_CUSTOMER_LANDING), "channel"))):
+        write_landing(df.filter(k == n).select(*names, "ingest_date"), f"{root}/landing", "customers", mode="append")
+    table = ingest_entity(spark, f"{root}/landing", f"{root}/bronze/customers", "customers", pattern=_DROPS, cluster=True)
+    return table.select(*_CUSTOMER_LANDING, "channel", "ingest_date")
+
+
+@register("bronze_export_roundtrip", _feed_sql("customers", ", ".join(f"nullif(trim({c}), '') AS {c}" for c in _CUSTOMER_LANDING) + ", ingest_date"))
+def q_bronze_export_roundtrip(spark, sf):
+    """Customers land, load into bronze with daily extracts, and are read
+    back from the extracts (which trim the edges of text, as Spark's CSV writer does)."""
+    root = scratch_path(spark, "bronze-export")
+    write_landing(feed(spark, sf, "customers").select(*_CUSTOMER_LANDING, "ingest_date"), f"{root}/landing", "customers")
+    run_bronze(spark, f"{root}/landing", Lake(f"{root}/lake", f"{root}/exports"), ["customers"], pattern=_DROPS, cluster=True)
+    back = spark.read.option("header", True).option("delimiter", ";").csv(f"{root}/exports/bronze/customers")
+    return back.select(*_CUSTOMER_LANDING, F.col("ingest_date").cast("date").alias("ingest_date"))
+
+
+@register("bronze_replace_day", "SELECT customer_id, CASE WHEN k = 1 THEN 'corrected' ELSE nullif(state, '') END AS state, CAST(ingest_date AS DATE) AS ingest_date "
+          f"FROM (SELECT *, date_diff('day', DATE '1970-01-01', CAST(ingest_date AS DATE)) % 3 AS k FROM ({feed_sql('customers')}) f) WHERE k <> 2")
+def q_bronze_replace_day(spark, sf):
+    """Days are loaded again: corrected (1 in 3), emptied (a header and no
+    rows, 1 in 3) or for the first time (1 in 3)."""
+    root = scratch_path(spark, "replace")
+    df = feed(spark, sf, "customers").select("customer_id", "state", "ingest_date")
+    k = F.unix_date(F.col("ingest_date").cast("date")) % 3
+    write_landing(df.filter(k != 0), f"{root}/first", "customers")
+    ingest_entity(spark, f"{root}/first", f"{root}/bronze", "customers", pattern=_DROPS, cluster=True)
+    write_landing(df.filter(k == 0), f"{root}/second", "customers")
+    write_landing(df.filter(k == 1).withColumn("state", F.lit("corrected")), f"{root}/second", "customers", mode="append")
+    days = df.select("ingest_date", k.alias("k")).distinct().collect()
+    for r in days:
+        if r["k"] == 2:
+            write_header(spark, f"{root}/second/customers/ingest_date={r['ingest_date']}/part-0.csv", "customer_id,state")
+    table = ingest_entity(spark, f"{root}/second", f"{root}/bronze", "customers", pattern=_DROPS,
+                          days=[str(r["ingest_date"]) for r in days], cluster=True)
+    return table.select("customer_id", "state", "ingest_date")
+
+
+def write_header(spark: SparkSession, path: str, line: str) -> None:
+    """A landing file that holds its header line only."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(folder)
+    out.write(bytearray(f"{line}\n", "utf-8"))
+    out.close()
+
+
+@register("silver_products_second_day", O.with_(
+    *O.feeds("products"), *O.silver_products_ctes("feed_products"), *O.dim_products_ctes("sp"),
+    final="SELECT sp.product_id, sp.category, sp.brand, sp.ingest_date, dp.category AS dim_category, dp.brand AS dim_brand "
+          "FROM sp JOIN dp USING (product_id)"))
+def q_silver_products_second_day(spark, sf):
+    """Silver products (partitioned by load day) written after the earlier
+    days, then again after all of them, and the dimension built from it: the
+    second write leaves nothing of the first behind."""
+    lake = Lake(scratch_path(spark, "second-day"))
+    bronze = feed(spark, sf, "products")
+    days = F.col("ingest_date").cast("date")
+    middle = bronze.agg(F.percentile_approx(F.unix_date(days), 0.5).alias("d")).first()["d"]
+    for part in (bronze.filter(F.unix_date(days) <= middle), bronze):
+        write_table(part, lake.path("bronze", "products"))
+        run_silver(spark, lake, ["products"])
+        run_gold(spark, lake, ["dim_products"])
+    dim = read_table(spark, lake.path("gold", "dim_products")).select("product_id", F.col("category").alias("dim_category"), F.col("brand").alias("dim_brand"))
+    return read_table(spark, lake.path("silver", "products")).select("product_id", "category", "brand", "ingest_date").join(dim, "product_id")
+
+
+_BAD_DAY = "CASE WHEN k = 0 THEN 'nope' WHEN k = 1 THEN NULL ELSE CAST(CAST(ingest_date AS DATE) AS VARCHAR) END"
+
+
+@register("silver_orders_bad_load_day", O.with_(
+    *O.feeds("orders"),
+    ("bad", f"SELECT * REPLACE (TRY_CAST({_BAD_DAY} AS DATE) AS ingest_date) FROM "
+            "(SELECT *, length(order_id) % 3 AS k FROM feed_orders)"),
+    *O.silver_orders_ctes("bad"), final=f"SELECT {O.as_double('total_amount')} FROM so"))
+def q_silver_orders_bad_load_day(spark, sf):
+    """Load days as text, some of them no dates: they read as missing and never fail the job."""
+    k = F.length("order_id") % 3
+    day = F.when(k == 0, "nope").when(k == 1, F.lit(None)).otherwise(F.col("ingest_date").cast("date").cast("string"))
+    return silver.silver_orders(feed(spark, sf, "orders").withColumn("ingest_date", day))

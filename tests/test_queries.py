@@ -13,7 +13,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 from check_oracle import TABLES, rows_of, type_mismatches  # noqa: E402
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry, queries  # noqa: E402
+from strata.plans.queries import ORACLE, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,13 +36,13 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    sdf = queries()[name](spark, SF)
-    res = duck.sql(oracle_sql()[name])
+    sdf = QUERIES[name](spark, SF)
+    res = duck.sql(ORACLE[name])
     assert sorted(sdf.columns) == sorted(res.columns)
     assert type_mismatches(sdf.schema, res.columns, res.types) == {}
     assert rows_of(sdf.columns, [tuple(r) for r in sdf.collect()]) == rows_of(res.columns, res.fetchall())
