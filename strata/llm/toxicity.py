@@ -5,8 +5,8 @@ for all grades, ordered thresholds between them.  Features are the distinct word
 only, lower-cased) and the words' beginnings of ``STEMS`` letters, which tie
 inflected forms together, and the same again for those that occur twice or
 more, by their 64-bit fingerprints.  The fit takes a bounded,
-hash-chosen sample of at most ``max_labelled`` labelled documents, keeps the
-``max_features`` words whose use differs most between grades, and runs
+hash-chosen sample of at most ``max_labelled`` labelled documents, lets Spark
+count features by grade and keeps the ``max_features`` whose use differs most, and runs
 accelerated proximal gradient steps with an L1 penalty, so most weights are
 zero.  Scoring reads every document whole, in place, without a shuffle; the
 model (at most ``max_features`` weights) travels with the tasks.
@@ -17,7 +17,7 @@ the first threshold (``toxic``: P(grade >= 1) is at least ``reject``) and the gr
 Defined results: null and empty texts have no features and get the score of
 the thresholds alone; labels without grade or document are ignored, several
 labels of one document count with the highest grade; without labelled
-documents of at least two grades nothing can be learnt and every severity is
+documents both of grade 0 and above nothing can be learnt and every severity is
 0; repeated rows are scored each; an empty table gives an empty result; other columns are
 ignored by ``severity`` and passed through by ``drop_toxic``."""
 
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.ship import ship_package
 from strata.llm.words import bounded, spread, split_words, texts_of
+from strata.session import scratch_path
 
 MAX_LABELLED = 8000
 MAX_FEATURES = 4096
@@ -151,38 +152,45 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n_rows: int, n_cols: int, gr
 
 
 def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Features of each labelled document, as raw 64-bit integers."""
+    """Features of each labelled document."""
     for batch in bounded(batches):
         text, values = text_features(texts_of(batch.column("text")))
         order = np.argsort(text, kind="stable")
         ends = np.searchsorted(text[order], np.arange(batch.num_rows + 1))
-        raw = [values[order[a:b]].tobytes() for a, b in zip(ends, ends[1:])]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(raw, pa.binary())], ["doc_id", "grade", "features"])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values[order]))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), lists], ["doc_id", "grade", "features"])
 
 
-def fit_features(found: list[np.ndarray], labels: list[int], max_features: int = MAX_FEATURES, penalty: float = PENALTY) -> OrdinalModel:
-    """The model of documents given by their features and grades."""
+def _places(chosen: np.ndarray) -> Callable:
+    """Each document's chosen features, as raw 32-bit places among them (``chosen`` is sorted)."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = [np.flatnonzero(np.isin(chosen, f.values.to_numpy(zero_copy_only=False))).astype("<i4").tobytes() for f in batch.column("features")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(raw, pa.binary())], ["doc_id", "grade", "places"])
+    return run
+
+
+def choose_features(rows: DataFrame, max_features: int = MAX_FEATURES) -> np.ndarray:
+    """The features whose share of documents differs most between grade 0 and
+    the rest (two-sample z), counted in Spark; at most ``max_features``, sorted."""
+    n1, n0 = rows.agg(F.count_if(F.col("grade") > 0), F.count_if(F.col("grade") == 0)).first()
+    if not n1 or not n0:
+        return np.empty(0, np.int64)
+    counts = rows.select("grade", F.explode("features").alias("feature")).groupBy("feature").agg(
+        F.count_if(F.col("grade") > 0).alias("c1"), F.count_if(F.col("grade") == 0).alias("c0")).filter(F.col("c1") + F.col("c0") >= MIN_DOCS)
+    p = (F.col("c1") + F.col("c0")) / (n1 + n0)
+    z = F.abs(F.col("c1") / n1 - F.col("c0") / n0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * (1 / n1 + 1 / n0))
+    best = counts.withColumn("z", z).filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "feature").limit(max_features)
+    return np.array(sorted(r["feature"] for r in best.select("feature").collect()), np.int64)
+
+
+def fit_places(names: np.ndarray, found: list[np.ndarray], labels: list[int], penalty: float = PENALTY) -> OrdinalModel:
+    """The model of documents given by the places of their features in ``names`` and their grades."""
     levels = sorted(set(labels))
-    if len(levels) < 2:
-        return OrdinalModel()
     grades = np.array([levels.index(x) for x in labels])
-    names, cols = np.unique(np.concatenate(found), return_inverse=True)
     at = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    # features whose share of documents differs most between grade 0 and the rest
-    high = grades > 0
-    n1, n0 = high.sum(), (~high).sum()
-    c1 = np.bincount(cols, weights=high[at], minlength=len(names))
-    c0 = np.bincount(cols, weights=~high[at], minlength=len(names))
-    p = (c1 + c0) / (n1 + n0)
-    z = np.abs(c1 / n1 - c0 / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
-    z[(c1 + c0 < MIN_DOCS) | (z < MIN_Z)] = 0
-    chosen = np.argsort(-z, kind="stable")[:max_features]
-    chosen = chosen[z[chosen] > 0]
-    place = np.full(len(names), -1)
-    place[chosen] = np.arange(len(chosen))
-    use = place[cols] >= 0
-    w, theta = fit_ordinal(at[use], place[cols[use]], len(found), len(chosen), grades, penalty)
-    return OrdinalModel({int(names[c]): float(x) for c, x in zip(chosen, w) if x}, theta.tolist())
+    w, theta = fit_ordinal(at, np.concatenate(found).astype(np.int64), len(found), len(names), grades, penalty)
+    return OrdinalModel({int(c): float(x) for c, x in zip(names, w) if x}, theta.tolist())
 
 
 def fit(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -194,9 +202,16 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_id
     sample = graded.groupBy("doc_id").agg(F.max("grade").alias("grade")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     # the sample has max_labelled rows at most, so it is broadcast; one row per document is used
-    rows = texts.join(F.broadcast(sample), "doc_id").mapInArrow(_features, "doc_id long, grade int, features binary")
-    rows = rows.groupBy("doc_id").agg(F.min(F.struct("features", "grade")).alias("one")).select("doc_id", "one.*").orderBy("doc_id").collect()
-    return fit_features([np.frombuffer(r["features"], np.int64) for r in rows], [r["grade"] for r in rows], max_features)
+    rows = texts.join(F.broadcast(sample), "doc_id").mapInArrow(_features, "doc_id long, grade int, features array<long>")
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("features", "grade")).alias("one")).select("doc_id", "one.*")
+    path = scratch_path(docs.sparkSession, "labelled")
+    rows.write.parquet(path)
+    rows = docs.sparkSession.read.schema(rows.schema).parquet(path)
+    chosen = choose_features(rows, max_features)
+    if not rows.filter("grade = 0").limit(1).count() or not rows.filter("grade > 0").limit(1).count():
+        return OrdinalModel()
+    small = rows.mapInArrow(_places(chosen), "doc_id long, grade int, places binary").orderBy("doc_id").collect()
+    return fit_places(chosen, [np.frombuffer(r["places"], "<i4") for r in small], [r["grade"] for r in small])
 
 
 def score_texts(model: OrdinalModel, texts: pa.Array) -> np.ndarray:
