@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# --- fixed values: quality flags of the silver tables -----------------------------------
 SILVER_FLAGS: dict[str, tuple[str, ...]] = {
     "customers": ("has_null_required_fields",),
     "products": ("has_null_required_fields", "is_valid_record"),
@@ -21,6 +22,7 @@ SILVER_FLAGS: dict[str, tuple[str, ...]] = {
     "shipments": ("is_shipping_cost_defaulted", "has_null_required_fields", "has_invalid_values",
                   "is_valid_record"),
 }
+# -----------------------------------------------------------------------------
 
 
 def flag_counts(df: DataFrame, table: str, flags: Sequence[str]) -> DataFrame:

@@ -19,6 +19,7 @@ from strata import fixed as K
 from strata.functions import clean as C
 from strata.operators.dedup import latest_by, recency
 
+# --- fixed values: output columns of the gold tables -----------------------------------
 DIM_CUSTOMER_COLUMNS = ("customer_id", "state", "city", "created_ts")
 DIM_PRODUCT_COLUMNS = ("product_id", "category", "brand", "created_ts")
 FACT_ITEM_COLUMNS = ("order_id", "product_id", "quantity", "unit_price", "discount_amount", "item_net_amount")
@@ -26,6 +27,7 @@ FACT_ORDER_COLUMNS = ("order_id", "customer_id", "order_date", "order_ts", "gros
                       "net_amount", "payment_method", "status_final", "carrier", "shipping_cost", "shipped_ts",
                       "delivered_ts", "delivery_time_hours", "is_late")
 SHIPMENT_FIELDS = ("carrier", "shipping_cost", "shipped_ts", "delivered_ts")
+# -----------------------------------------------------------------------------
 
 
 def _newest_created(df: DataFrame, key: str, business: tuple[str, ...]) -> DataFrame:

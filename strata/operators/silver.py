@@ -27,6 +27,7 @@ from strata.operators.dedup import latest_by, recency
 # Newest load first: the day of the load, then its stamp.
 RECENCY = ("ingest_date", "ingestion_ts")
 
+# --- fixed values: output columns of the silver tables ---------------------------------
 CUSTOMER_COLUMNS = ("customer_id", "state", "city", "created_ts", "ingestion_ts", "ingest_date",
                     "has_null_required_fields")
 PRODUCT_COLUMNS = ("product_id", "category", "brand", "created_ts", "product_created_date", "ingestion_ts",
@@ -40,6 +41,7 @@ ORDER_ITEM_COLUMNS = ("order_id", "product_id", "quantity", "unit_price", "disco
 SHIPMENT_COLUMNS = ("order_id", "carrier", "shipping_cost", "shipped_ts", "delivered_ts", "delivery_status",
                     "ingestion_ts", "ingest_date", "is_shipping_cost_defaulted", "has_null_required_fields",
                     "has_invalid_values", "is_valid_record")
+# -----------------------------------------------------------------------------
 
 
 def _newest(df: DataFrame, keys: Sequence[str], business: Sequence[str]) -> DataFrame:

@@ -18,6 +18,7 @@ def _contract(*fields: tuple[str, object]) -> StructType:
     return StructType([StructField(name, dtype, True) for name, dtype in fields])
 
 
+# --- fixed values: fields of the bronze tables ------------------------------------------
 _LINEAGE = (("ingestion_ts", TimestampType()), ("ingest_date", StringType()), ("source_file", StringType()))
 _TEXT, _TS, _MONEY = StringType(), TimestampType(), DecimalType(10, 2)
 
@@ -31,6 +32,7 @@ SHIPMENTS = _contract(("order_id", _TEXT), ("carrier", _TEXT), ("shipping_cost",
                       ("delivered_ts", _TS), ("delivery_status", _TEXT), *_LINEAGE)
 CUSTOMERS = _contract(("customer_id", _TEXT), ("state", _TEXT), ("city", _TEXT), ("created_ts", _TS), *_LINEAGE)
 PRODUCTS = _contract(("product_id", _TEXT), ("category", _TEXT), ("brand", _TEXT), ("created_ts", _TS), *_LINEAGE)
+# -----------------------------------------------------------------------------
 
 CONTRACTS: dict[str, StructType] = {
     "orders": ORDERS,
