@@ -42,12 +42,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     edges = kept(edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).filter("a <> b").distinct())
     while True:
         new = kept(_narrow(_stars(edges)))
-        # done when all edges are stars: no target is itself a source
-        sources = new.select(F.col("a").alias("x")).distinct()
-        again = new.join(sources, new["b"] == sources["x"], "left_semi").limit(1).count()
-        many = new.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
         edges = new
-        if not again and not many:
+        # done when all edges are stars: each source has one target, and no target is a source
+        ends = new.select(F.col("a").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+            new.select(F.col("b").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+        left = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into")).filter("out > 1 or (out = 1 and into = 1)")
+        if not left.limit(1).count():
             break
     found = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())

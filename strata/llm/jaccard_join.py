@@ -8,8 +8,9 @@ A document's set is its distinct word shingles.  Two documents link when
    size classes (sizes within one quotient den/num) the element space is dealt into m > k
    parts by hash; linked sets agree on at least m - k parts.  Each set
    emits a signature per part that isn't empty (of all parts, if m - k or more of its own are empty, so agreement on
-   empty parts alone isn't missed either).  Sets that share a signature are chained into blocks;
-   every link lies inside a block.
+   empty parts alone isn't missed either).  Within a pair of size classes, sets that share a signature
+   are chained into blocks; every link lies inside a block, and a set is in two blocks at most.  Sets
+   that share fewer than m - k non-empty parts with all others together are left out first.
 2. *T-occurrence search.*  In a block, copies of a set count once.  Every set
    queries the inverted lists of its elements: it must share T elements with a
    partner, so the L longest lists are set aside, the short ones are merged,
@@ -45,6 +46,7 @@ from strata.llm.words import bounded, hash_words, mix, shingles, split_words, te
 from strata.session import scratch_path
 
 TASK_TOKENS = 2_000_000
+PRUNE_ROUNDS = 2
 
 
 class SizeClasses:
@@ -57,19 +59,21 @@ class SizeClasses:
         self.allowed = []
         for top in (x - 1 for x in self.first[1:]):
             self.allowed.append((top + top * den // num) * (den - num) // (den + num))
-        self.parts = [k + 1 + (0 if k < 3 else 2 + k // 16) for k in self.allowed]
+        self.parts = [k + 1 + (0 if k < 3 else 2 + k // 10) for k in self.allowed]
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(np.array(self.first), sizes, "right") - 1
 
 
-def signatures(offsets: np.ndarray, values: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(document, signature) rows of all sets (values sorted per document)."""
+def signatures(offsets: np.ndarray, values: np.ndarray, num: int, den: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(document, signature) rows of all sets, and the number of signatures
+    that each set shares with any partner at least: first for the size class
+    of each set with the one above, then for the class below with its own."""
     sizes = np.diff(offsets)
     classes = SizeClasses(num, den, int(sizes.max(initial=1)))
     own = classes.of(np.maximum(sizes, 1))
     doc = np.repeat(np.arange(len(sizes)), sizes)
-    out_doc, out_sig = [], []
+    out = []
     for back in (0, 1):  # as a member of its own class and as the larger set of the class below
         cls = own - back
         use = (sizes > 0) & (cls >= 0)
@@ -84,12 +88,13 @@ def signatures(offsets: np.ndarray, values: np.ndarray, num: int, den: int) -> t
         filled = np.bincount(at, minlength=len(total)) > 0
         owner = np.repeat(np.arange(len(sizes)), parts)
         empty = np.bincount(owner[~filled], minlength=len(sizes))
-        emit = filled | (empty >= parts - allowed)[owner]
+        agree = parts - allowed
+        emit = filled | (empty >= agree)[owner]
+        need = np.where(empty >= agree, agree, agree - empty)
         part = np.arange(len(total)) - begin[owner]
         key = mix(total ^ mix(part.astype(np.uint64) + (cls[owner].astype(np.uint64) << np.uint64(32)) + np.uint64(1)))
-        out_doc.append(owner[emit])
-        out_sig.append(key[emit])
-    return np.concatenate(out_doc), np.concatenate(out_sig)
+        out.append((owner[emit], key[emit], need))
+    return out
 
 
 def fold(texts: pa.Array) -> pa.Array:
@@ -111,13 +116,13 @@ def _sketch(n: int, num: int, den: int) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches):
             offsets, values = sets_of(texts_of(batch.column("text")), n)
-            doc, sig = signatures(offsets, values, num, den)
-            order = np.argsort(doc, kind="stable")
-            ends = np.searchsorted(doc[order], np.arange(len(offsets)))
             digests = [_digest(values[a:b]) for a, b in zip(offsets, offsets[1:])]
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sig[order].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(offsets), pa.int64()), pa.array(digests, pa.binary()), lists],
-                                             ["doc_id", "n_shingles", "digest", "signatures"])
+            cols = []
+            for doc, sig, need in signatures(offsets, values, num, den):
+                cols.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(len(offsets))), pa.int32()), pa.array(sig.view(np.int64))))
+                cols.append(pa.array(need, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(offsets), pa.int64()), pa.array(digests, pa.binary()), *cols],
+                                             ["doc_id", "n_shingles", "digest", "own", "own_need", "below", "below_need"])
     return run
 
 
@@ -131,11 +136,13 @@ def _sets(n: int) -> Callable:
     return run
 
 
-def occurrence_search(sets: list[np.ndarray], num: int, den: int, side: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+def occurrence_search(sets: list[np.ndarray], num: int, den: int, side: np.ndarray | None = None,
+                      above: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
     """(i, partners before i) for every set, by size.
 
     ``sets`` hold distinct elements and are sorted by size, then as given.
-    With ``side`` only partners of the other side are sought."""
+    With ``side`` only partners of the other side are sought.  Two sets that
+    are both ``above`` (of the larger size class) are left to that class's own block."""
     sizes = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -168,6 +175,9 @@ def occurrence_search(sets: list[np.ndarray], num: int, den: int, side: np.ndarr
         if side is not None:
             keep = side[found] != side[i]
             found, count = found[keep], count[keep]
+        if above is not None and above[i]:
+            keep = ~above[found]
+            found, count = found[keep], count[keep]
         if not len(found):
             continue
         # overlap that each candidate needs, given its own size
@@ -194,9 +204,10 @@ def _search(num: int, den: int) -> Callable:
         ids, sets = ids[order], [sets[k] for k in order]
         parts = block.column("part").to_numpy()[order]
         side = parts if key[1].as_py() != key[2].as_py() else None
+        above = block.column("above").to_numpy(zero_copy_only=False)[order].astype(bool)
         label = np.arange(len(ids))
         links = np.zeros(len(ids), np.int64)
-        for i, partners in occurrence_search(sets, num, den, side):
+        for i, partners in occurrence_search(sets, num, den, side, above):
             links[i] += len(partners)
             links[partners] += 1
             met = np.unique(np.append(label[partners], label[i]))
@@ -220,14 +231,27 @@ def components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, id_co
     doc_id reachable by links) and n_links (linked different sets)."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = _kept(rows.mapInArrow(_sketch(n, num, den), "doc_id long, n_shingles long, digest binary, signatures array<long>"), "sketch")
-    # chain the sets that share a signature to the smallest id among them
-    signed = sketch.filter("doc_id is not null").select("doc_id", F.explode("signatures").alias("s"))
-    chained = signed.withColumn("least", F.min("doc_id").over(Window.partitionBy("s"))).filter("doc_id <> least")
-    blocks = _kept(connected_components(chained, "doc_id", "least").select(F.col("node").alias("doc_id"), F.col("component").alias("block")), "blocks")
+    sketch = _kept(rows.mapInArrow(_sketch(n, num, den), "doc_id long, n_shingles long, digest binary, own array<long>, own_need long, below array<long>, below_need long"), "sketch")
+    # chain the sets that share a signature to the smallest node among them; a set is one node
+    # per pair of size classes (a node is a hash: two that meet by chance only share a block)
+    known = sketch.filter("doc_id is not null and n_shingles > 0")
+    nodes = [known.select("doc_id", "digest", "n_shingles", F.lit(above).alias("above"), F.xxhash64("doc_id", F.lit(above)).alias("node"),
+                          F.col(lists).alias("signatures"), F.col(f"{lists}_need").alias("need"))
+             for above, lists in ((False, "own"), (True, "below"))]
+    nodes = nodes[0].unionByName(nodes[1])
+    signed = nodes.select("node", F.explode("signatures").alias("s"))
+    same = Window.partitionBy("s")
+    shared = _kept(signed.withColumn("n", F.count(F.lit(1)).over(same)).filter("n > 1").select("node", "s"), "shared")
+    for _ in range(PRUNE_ROUNDS):  # a set that shares too few signatures with all others together has no partner
+        enough = shared.groupBy("node").agg(F.count(F.lit(1)).alias("n")).join(nodes.groupBy("node").agg(F.min("need").alias("need")), "node").filter("n >= need")
+        left = shared.join(enough.select("node"), "node").withColumn("n", F.count(F.lit(1)).over(same))
+        shared = _kept(left.filter("n > 1").select("node", "s"), "shared")
+    chained = shared.withColumn("least", F.min("node").over(same)).filter("node <> least")
+    blocks = _kept(connected_components(chained, "node", "least").select("node", F.col("component").alias("block")), "blocks")
     # one member for each different set of a block
-    members = sketch.filter("n_shingles > 0").select("doc_id", "digest", "n_shingles").join(blocks, "doc_id")
-    classes = _kept(members.groupBy("block", "digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles")), "classes")
+    members = _kept(nodes.drop("signatures", "need").join(blocks, "node").drop("node"), "members")
+    classes = _kept(members.groupBy("block", "digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
+                                                           F.min("above").alias("above")), "classes")
     sizes = classes.groupBy("block").agg(F.sum("n_shingles").alias("tokens"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     dealt = classes.join(sizes.select("block", F.ceil(F.col("tokens") / task_tokens).alias("parts")), "block")
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("doc_id", "digest"), "parts"))
@@ -235,16 +259,16 @@ def components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, id_co
     # a block in parts: each pair of parts meets once, a part with itself too
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda p: F.struct(F.least("part", p).alias("x"), F.greatest("part", p).alias("y")))
     tasks = dealt.join(sets.dropDuplicates(["doc_id", "digest"]), ["doc_id", "digest"]).select(
-        "block", "doc_id", "elements", "part", F.explode(pairs).alias("p"))
-    tasks = tasks.select("block", "p.x", "p.y", "doc_id", "elements", "part")
+        "block", "doc_id", "elements", "above", "part", F.explode(pairs).alias("p"))
+    tasks = tasks.select("block", "p.x", "p.y", "doc_id", "elements", "above", "part")
     found = _kept(tasks.groupBy("block", "x", "y").applyInArrow(_search(num, den), "a long, b long, n_links long"), "links")
     # which class each document's sets belong to; an id with several sets joins their classes
     of_class = members.select("doc_id", "block", "digest").distinct().join(
-        classes.select("block", "digest", F.col("doc_id").alias("class")), ["block", "digest"]).select("doc_id", "class", "digest")
+        classes.select("block", "digest", F.col("doc_id").alias("class")), ["block", "digest"]).select("doc_id", "class", "digest").distinct()
     several = of_class.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
     same = of_class.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("class").alias("b"))
     joined = _kept(connected_components(found.select("a", "b").unionByName(same)), "joined")
-    counts = dealt.select("digest", F.col("doc_id").alias("a")).join(found.groupBy("a").agg(F.sum("n_links").alias("n_links")), "a").select("digest", "n_links")
+    counts = classes.select("digest", F.col("doc_id").alias("a")).distinct().join(found.groupBy("a").agg(F.sum("n_links").alias("n_links")), "a").select("digest", "n_links")
     named = of_class.join(joined, of_class["class"] == joined["node"], "left").join(counts, "digest", "left")
     per_doc = named.groupBy("doc_id").agg(F.min(F.coalesce("component", "class")).alias("component"), F.sum("n_links").alias("n_links"))
     out = sketch.select("doc_id", "n_shingles").join(per_doc, "doc_id", "left")
