@@ -3,8 +3,9 @@
 1. Every line, paragraph and whole text is compared with licence templates by
    sparse TF-IDF cosine (idf over the templates; a word in none of them weighs
    most).  A segment without an *anchor* word can't reach the threshold (the
-   anchors are each template's heaviest words, taken until the rest of its
-   vector is shorter than the threshold), so only segments with one are scored: an exact filter.
+   anchors are each template's heaviest words, common words of prose last, taken
+   until the rest of its vector is shorter than the threshold), nor can one whose
+   shared words make up too little of every template; only the others are scored: an exact filter.
 2. A file whose name says so, or whose whole text fits a template, is a
    licence file and speaks for its directory.
 3. Files that say nothing inherit from the nearest directory above that has a
@@ -54,6 +55,9 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "Copyright. All rights reserved. Unauthorized copying of this file, via any medium, is strictly prohibited."),
 )
+# Common words of prose (some by chance words of another language), then less common ones: anchors only where a template needs them.
+COMMON = ("a all an and any are as at be by can do for from has if in into is it its mit no not of on or out so such than that the this to was will with you your".split(),
+          "0 1 2 3 4 above copy free form list may must one other permitted person provided right rights sell source state terms under use used version without work".split())
 THRESHOLD = 0.75
 LICENSE_NAMES = r"(?i)^(un)?(licen[cs]e|copying|copyright|notice)([.\-_].*)?$"
 NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -79,7 +83,7 @@ def anchor_words(rows: Sequence[tuple[str, str, float]], threshold: float) -> li
     """Words of which every segment at the threshold has at least one."""
     anchors: set[str] = set()
     for name in sorted({r[0] for r in rows}):
-        own = sorted(((w, x) for t, w, x in rows if t == name), key=lambda r: (-r[1], r[0]))
+        own = sorted(((w, x) for t, w, x in rows if t == name), key=lambda r: (2 * (r[0] in COMMON[0]) + (r[0] in COMMON[1]), -r[1], r[0]))
         rest = 1.0
         for w, x in own:
             if math.sqrt(max(rest, 0.0)) < threshold - 1e-9:
@@ -89,6 +93,20 @@ def anchor_words(rows: Sequence[tuple[str, str, float]], threshold: float) -> li
     return sorted(anchors)
 
 
+def can_reach(words: Column, rows: Sequence[tuple[str, str, float]], threshold: float) -> Column:
+    """Whether the words that a segment shares with some template make up
+    ``threshold`` of that template's length: no cosine can be larger."""
+    vectors = [F.array(*[F.struct(F.lit(w).alias("w"), F.lit(x * x).alias("q")) for t, w, x in rows if t == name]) for name in sorted({r[0] for r in rows})]
+    shared = F.array_intersect(words, F.array(*[F.lit(w) for w in sorted({r[1] for r in rows})]))
+
+    def reach(present: Column) -> Column:
+        def length(vector: Column) -> Column:
+            return F.aggregate(vector, F.lit(0.0), lambda s, x: s + F.when(F.array_contains(present, x["w"]), x["q"]).otherwise(0.0))
+        return F.exists(F.array(*vectors), lambda v: length(v) >= threshold * threshold - 1e-9)
+
+    return F.exists(F.array(shared), reach)  # one element, so that the shared words are found once
+
+
 def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), NOT_WORD), lambda w: w != "")
 
@@ -105,6 +123,7 @@ def license_statements(files: DataFrame, templates: Sequence[tuple[str, str]] =
     segments = F.array_distinct(F.concat(F.array("text"), lines, paragraphs))
     parts = (speaking.select("row", F.posexplode(segments).alias("segment", "part"))
              .withColumn("words", words_of(F.col("part"))).filter(F.arrays_overlap("words", anchors)).select("row", "segment", "words"))
+    parts = parts.filter(can_reach(F.col("words"), rows, threshold))
     path = scratch_path(spark, "segments")
     parts.write.parquet(path)
     parts = spark.read.schema("row long, segment int, words array<string>").parquet(path)
