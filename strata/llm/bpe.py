@@ -38,8 +38,10 @@ from strata.llm.words import bounded, split_words, spread, texts_of
 
 LEAF_CHARS = 32_768
 FIRST_WINDOW = 64
-CACHE_WORDS = 600_000
-CACHE_TAILS = 50_000
+CACHE_WORDS = 200_000
+CACHE_TAILS = 20_000
+BATCH_BYTES = 4 << 20
+LEAF_BATCH_BYTES = 1 << 20
 SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 # The normaliser and splitter for which words can be encoded one by one.
@@ -272,11 +274,12 @@ def binary_rows(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
 def _encode_short(path: str) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
-        for b in bounded(batches):
+        for b in bounded(batches, max_bytes=BATCH_BYTES):
             offsets, ids = c.encode(texts_of(b.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), binary_rows(offsets, ids.astype("<u4")).cast(pa.binary()),
                  c.decode(offsets, ids).cast(pa.string())], ["doc_id", "ids", "decoded"])
+            pa.default_memory_pool().release_unused()
     return run
 
 
@@ -295,10 +298,12 @@ def _cut_long(size: int) -> Callable:
 def _encode_leaves(path: str) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
-        for b in bounded(batches):
-            spans = [c.units(t) for t in b.column("text").to_pylist()]
-            cols = [pa.array([np.array(x, "<i4").tobytes() for x in v], pa.binary()) for v in (
-                [u.starts for u in spans], [u.ends for u in spans], [[len(i) for i in u.ids] for u in spans], [u.flat() for u in spans])]
+        for b in bounded(batches, max_bytes=LEAF_BATCH_BYTES):
+            rows = []
+            for text in b.column("text").to_pylist():
+                u = c.units(text)  # one leaf's words at a time: they are many small objects
+                rows.append([np.array(x, "<i4").tobytes() for x in (u.starts, u.ends, [len(i) for i in u.ids], u.flat())])
+            cols = [pa.array(x, pa.binary()) for x in zip(*rows)]
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], [*b.schema.names, "starts", "ends", "lens", "ids"])
     return run
 
