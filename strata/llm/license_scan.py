@@ -6,6 +6,8 @@
    anchors are each template's heaviest words, common words of prose last, taken
    until the rest of its vector is shorter than the threshold), nor can one whose
    shared words make up too little of every template; only the others are scored: an exact filter.
+   Where nothing stands alone on a line, in a paragraph or as the whole text, the running text is
+   read: every sentence, and every window of a template's length that holds one of its anchors.
 2. A file whose name says so, or whose whole text fits a template, is a
    licence file and speaks for its directory.
 3. Files that say nothing inherit from the nearest directory above that has a
@@ -16,7 +18,8 @@ Only DataFrame operations; a directory that holds a third of all files is one
 row until the last join, whose other side has one row per directory.
 
 Defined results: a null text says nothing; a null path lies in the root
-directory; ties go to the smaller licence id, then the smaller path; rows that repeat a path
+directory; a statement that stands alone goes before one in running text; ties go to
+the longer window of running text, then the smaller licence id, then the smaller path; rows that repeat a path
 are judged each by their own text; an empty table gives an empty result;
 other columns are ignored."""
 
@@ -55,6 +58,10 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "Copyright. All rights reserved. Unauthorized copying of this file, via any medium, is strictly prohibited."),
 )
+# More statements, weighed by the words of TEMPLATES: tags of the SPDX list.
+SPDX = ("MIT", "MIT-0", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause",
+        "0BSD", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0", "CC0-1.0", "ISC", "Unlicense")
+NOTICES = tuple((name, f"SPDX-License-Identifier: {name}") for name in SPDX)
 # Common words of prose (some by chance words of another language), then less common ones: anchors only where a template needs them.
 COMMON = ("a all an and any are as at be by can do for from has if in into is it its mit no not of on or out so such than that the this to was will with you your".split(),
           "0 1 2 3 4 above copy free form list may must one other permitted person provided right rights sell source state terms under use used version without work".split())
@@ -69,14 +76,20 @@ def template_words(text: str) -> list[str]:
 
 def template_weights(templates: Sequence[tuple[str, str]] = TEMPLATES) -> tuple[dict[str, float], float, list[tuple[str, str, float]]]:
     """(idf by word, idf of unknown words, unit vectors as (template, word, weight)); a template's name is its licence and number."""
-    counts = [Counter(template_words(t)) for _, t in templates]
-    df = Counter(w for c in counts for w in c)
+    df = Counter(w for _, t in templates for w in set(template_words(t)))
     idf = {w: math.log((1 + len(templates)) / (1 + n)) + 1 for w, n in df.items()}
+    unknown = math.log(1 + len(templates)) + 1
+    return idf, unknown, unit_vectors(templates, idf, unknown)
+
+
+def unit_vectors(templates: Sequence[tuple[str, str]], idf: dict[str, float], unknown: float, first: int = 0) -> list[tuple[str, str, float]]:
+    """(template, word, weight) of the templates, numbered from ``first``."""
     rows = []
-    for k, ((name, _), c) in enumerate(zip(templates, counts)):
-        norm = math.sqrt(sum((n * idf[w]) ** 2 for w, n in c.items()))
-        rows += [(f"{name}#{k}", w, n * idf[w] / norm) for w, n in sorted(c.items())]
-    return idf, math.log(1 + len(templates)) + 1, rows
+    for k, (name, text) in enumerate(templates, first):
+        c = Counter(template_words(text))
+        norm = math.sqrt(sum((n * idf.get(w, unknown)) ** 2 for w, n in c.items()))
+        rows += [(f"{name}#{k}", w, n * idf.get(w, unknown) / norm) for w, n in sorted(c.items())]
+    return rows
 
 
 def anchor_words(rows: Sequence[tuple[str, str, float]], threshold: float) -> list[str]:
@@ -93,16 +106,20 @@ def anchor_words(rows: Sequence[tuple[str, str, float]], threshold: float) -> li
     return sorted(anchors)
 
 
-def can_reach(words: Column, rows: Sequence[tuple[str, str, float]], threshold: float) -> Column:
+def vectors_of(rows: Sequence[tuple[str, str, float]]) -> Column:
+    """The templates' words with their squared weights, an array for each template."""
+    return F.array(*[F.array(*[F.struct(F.lit(w).alias("w"), F.lit(x * x).alias("q")) for t, w, x in rows if t == name]) for name in sorted({r[0] for r in rows})])
+
+
+def can_reach(words: Column, vectors: Column, known: Sequence[str], threshold: float) -> Column:
     """Whether the words that a segment shares with some template make up
     ``threshold`` of that template's length: no cosine can be larger."""
-    vectors = [F.array(*[F.struct(F.lit(w).alias("w"), F.lit(x * x).alias("q")) for t, w, x in rows if t == name]) for name in sorted({r[0] for r in rows})]
-    shared = F.array_intersect(words, F.array(*[F.lit(w) for w in sorted({r[1] for r in rows})]))
+    shared = F.array_intersect(words, F.array(*[F.lit(w) for w in known]))
 
     def reach(present: Column) -> Column:
         def length(vector: Column) -> Column:
             return F.aggregate(vector, F.lit(0.0), lambda s, x: s + F.when(F.array_contains(present, x["w"]), x["q"]).otherwise(0.0))
-        return F.exists(F.array(*vectors), lambda v: length(v) >= threshold * threshold - 1e-9)
+        return F.exists(vectors, lambda v: length(v) >= threshold * threshold - 1e-9)
 
     return F.exists(F.array(shared), reach)  # one element, so that the shared words are found once
 
@@ -111,34 +128,77 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), NOT_WORD), lambda w: w != "")
 
 
-def license_statements(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def running_parts(texts: DataFrame, templates: Sequence[tuple[str, str]], rows: Sequence[tuple[str, str, float]], threshold: float) -> DataFrame:
+    """(row, segment, words) of the sentences of (row, text), and of the windows that
+    are as long as a template, hold one of its anchors and can reach it."""
+    known = sorted({r[1] for r in rows})
+    vectors = vectors_of(rows)
+    sentences = (texts.select("row", F.posexplode(F.split("text", r"(?<=[.!?;])\s+")).alias("segment", "part")).withColumn("words", words_of(F.col("part")))
+                 .select("row", F.col("segment").cast("long").alias("segment"), "words").filter(can_reach(F.col("words"), vectors, known, threshold)))
+    by_length: dict[int, list[str]] = {}
+    for k, (name, text) in enumerate(templates):
+        by_length.setdefault(len(template_words(text)), []).append(f"{name}#{k}")
+    kinds = []
+    for n, names in sorted(by_length.items()):
+        own = [r for r in rows if r[0] in names]
+        kinds.append(F.struct(F.lit(n).alias("n"), F.array(*[F.lit(w) for w in anchor_words(own, threshold)]).alias("anchors"), vectors_of(own).alias("vectors")))
+    each = (texts.select("row", words_of(F.col("text")).alias("words")).select("row", "words", F.explode(F.array(*kinds)).alias("kind")).select("row", "words", "kind.*")
+            .filter((F.size("words") > F.col("n")) & F.arrays_overlap("words", "anchors")))
+    spots = F.filter(F.transform("words", lambda w, i: F.when(F.array_contains("anchors", w), i)), lambda i: i.isNotNull())
+    begins = F.array_distinct(F.flatten(F.transform(spots, lambda i: F.sequence(F.greatest(i - F.col("n") + 1, F.lit(0)), F.least(i, F.size("words") - F.col("n"))))))
+    windows = (each.select("row", "words", "n", "vectors", F.explode(begins).alias("begin"))
+               .select("row", (-1 - F.col("begin").cast("long") * 100_003 - F.col("n")).alias("segment"), F.expr("slice(words, begin + 1, n)").alias("words"), "vectors")
+               .filter(can_reach(F.col("words"), F.col("vectors"), known, threshold)).drop("vectors"))
+    return sentences.unionByName(windows)
+
+
+def score_parts(parts: DataFrame, idf: dict[str, float], unknown: float, rows: Sequence[tuple[str, str, float]], threshold: float) -> DataFrame:
+    """(row, segment, license, score, n_words) of the templates that parts (row, segment, words) fit."""
+    spark = parts.sparkSession
+    # bounded by the templates (a parameter), so broadcast
+    weights = F.broadcast(spark.createDataFrame(list(rows), "template string, word string, weight double"))
+    known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "word string, idf double"))
+    counts = (parts.select("row", "segment", F.explode("words").alias("word")).groupBy("row", "segment", "word").agg(F.count(F.lit(1)).alias("n"))
+              .join(known, "word", "left").withColumn("x", F.col("n") * F.coalesce("idf", F.lit(unknown))))
+    norms = counts.groupBy("row", "segment").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"), F.sum("n").alias("n_words"))
+    dots = counts.join(weights, "word").groupBy("row", "segment", "template").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
+    scored = dots.join(norms, ["row", "segment"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).filter(F.col("score") >= threshold)
+    return scored.select("row", "segment", F.regexp_replace("template", "#[0-9]+$", "").alias("license"), "score", "n_words")
+
+
+def license_statements(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD,
+                       notices: Sequence[tuple[str, str]] = NOTICES) -> DataFrame:
     """Best template of each file of (row, path, text) that reaches the
     threshold: (row, license, score, whole), ``whole`` if the whole text does."""
     spark = files.sparkSession
     idf, unknown, rows = template_weights(templates)
+    rows = rows + unit_vectors(notices, idf, unknown, len(templates))
     anchors = F.array(*[F.lit(w) for w in anchor_words(rows, threshold)])
-    speaking = files.select("row", "text").filter(F.arrays_overlap(words_of(F.col("text")), anchors))
+    path = scratch_path(spark, "speaking")
+    files.select("row", "text").filter(F.arrays_overlap(words_of(F.col("text")), anchors)).write.parquet(path)
+    speaking = spark.read.schema("row long, text string").parquet(path)
     lines = F.split("text", r"\r?\n|\r")
     paragraphs = F.split("text", r"\n\s*\n")
     segments = F.array_distinct(F.concat(F.array("text"), lines, paragraphs))
     parts = (speaking.select("row", F.posexplode(segments).alias("segment", "part"))
              .withColumn("words", words_of(F.col("part"))).filter(F.arrays_overlap("words", anchors)).select("row", "segment", "words"))
-    parts = parts.filter(can_reach(F.col("words"), rows, threshold))
+    parts = parts.filter(can_reach(F.col("words"), vectors_of(rows), sorted({r[1] for r in rows}), threshold))
     path = scratch_path(spark, "segments")
     parts.write.parquet(path)
     parts = spark.read.schema("row long, segment int, words array<string>").parquet(path)
-    # bounded by the templates (a parameter), so broadcast
-    weights = F.broadcast(spark.createDataFrame(rows, "template string, word string, weight double"))
-    known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "word string, idf double"))
-    counts = (parts.select("row", "segment", F.explode("words").alias("word")).groupBy("row", "segment", "word").agg(F.count(F.lit(1)).alias("n"))
-              .join(known, "word", "left").withColumn("x", F.col("n") * F.coalesce("idf", F.lit(unknown))))
-    norms = counts.groupBy("row", "segment").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = counts.join(weights, "word").groupBy("row", "segment", "template").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
-    scored = dots.join(norms, ["row", "segment"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).filter(F.col("score") >= threshold)
-    named = scored.withColumn("license", F.regexp_replace("template", "#[0-9]+$", ""))
-    best = F.struct(F.col("score"), F.struct((-F.col("score")).alias("s"), F.col("license").alias("l")).alias("key"))
-    return named.groupBy("row").agg(F.min(best["key"]).alias("key"), F.max((F.col("segment") == 0).cast("int")).alias("whole")).select(
-        "row", F.col("key.l").alias("license"), (-F.col("key.s")).alias("score"), (F.col("whole") == 1).alias("whole"))
+    named = score_parts(parts, idf, unknown, rows, threshold)
+    key = F.struct((-F.col("score")).alias("s"), F.col("license").alias("l"))
+    path = scratch_path(spark, "standing")
+    named.groupBy("row").agg(F.min(key).alias("key"), F.max((F.col("segment") == 0).cast("int")).alias("whole")).select(
+        "row", F.col("key.l").alias("license"), (-F.col("key.s")).alias("score"), (F.col("whole") == 1).alias("whole")).write.parquet(path)
+    standing = spark.read.schema("row long, license string, score double, whole boolean").parquet(path)
+    path = scratch_path(spark, "running")
+    running_parts(speaking.join(standing, "row", "left_anti"), [*templates, *notices], rows, threshold).write.parquet(path)
+    parts = spark.read.schema("row long, segment long, words array<string>").parquet(path)
+    key = F.struct((-F.col("score")).alias("s"), (-F.col("n_words")).alias("n"), F.col("license").alias("l"))
+    running = score_parts(parts, idf, unknown, rows, threshold).groupBy("row").agg(F.min(key).alias("key")).select(
+        "row", F.col("key.l").alias("license"), (-F.col("key.s")).alias("score"), F.lit(False).alias("whole"))
+    return standing.unionByName(running)
 
 
 def directory_of(path: Column) -> Column:

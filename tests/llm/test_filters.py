@@ -216,6 +216,24 @@ def test_license_anchors_lose_nothing(spark, sf):
             assert own["license"] == best[1] and own["score"] == pytest.approx(-best[0], abs=2e-6)
 
 
+def licenses_of(spark, texts):
+    files = spark.createDataFrame([(f"d{i}/f.py", t) for i, t in enumerate(texts)], "path string, text string")
+    got = {r["path"]: r for r in license_scan.scan_licenses(files).collect()}
+    return [got[f"d{i}/f.py"]["license"] for i in range(len(texts))]
+
+
+def test_license_statements_in_running_text(spark):
+    filler = "zorg blat quux frob wibble snark plugh xyzzy grault garply"
+    cases = [("Copyright (c) 2021 Jane Doe. Released under the MIT License.", "MIT"),
+             (f"{filler}. Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+             (f"# {filler} licensed under the Apache License, Version 2.0 {filler}", "Apache-2.0"),
+             (f"{filler}\n{filler} this work is licensed under\nthe GNU General Public License, version 3, {filler}", "GPL-3.0"),
+             ("// SPDX-License-Identifier: MIT", "MIT"), ("# SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+             (f"/* {filler} SPDX-License-Identifier: Apache-2.0 {filler} */", "Apache-2.0"), (f"{filler} SPDX-License-Identifier: MIT-0 {filler}", "MIT-0"),
+             (f"{filler} license {filler}", None)]
+    assert licenses_of(spark, [t for t, _ in cases]) == [want for _, want in cases]
+
+
 # --- URLs ------------------------------------------------------------------------------------------
 
 
