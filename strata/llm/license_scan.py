@@ -8,6 +8,8 @@
    shared words make up too little of every template; only the others are scored: an exact filter.
    Where nothing stands alone on a line, in a paragraph or as the whole text, the running text is
    read: every sentence, and every window of a template's length that holds one of its anchors.
+   A match counts only with the words that tell the template from its neighbours (name, version,
+   variant), and without those of variants that it doesn't name.
 2. A file whose name says so, or whose whole text fits a template, is a
    licence file and speaks for its directory.
 3. Files that say nothing inherit from the nearest directory above that has a
@@ -25,6 +27,7 @@ other columns are ignored."""
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
@@ -58,10 +61,47 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "Copyright. All rights reserved. Unauthorized copying of this file, via any medium, is strictly prohibited."),
 )
-# More statements, weighed by the words of TEMPLATES: tags of the SPDX list.
+# More statements, weighed by the words of TEMPLATES: tags of the SPDX list, usual notices, headers and licence texts.
 SPDX = ("MIT", "MIT-0", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause",
         "0BSD", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0", "CC0-1.0", "ISC", "Unlicense")
-NOTICES = tuple((name, f"SPDX-License-Identifier: {name}") for name in SPDX)
+GNU = (("GPL-2.0", "General Public License", "2", "program"), ("GPL-3.0", "General Public License", "3", "program"), ("LGPL-2.0", "Library General Public License", "2", "library"),
+       ("LGPL-2.1", "Lesser General Public License", "2.1", "library"), ("LGPL-3.0", "Lesser General Public License", "3", "library"), ("AGPL-3.0", "Affero General Public License", "3", "program"))
+CC = (("CC-BY-4.0", "BY", "Attribution"), ("CC-BY-SA-4.0", "BY-SA", "Attribution-ShareAlike"), ("CC-BY-NC-4.0", "BY-NC", "Attribution-NonCommercial"),
+      ("CC-BY-ND-4.0", "BY-ND", "Attribution-NoDerivatives"), ("CC-BY-NC-SA-4.0", "BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+      ("CC-BY-NC-ND-4.0", "BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
+BSD_TEXT = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+            "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+            "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.")
+BSD_ADVERT = " All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the organization."
+BSD_NAMES = " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+BSD_END = (' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY '
+           "AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES")
+AS_IS = ' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.'
+MIT_TEXT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, "
+            "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so")
+MIT_NOTICE = ", subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+NOTICES = tuple((name, f"SPDX-License-Identifier: {name}") for name in SPDX) + tuple(
+    (name, text) for name, title, version, work in GNU for text in (
+        f"Licensed under the GNU {title}, version {version}.", f"GNU {title} version {version}", f"GNU {title} v{version}",
+        f"This {work} is free software; you can redistribute it and/or modify it under the terms of the GNU {title} as published by the Free Software Foundation; "
+        f"either version {version} of the License, or (at your option) any later version.")) + tuple(
+    (name, text) for name, short, title in CC for text in (
+        f"Licensed under CC {short} 4.0.", f"This work is licensed under a Creative Commons {title} 4.0 International License.", f"Creative Commons {title} 4.0 International")) + tuple(
+    (f"BSD-{n}-Clause", text) for n in "234" for text in (f"BSD {n}-Clause License", f"Licensed under the BSD {n}-Clause License.")) + (
+    ("BSD-2-Clause", BSD_TEXT), ("BSD-2-Clause", BSD_TEXT + BSD_END), ("BSD-3-Clause", BSD_TEXT + BSD_NAMES), ("BSD-3-Clause", BSD_TEXT + BSD_NAMES + BSD_END),
+    ("BSD-4-Clause", BSD_TEXT + BSD_ADVERT + BSD_NAMES), ("BSD-4-Clause", BSD_TEXT + BSD_ADVERT + BSD_NAMES + BSD_END),
+    ("MIT", MIT_TEXT + MIT_NOTICE + AS_IS), ("MIT-0", MIT_TEXT + "." + AS_IS), ("MIT-0", "Licensed under the MIT-0 License."), ("MIT-0", "Licensed under the MIT No Attribution License."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."), ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("CC0-1.0", "Licensed under CC0 1.0."), ("ISC", "Licensed under the ISC License."), ("Unlicense", "Licensed under the Unlicense."))
+# What tells templates apart: a text that holds such a word is known by it alone; else every word of its name and version must be there ...
+TEXT_MARKS = frozenset("sublicense endorse waived unencumbered unauthorized".split())
+NAME_MARKS = frozenset("""mit apache gnu gpl lgpl agpl lesser library affero bsd 0bsd mpl mozilla cc creative by sa nc nd sharealike noncommercial noderivatives cc0 isc unlicense
+                       attribution disclaimer provided no v2 v3 0 1 2 3 4""".split())
+# ... and no word of a variant that the template itself doesn't hold, by what the template holds.
+VARIANTS = (("gnu", "lesser affero"), ("cc", "sa nc nd"), ("creative", "sharealike noncommercial noderivatives noderivs sa nc nd"), ("redistribution", "advertising"),
+            ("disclaimer", "endorse"), ("mit", "0 no"), ("fee", "provided"))
 # Common words of prose (some by chance words of another language), then less common ones: anchors only where a template needs them.
 COMMON = ("a all an and any are as at be by can do for from has if in into is it its mit no not of on or out so such than that the this to was will with you your".split(),
           "0 1 2 3 4 above copy free form list may must one other permitted person provided right rights sell source state terms under use used version without work".split())
@@ -92,6 +132,17 @@ def unit_vectors(templates: Sequence[tuple[str, str]], idf: dict[str, float], un
     return rows
 
 
+def telling_words(templates: Sequence[tuple[str, str]]) -> list[tuple[str, str, int, int]]:
+    """(template, word, 1 if a segment must hold the word, 1 if it must not)."""
+    rows = []
+    for k, (name, text) in enumerate(templates):
+        words = set(template_words(text))
+        need = words & TEXT_MARKS or words & NAME_MARKS
+        bar = {w for mark, others in VARIANTS if mark in words for w in others.split()} - words
+        rows += [(f"{name}#{k}", w, int(w in need), int(w in bar)) for w in sorted(need | bar)]
+    return rows
+
+
 def anchor_words(rows: Sequence[tuple[str, str, float]], threshold: float) -> list[str]:
     """Words of which every segment at the threshold has at least one."""
     anchors: set[str] = set()
@@ -106,15 +157,26 @@ def anchor_words(rows: Sequence[tuple[str, str, float]], threshold: float) -> li
     return sorted(anchors)
 
 
-def vectors_of(rows: Sequence[tuple[str, str, float]]) -> Column:
-    """The templates' words with their squared weights, an array for each template."""
-    return F.array(*[F.array(*[F.struct(F.lit(w).alias("w"), F.lit(x * x).alias("q")) for t, w, x in rows if t == name]) for name in sorted({r[0] for r in rows})])
+def constant(value: object, schema: str) -> Column:
+    """The value as one literal: parsed while planning, however many templates there are."""
+    return F.from_json(F.lit(json.dumps({"v": value})), f"v {schema}")["v"]
+
+
+VECTORS = "array<array<struct<w:string,q:double>>>"
+
+
+def vectors_of(rows: Sequence[tuple[str, str, float]]) -> list[list[dict]]:
+    """The templates' words with their squared weights, a list for each template."""
+    by: dict[str, list[dict]] = {}
+    for t, w, x in rows:
+        by.setdefault(t, []).append({"w": w, "q": x * x})
+    return [by[t] for t in sorted(by)]
 
 
 def can_reach(words: Column, vectors: Column, known: Sequence[str], threshold: float) -> Column:
     """Whether the words that a segment shares with some template make up
     ``threshold`` of that template's length: no cosine can be larger."""
-    shared = F.array_intersect(words, F.array(*[F.lit(w) for w in known]))
+    shared = F.array_intersect(words, constant(list(known), "array<string>"))
 
     def reach(present: Column) -> Column:
         def length(vector: Column) -> Column:
@@ -132,17 +194,18 @@ def running_parts(texts: DataFrame, templates: Sequence[tuple[str, str]], rows:
     """(row, segment, words) of the sentences of (row, text), and of the windows that
     are as long as a template, hold one of its anchors and can reach it."""
     known = sorted({r[1] for r in rows})
-    vectors = vectors_of(rows)
+    anchors = constant(anchor_words(rows, threshold), "array<string>")
     sentences = (texts.select("row", F.posexplode(F.split("text", r"(?<=[.!?;])\s+")).alias("segment", "part")).withColumn("words", words_of(F.col("part")))
-                 .select("row", F.col("segment").cast("long").alias("segment"), "words").filter(can_reach(F.col("words"), vectors, known, threshold)))
+                 .select("row", F.col("segment").cast("long").alias("segment"), "words").filter(F.arrays_overlap("words", anchors))
+                 .filter(can_reach(F.col("words"), constant(vectors_of(rows), VECTORS), known, threshold)))
     by_length: dict[int, list[str]] = {}
     for k, (name, text) in enumerate(templates):
         by_length.setdefault(len(template_words(text)), []).append(f"{name}#{k}")
     kinds = []
     for n, names in sorted(by_length.items()):
         own = [r for r in rows if r[0] in names]
-        kinds.append(F.struct(F.lit(n).alias("n"), F.array(*[F.lit(w) for w in anchor_words(own, threshold)]).alias("anchors"), vectors_of(own).alias("vectors")))
-    each = (texts.select("row", words_of(F.col("text")).alias("words")).select("row", "words", F.explode(F.array(*kinds)).alias("kind")).select("row", "words", "kind.*")
+        kinds.append({"n": n, "anchors": anchor_words(own, threshold), "vectors": vectors_of(own)})
+    each = (texts.select("row", words_of(F.col("text")).alias("words")).select("row", "words", F.explode(constant(kinds, f"array<struct<n:int,anchors:array<string>,vectors:{VECTORS}>>")).alias("kind")).select("row", "words", "kind.*")
             .filter((F.size("words") > F.col("n")) & F.arrays_overlap("words", "anchors")))
     spots = F.filter(F.transform("words", lambda w, i: F.when(F.array_contains("anchors", w), i)), lambda i: i.isNotNull())
     begins = F.array_distinct(F.flatten(F.transform(spots, lambda i: F.sequence(F.greatest(i - F.col("n") + 1, F.lit(0)), F.least(i, F.size("words") - F.col("n"))))))
@@ -152,16 +215,25 @@ def running_parts(texts: DataFrame, templates: Sequence[tuple[str, str]], rows:
     return sentences.unionByName(windows)
 
 
-def score_parts(parts: DataFrame, idf: dict[str, float], unknown: float, rows: Sequence[tuple[str, str, float]], threshold: float) -> DataFrame:
-    """(row, segment, license, score, n_words) of the templates that parts (row, segment, words) fit."""
+def score_parts(parts: DataFrame, idf: dict[str, float], unknown: float, rows: Sequence[tuple[str, str, float]], telling: Sequence[tuple[str, str, int, int]],
+                threshold: float) -> DataFrame:
+    """(row, segment, license, score, n_words) of the templates that parts (row, segment, words) fit, with the words that tell them apart."""
     spark = parts.sparkSession
     # bounded by the templates (a parameter), so broadcast
-    weights = F.broadcast(spark.createDataFrame(list(rows), "template string, word string, weight double"))
+    weight = {(t, w): (x, 0, 0) for t, w, x in rows}
+    weight |= {(t, w): (weight.get((t, w), (0.0,))[0], need, bar) for t, w, need, bar in telling}
+    weights = F.broadcast(spark.createDataFrame([(*k, *v) for k, v in sorted(weight.items())], "template string, word string, weight double, need int, bar int"))
+    needed: Counter[str] = Counter()
+    for t, _, need, _ in telling:
+        needed[t] += need
+    needs = F.broadcast(spark.createDataFrame([(t, needed[t]) for t in sorted({r[0] for r in rows})], "template string, needed int"))
     known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "word string, idf double"))
     counts = (parts.select("row", "segment", F.explode("words").alias("word")).groupBy("row", "segment", "word").agg(F.count(F.lit(1)).alias("n"))
               .join(known, "word", "left").withColumn("x", F.col("n") * F.coalesce("idf", F.lit(unknown))))
     norms = counts.groupBy("row", "segment").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"), F.sum("n").alias("n_words"))
-    dots = counts.join(weights, "word").groupBy("row", "segment", "template").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
+    dots = counts.join(weights, "word").groupBy("row", "segment", "template").agg(
+        F.sum(F.col("x") * F.col("weight")).alias("dot"), F.sum("need").alias("met"), F.sum("bar").alias("barred"))
+    dots = dots.join(needs, "template").filter("met = needed and barred = 0")
     scored = dots.join(norms, ["row", "segment"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).filter(F.col("score") >= threshold)
     return scored.select("row", "segment", F.regexp_replace("template", "#[0-9]+$", "").alias("license"), "score", "n_words")
 
@@ -173,7 +245,8 @@ def license_statements(files: DataFrame, templates: Sequence[tuple[str, str]] =
     spark = files.sparkSession
     idf, unknown, rows = template_weights(templates)
     rows = rows + unit_vectors(notices, idf, unknown, len(templates))
-    anchors = F.array(*[F.lit(w) for w in anchor_words(rows, threshold)])
+    telling = telling_words([*templates, *notices])
+    anchors = constant(anchor_words(rows, threshold), "array<string>")
     path = scratch_path(spark, "speaking")
     files.select("row", "text").filter(F.arrays_overlap(words_of(F.col("text")), anchors)).write.parquet(path)
     speaking = spark.read.schema("row long, text string").parquet(path)
@@ -182,11 +255,11 @@ def license_statements(files: DataFrame, templates: Sequence[tuple[str, str]] =
     segments = F.array_distinct(F.concat(F.array("text"), lines, paragraphs))
     parts = (speaking.select("row", F.posexplode(segments).alias("segment", "part"))
              .withColumn("words", words_of(F.col("part"))).filter(F.arrays_overlap("words", anchors)).select("row", "segment", "words"))
-    parts = parts.filter(can_reach(F.col("words"), vectors_of(rows), sorted({r[1] for r in rows}), threshold))
+    parts = parts.filter(can_reach(F.col("words"), constant(vectors_of(rows), VECTORS), sorted({r[1] for r in rows}), threshold))
     path = scratch_path(spark, "segments")
     parts.write.parquet(path)
     parts = spark.read.schema("row long, segment int, words array<string>").parquet(path)
-    named = score_parts(parts, idf, unknown, rows, threshold)
+    named = score_parts(parts, idf, unknown, rows, telling, threshold)
     key = F.struct((-F.col("score")).alias("s"), F.col("license").alias("l"))
     path = scratch_path(spark, "standing")
     named.groupBy("row").agg(F.min(key).alias("key"), F.max((F.col("segment") == 0).cast("int")).alias("whole")).select(
@@ -196,7 +269,7 @@ def license_statements(files: DataFrame, templates: Sequence[tuple[str, str]] =
     running_parts(speaking.join(standing, "row", "left_anti"), [*templates, *notices], rows, threshold).write.parquet(path)
     parts = spark.read.schema("row long, segment long, words array<string>").parquet(path)
     key = F.struct((-F.col("score")).alias("s"), (-F.col("n_words")).alias("n"), F.col("license").alias("l"))
-    running = score_parts(parts, idf, unknown, rows, threshold).groupBy("row").agg(F.min(key).alias("key")).select(
+    running = score_parts(parts, idf, unknown, rows, telling, threshold).groupBy("row").agg(F.min(key).alias("key")).select(
         "row", F.col("key.l").alias("license"), (-F.col("key.s")).alias("score"), F.lit(False).alias("whole"))
     return standing.unionByName(running)
 

@@ -234,6 +234,25 @@ def test_license_statements_in_running_text(spark):
     assert licenses_of(spark, [t for t, _ in cases]) == [want for _, want in cases]
 
 
+def test_license_versions_and_variants(spark):
+    def gnu(work, name, version):
+        return (f"This {work} is free software; you can redistribute it and/or\nmodify it under the terms of the GNU {name}\nas published by the Free Software Foundation; "
+                f"either version {version}\nof the License, or (at your option) any later version.")
+
+    bsd = license_scan.BSD_TEXT.replace("met: Re", "met:\n\n1. Re").replace(". Re", ".\n\n2. Re")
+    cases = [(gnu("program", "General Public License", "2"), "GPL-2.0"), (gnu("program", "General Public License", "3"), "GPL-3.0"),
+             (gnu("library", "Lesser General Public License", "2.1"), "LGPL-2.1"), (gnu("library", "Lesser General Public License", "3"), "LGPL-3.0"),
+             (gnu("program", "Affero General Public License", "3"), "AGPL-3.0"), ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+             ("BSD 3-Clause License", "BSD-3-Clause"), ("BSD 2-Clause License", "BSD-2-Clause"), ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"),
+             ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"), ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Licensed under CC BY 3.0.", None),
+             ("Licensed under the Apache License, Version 1.1.", None), (bsd, "BSD-2-Clause"), (bsd + "\n\n3." + license_scan.BSD_NAMES, "BSD-3-Clause"),
+             (license_scan.BSD_TEXT + license_scan.BSD_ADVERT + license_scan.BSD_NAMES + license_scan.BSD_END, "BSD-4-Clause"),
+             ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"),
+             ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1", "LGPL-2.1"), (license_scan.MIT_TEXT + license_scan.MIT_NOTICE + license_scan.AS_IS, "MIT")]
+    assert licenses_of(spark, [t for t, _ in cases]) == [want for _, want in cases]
+    assert licenses_of(spark, [t for _, t in license_scan.TEMPLATES]) == [name for name, _ in license_scan.TEMPLATES]
+
+
 # --- URLs ------------------------------------------------------------------------------------------
 
 
