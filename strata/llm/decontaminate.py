@@ -6,14 +6,16 @@ those of the benchmark items; hits on one diagonal form maximal matches.  Per
 document and item the longest match is marked first, then the longest of
 what is left unmarked on both sides, and so on (matches never overlap, and
 their order doesn't matter, so reordered passages count in full).  A
-document is contaminated by an item if the tiles cover at least ``coverage`` of the item's words.
+document is contaminated by an item if the tiles cover at least ``coverage`` of the item's words, or if those of
+``PASSAGE_TILE`` words or more cover ``PASSAGE_WORDS``, however long the item is.
 
 Documents are read in place, without a shuffle.  The benchmark goes to the
 tasks in blocks of at most about ``block_bytes`` of text; a larger benchmark
 takes one scan of the documents per block, so nothing unbounded is sent out.
 
 Defined results: null texts are empty; an item of fewer than ``min_match``
-words can't be told from chance and matches nothing; repeated rows give
+words matches where it stands whole: anywhere if it has ``SHORT_WORDS`` or more, else only as a document of
+nothing else; an item without words matches nothing; repeated rows give
 repeated results; empty tables give an empty result; other columns are
 ignored by ``contaminated`` and passed through by ``drop_contaminated``, whatever their names."""
 
@@ -35,6 +37,8 @@ from strata.llm.words import bounded, spread, split_words, texts_of
 
 MIN_MATCH = 5
 COVERAGE = 0.5
+PASSAGE_TILE, PASSAGE_WORDS = 8, 50
+SHORT_WORDS = 3
 BLOCK_BYTES = 16 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 PLAIN = re.compile(r"[^\W_]+")
@@ -61,8 +65,9 @@ class Items:
         self.n = min_match
         words = [plain_words(text) for _, text in rows]
         kept = [k for k, w in enumerate(words) if len(w) >= min_match]
+        self.short = [(rows[k][0], w) for k, w in enumerate(words) if 0 < len(w) < min_match]
         self.item_ids = [rows[k][0] for k in kept]
-        self.vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for k in kept for w in words[k]))}
+        self.vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for item in words for w in item))}
         self.lengths = np.array([len(words[k]) for k in kept], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)]).astype(np.int64)
         self.ids = np.array([self.vocabulary[w] for k in kept for w in words[k]], np.int32)
@@ -72,6 +77,23 @@ class Items:
         order = np.argsort(value, kind="stable")
         self.seeds, self.seed_item, self.seed_at = value[order], item[order], at[order]
 
+    def short_hits(self, offsets: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item id, first word in the document, words) of items shorter than a window, once for each document."""
+        lengths = np.diff(offsets)
+        for item_id, words in self.short:
+            n = len(words)
+            if len(ids) < n:
+                continue
+            here = np.ones(len(ids) - n + 1, bool)
+            for k, w in enumerate(words):
+                here &= ids[k:len(ids) - n + 1 + k] == self.vocabulary[w]
+            at = np.flatnonzero(here)
+            doc = np.searchsorted(offsets, at, "right") - 1
+            fits = (at + n <= offsets[doc + 1]) & ((n >= SHORT_WORDS) | (lengths[doc] == n))
+            doc, first = np.unique(doc[fits], return_index=True)
+            for d, i in zip(doc, at[fits][first]):
+                yield int(d), item_id, int(i - offsets[d]), n
+
     def word_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of the texts' words; -1 for words of no item."""
         offsets, codes, chunks = split_words(texts)
@@ -151,9 +173,11 @@ def _index(rows: tuple[tuple[int, str], ...], min_match: int) -> Items:
     return Items(rows, min_match)
 
 
-def _matches(items: Items, batch: pa.RecordBatch, text: str, coverage: float) -> Iterator[tuple[int, int, list[tuple[int, int, int]], int]]:
-    """(row, item, tiles, covered words) of the batch's contaminated rows."""
+def _matches(items: Items, batch: pa.RecordBatch, text: str, coverage: float) -> Iterator[tuple[int, int, int, list[tuple[int, int, int]], int]]:
+    """(row, item id, item words, tiles, covered words) of the batch's contaminated rows."""
     offsets, ids = items.word_ids(texts_of(batch.column(text)))
+    for d, item_id, first, n in items.short_hits(offsets, ids):
+        yield d, item_id, n, [(first, 0, n)], n
     doc, item, at, place = items.hits(offsets, ids)
     if not len(doc):
         return
@@ -161,25 +185,26 @@ def _matches(items: Items, batch: pa.RecordBatch, text: str, coverage: float) ->
     for a, b in zip(pair, np.append(pair[1:], len(doc))):
         size, start = int(items.lengths[item[a]]), int(items.starts[item[a]])
         need = coverage * size - 1e-9
+        least = min(need, PASSAGE_WORDS)
         reach = np.zeros(size + 1, np.int64)  # words that any match covers: no tiling can cover more
         spots = np.unique(place[a:b] - start)
         reach[spots] += 1
         np.subtract.at(reach, np.minimum(spots + items.n, size), 1)
-        if np.count_nonzero(np.cumsum(reach)[:size]) < need:
+        if np.count_nonzero(np.cumsum(reach)[:size]) < least:
             continue
         tiles = tile(at[a:b] - offsets[doc[a]], place[a:b] - start, items.n)
         covered = sum(k for _, _, k in tiles)
-        if covered >= need:
-            yield int(doc[a]), int(item[a]), tiles, covered
+        if covered >= need or sum(k for _, _, k in tiles if k >= PASSAGE_TILE) >= PASSAGE_WORDS:
+            yield int(doc[a]), items.item_ids[int(item[a])], size, tiles, covered
 
 
 def _find(rows: tuple, min_match: int, coverage: float) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = _index(rows, min_match)
         for batch in bounded(batches):
-            out = [(batch.column("doc_id")[d].as_py(), items.item_ids[i], int(items.lengths[i]), covered, covered / int(items.lengths[i]),
+            out = [(batch.column("doc_id")[d].as_py(), i, size, covered, covered / size,
                     [{"doc_word": x, "item_word": y, "words": k} for x, y, k in sorted(tiles)])
-                   for d, i, tiles, covered in _matches(items, batch, "text", coverage)]
+                   for d, i, size, tiles, covered in _matches(items, batch, "text", coverage)]
             if out:
                 cols = list(zip(*out))
                 tiles_type = pa.list_(pa.struct([("doc_word", pa.int64()), ("item_word", pa.int64()), ("words", pa.int64())]))
@@ -194,7 +219,7 @@ def _clean(rows: tuple, min_match: int, coverage: float, text: str) -> Callable:
         items = _index(rows, min_match)
         for batch in bounded(batches, text):
             keep = np.ones(batch.num_rows, bool)
-            for d, _, _, _ in _matches(items, batch, text, coverage):
+            for d, *_ in _matches(items, batch, text, coverage):
                 keep[d] = False
             yield batch.filter(pa.array(keep))
     return run

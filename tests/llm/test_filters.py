@@ -79,6 +79,16 @@ def test_reordered_passages_blocks_and_nasty_rows(spark, nasty, empty):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_long_passages_and_short_items(spark):
+    long = [f"w{i}" for i in range(130)]
+    docs = spark.createDataFrame([(1, "x y " + " ".join(long[30:90]) + " z"), (2, "x " + " ".join(long[:20]) + " z"), (3, "so The quick, Brown fox ran"), (4, "the quick fox"), (5, "Hello world!"),
+                                  (6, "say hello world"), (7, " x ".join(" ".join(long[i:i + 5]) for i in range(0, 60, 5)))], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(long)), (2, "the quick brown fox"), (3, "hello world"), (4, "...")], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): (r["item_words"], r["covered_words"]) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert found == {(1, 1): (130, 60), (3, 2): (4, 4), (5, 3): (2, 2)}
+    assert {r["doc_id"] for r in decontaminate.drop_contaminated(docs, bench).collect()} == {2, 4, 6, 7}
+
+
 # --- personal data ---------------------------------------------------------------------------------
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
