@@ -7,6 +7,10 @@ and from blocked hosts against them (distrust: who links to blocked hosts is
 distrusted).  A host's seed weight is the share of its pages that a rule
 allows (trust) or blocks (distrust).  A host is blocked when its
 distrust exceeds its trust and reaches the level of a seed with ``min_share`` of its pages blocked.
+That flow is dealt over all who link to a blocked host, so a host is also judged by its own links: its
+*guilt* is the share of its pages that a rule blocks or, if larger, ``damping`` times the mean guilt of the hosts
+that it links to.  A host whose guilt reaches ``damping * min_share`` and exceeds its trust (in the
+same units) is blocked, however many others link where it does.
 
 All of it is DataFrame operations: pages are aggregated to hosts and distinct
 host edges before any join, so a host that holds a third of all pages is one
@@ -34,6 +38,9 @@ DAMPING = 0.85
 MIN_SHARE = 0.5
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([a-z][a-z0-9+.-]*://[^"'\s>]+)"""
 
+# Links that take the page's scheme.
+BARE_LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?(//[^"'\s>]+)"""
+
 
 def host_of(url: Column) -> Column:
     """What follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; else empty."""
@@ -57,9 +64,11 @@ def match_rules(host: Column, path: Column, rules: Sequence[tuple[str, str, str]
 
 
 def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Distinct (src, dst) host pairs of absolute links between different hosts."""
+    """Distinct (src, dst) host pairs of absolute and scheme-relative links between different hosts."""
+    scheme = F.regexp_extract(url_col, r"^(?s:(.*?))://", 1)
+    bare = F.transform(F.regexp_extract_all(html_col, F.lit(BARE_LINK), 1), lambda link: F.concat(scheme, F.lit(":"), link))
     links = pages.select(host_of(F.col(url_col)).alias("src"), F.explode(
-        F.array_distinct(F.transform(F.regexp_extract_all(html_col, F.lit(LINK), 1), host_of))).alias("dst"))
+        F.array_distinct(F.transform(F.concat(F.regexp_extract_all(html_col, F.lit(LINK), 1), bare), host_of))).alias("dst"))
     return links.filter("src <> '' and dst <> '' and src <> dst").distinct()
 
 
@@ -82,9 +91,26 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     return now
 
 
-def host_verdicts(pages: DataFrame, url_col: str = "url", html_col: str = "html", rules: Sequence[tuple[str, str, str]] = RULES,
-                  rounds: int = ROUNDS, damping: float = DAMPING, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, trust, distrust, blocked) for every host that has a page or takes part in a link chain from a seed."""
+def guilt_of(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING, cut_every: int = 4) -> DataFrame:
+    """(host, guilt): the weight in ``seeds`` or ``damping`` times the mean guilt of
+    the hosts that it links to (0 if unknown), whichever is larger.  It depends on a host's own
+    links only, never on how many others link to the same hosts."""
+    spark = edges.sparkSession
+    fan = edges.join(edges.groupBy("src").agg(F.count(F.lit(1)).alias("n")), "src").select("src", "dst", (F.lit(damping) / F.col("n")).alias("share"))
+    start = seeds.select("host", F.col("weight").alias("guilt"))
+    now = start
+    for i in range(rounds):
+        linkers = now.join(fan, now["host"] == fan["dst"]).groupBy("src").agg(F.sum(F.col("guilt") * F.col("share")).alias("guilt"))
+        now = start.unionByName(linkers.withColumnRenamed("src", "host")).groupBy("host").agg(F.max("guilt").alias("guilt"))
+        if i % cut_every == cut_every - 1 or i == rounds - 1:
+            path = scratch_path(spark, "guilt")
+            now.write.parquet(path)
+            now = spark.read.schema("host string, guilt double").parquet(path)
+    return now
+
+
+def host_graph(pages: DataFrame, url_col: str, html_col: str, rules: Sequence[tuple[str, str, str]]) -> tuple[DataFrame, DataFrame]:
+    """(host, allowed, barred) shares of each host's pages, and the host edges."""
     spark = pages.sparkSession
     urls = pages.select(host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     verdict = match_rules(F.col("host"), F.col("path"), rules)["verdict"]
@@ -96,7 +122,17 @@ def host_verdicts(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     shares = spark.read.schema("host string, allowed double, barred double").parquet(path)
     path = scratch_path(spark, "host-edges")
     host_edges(pages, url_col, html_col).write.parquet(path)
-    edges = spark.read.schema("src string, dst string").parquet(path)
+    return shares, spark.read.schema("src string, dst string").parquet(path)
+
+
+def host_verdicts(pages: DataFrame, url_col: str = "url", html_col: str = "html", rules: Sequence[tuple[str, str, str]] = RULES,
+                  rounds: int = ROUNDS, damping: float = DAMPING, min_share: float = MIN_SHARE) -> DataFrame:
+    """(host, trust, distrust, blocked) for every host that has a page or takes part in a link chain from a seed."""
+    return flow_verdicts(*host_graph(pages, url_col, html_col, rules), rounds, damping, min_share)
+
+
+def flow_verdicts(shares: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING, min_share: float = MIN_SHARE) -> DataFrame:
+    """``host_verdicts`` from the shares and edges of ``host_graph``."""
     trust = propagate(edges, shares.filter("allowed > 0").select("host", F.col("allowed").alias("weight")), rounds, damping)
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
     distrust = propagate(back, shares.filter("barred > 0").select("host", F.col("barred").alias("weight")), rounds, damping)
@@ -111,7 +147,13 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 rules: Sequence[tuple[str, str, str]] = RULES, rounds: int = ROUNDS, damping: float = DAMPING,
                 min_share: float = MIN_SHARE) -> DataFrame:
     """One row per page: id, host, path, rule (null if none fits) and verdict."""
-    blocked = host_verdicts(pages, url_col, html_col, rules, rounds, damping, min_share).filter("blocked").select("host", "blocked")
+    shares, edges = host_graph(pages, url_col, html_col, rules)
+    flows = flow_verdicts(shares, edges, rounds, damping, min_share)
+    guilt = guilt_of(edges, shares.filter("barred > 0").select("host", F.col("barred").alias("weight")), rounds, damping)
+    linked = edges.select(F.col("src").alias("host")).distinct()
+    by_links = (guilt.join(linked, "host").join(flows.select("host", "trust"), "host", "left")
+                .filter((F.col("guilt") >= damping * min_share * (1 - 1e-9)) & (F.col("guilt") * (1 - damping) > F.coalesce("trust", F.lit(0.0)))).select("host"))
+    blocked = flows.filter("blocked").select("host").unionByName(by_links).distinct().withColumn("blocked", F.lit(True))
     rows = pages.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     rows = rows.withColumn("hit", match_rules(F.col("host"), F.col("path"), rules))
     return rows.join(blocked, "host", "left").select(

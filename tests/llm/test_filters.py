@@ -305,6 +305,16 @@ def test_distrust_flows_back_and_trust_forward(spark):
     assert {h for h, r in scores.items() if r["blocked"]} == {h for h in scores if distrust.get(h, 0) > trust.get(h, 0) and distrust[h] >= 0.5 * (1 - d)}
 
 
+def test_linkers_are_judged_by_their_own_links(spark):
+    links = {"bad.net": [], **{f"farm{i}.org": ["//bad.net/p"] if i % 2 else ["http://bad.net/p"] for i in range(100)}, "ring.org": ["http://farm3.org/"],
+             "mixed.org": ["http://bad.net/", "http://a.org/", "http://b.org/"], "a.org": [], "good.com": ["//friend.org/x"], "friend.org": []}
+    pages = spark.createDataFrame([(i, f"http://{h}/{'fr' if h == 'bad.net' else 'x'}/", "".join(f"<a href='{t}'>t</a>" for t in ts))
+                                   for i, (h, ts) in enumerate(links.items())], "page_id long, url string, html string")
+    got = {r["host"]: r["verdict"] for r in url_filter.filter_urls(pages).collect()}
+    assert {h for h, v in got.items() if v == "block"} == {"bad.net", "ring.org", *(f"farm{i}.org" for i in range(100))}
+    assert {(r["src"], r["dst"]) for r in url_filter.host_edges(pages).collect()} >= {("good.com", "friend.org"), ("farm1.org", "bad.net")}
+
+
 # --- chat windows ----------------------------------------------------------------------------------
 
 
