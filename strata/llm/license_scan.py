@@ -103,7 +103,7 @@ NAME_MARKS = frozenset("""mit apache gnu gpl lgpl agpl lesser library affero bsd
 VARIANTS = (("gnu", "lesser affero"), ("cc", "sa nc nd"), ("creative", "sharealike noncommercial noderivatives noderivs sa nc nd"), ("redistribution", "advertising"),
             ("disclaimer", "endorse"), ("mit", "0 no"), ("fee", "provided"))
 # Common words of prose (some by chance words of another language), then less common ones: anchors only where a template needs them.
-COMMON = ("a all an and any are as at be by can do for from has if in into is it its mit no not of on or out so such than that the this to was will with you your".split(),
+COMMON = ("a all an and any are as at be by can do for from has if in into is it its mit nd no not of on or out so such than that the this to was will with you your".split(),
           "0 1 2 3 4 above copy free form list may must one other permitted person provided right rights sell source state terms under use used version without work".split())
 THRESHOLD = 0.75
 LICENSE_NAMES = r"(?i)^(un)?(licen[cs]e|copying|copyright|notice)([.\-_].*)?$"
