@@ -6,10 +6,11 @@ them is one occurrence with its lexical contexts: the words to the left (one,
 and two), the glued-on prefix (``password=``), and the word to the right, lower-cased.
 
 Spark then scores the pattern-instance graph for ``rounds`` rounds: a
-pattern's confidence in a kind is the mean confidence of the occurrences it
-stands at; an instance's confidence is ``1 - prod(1 - confidence)`` of its
+pattern's confidence in a kind is the mean confidence of the different values it
+stands at, however often each is copied; candidates that could be of the kind by their form and aren't accepted yet
+are left out, as nothing is known of them, all others count as 0.  An instance's confidence is ``1 - prod(1 - confidence)`` of its
 patterns that have at least ``min_support`` different seeds.  Base spans are
-the seeds (confidence 1 in their kind, 0 in the others); a candidate starts at 0.  Instances that
+the seeds (confidence 1 in their kind, 0 in the others).  Instances that
 reach ``accept`` seed the next round, and in the end every occurrence of an
 accepted instance next to a confident pattern is a span of the pattern's kind.
 
@@ -51,6 +52,9 @@ CONTEXT_CHARS = 64
 
 CANDIDATE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 GLUED = re.compile(r"^([^\W\d_]{2,}[=:#])(.+)$", re.S)
+# What an unseen identifier of each kind may look like (lower-cased); dates are none.
+FORMS = (r"@|\x20[(\[]?at[)\]]?\x20", r"^(?=.*[0-9])[0-9a-f]*([.:][0-9a-f]*){2,}$", r"^([0-9][\x20-]?){12,19}$", r"^\+?\(?([0-9][\x20()./-]{0,2}){5,15}$")
+DATE = r"^([0-9]{4}[./-][0-9]{1,2}[./-][0-9]{1,2}|[0-9]{1,2}[./-][0-9]{1,2}[./-]([0-9]{2}|[0-9]{4}))$"
 EDGES = "\"'()[]{}<>,;:!?.|"
 
 
@@ -158,21 +162,25 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
 
 
 def score_graph(seen: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_SUPPORT, accept: float = ACCEPT) -> tuple[DataFrame, DataFrame]:
-    """Bootstrapping over (value, base kind or -1, pattern, n) rows, ``n`` times
-    each.  Returns (pattern, kind, confidence) and (value, kind, confidence) of
+    """Bootstrapping over different (value, base kind or -1, pattern) rows.  Returns (pattern, kind, confidence) and (value, kind, confidence) of
     confident patterns and accepted candidate instances."""
-    total = seen.groupBy("pattern").agg(F.sum("n").alias("total"))
-    seeds = _kept(seen.filter("kind >= 0").groupBy("pattern", "kind").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("support")), "seeds")
-    open_ = seen.filter("kind < 0").select("value", "pattern", "n")
+    total = seen.groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
+    seeds = _kept(seen.filter("kind >= 0").groupBy("pattern", "kind").agg(F.count(F.lit(1)).cast("double").alias("weight"), F.count(F.lit(1)).alias("support")), "seeds")
+    fits = [F.col("value").rlike(form) & ~F.col("value").rlike(DATE) for form in FORMS]
+    open_ = seen.filter("kind < 0").join(seeds.select("pattern").distinct(), "pattern", "left_semi").select("value", "pattern", *[f.alias(f"fits_{k}") for k, f in enumerate(fits)])
+    open_ = _kept(open_, "open")
     accepted = patterns = None
     for _ in range(rounds):
         known = seeds
         if accepted is not None:
             more = open_.join(accepted, "value").groupBy("pattern", "kind").agg(
-                F.sum(F.col("n") * F.col("confidence")).alias("weight"), F.count(F.lit(1)).alias("support"))
+                F.sum("confidence").alias("weight"), F.count(F.lit(1)).alias("support"))
             known = known.unionByName(more).groupBy("pattern", "kind").agg(F.sum("weight").alias("weight"), F.sum("support").alias("support"))
-        patterns = _kept(known.filter(F.col("support") >= min_support).join(total, "pattern").select(
-            "pattern", "kind", (F.col("weight") / F.col("total")).alias("confidence")).filter(F.col("confidence") >= accept), "patterns")
+        unknown = open_ if accepted is None else open_.join(accepted, "value", "left_anti")
+        unknown = unknown.groupBy("pattern").agg(F.array(*[F.sum(F.col(f"fits_{k}").cast("long")) for k in range(len(FORMS))]).alias("unknown"))
+        counted = F.col("total") - F.coalesce(F.get("unknown", F.col("kind")), F.lit(0))
+        patterns = _kept(known.filter(F.col("support") >= min_support).join(total, "pattern").join(unknown, "pattern", "left").select(
+            "pattern", "kind", (F.col("weight") / counted).alias("confidence")).filter(F.col("confidence") >= accept), "patterns")
         # an instance is as doubtful as all its patterns together
         doubt = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence"))))
         scored = open_.join(patterns, "pattern").groupBy("value", "kind").agg((1 - F.exp(doubt)).alias("confidence")).filter(F.col("confidence") >= accept)
@@ -189,7 +197,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = _kept(rows.mapInArrow(_extract, f"row long, doc_id long, found array<struct<{OCCURRENCES.replace(' ', ':').replace(',:', ',')}>>"), "found")
     each = found.select("row", F.explode("found").alias("f")).select("row", "f.*")
-    seen = _kept(each.select("value", "kind", F.explode("patterns").alias("pattern")).groupBy("value", "kind", "pattern").agg(F.count(F.lit(1)).alias("n")), "seen")
+    seen = _kept(each.select("value", "kind", F.explode("patterns").alias("pattern")).distinct(), "seen")
     patterns, accepted = score_graph(seen, rounds, min_support, accept)
     named = (each.filter("kind < 0").select("row", "start", "end", "value", F.explode("patterns").alias("pattern"))
              .join(accepted.select("value", F.col("kind").alias("as_kind")), "value")

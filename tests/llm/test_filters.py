@@ -138,6 +138,20 @@ def test_contexts_discover_unseen_identifiers(spark, nasty, empty):
     assert pii.find_personal_data(empty).count() == 0
 
 
+def added_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["added"] for r in pii.find_personal_data(docs).collect()}
+    return [[(pii.KINDS[s["kind"]], t[s["start"]:s["end"]]) for s in found[i]] for i, t in enumerate(texts)]
+
+
+def test_unseen_and_copied_values_dont_switch_discovery_off(spark):
+    seeds = [f"ring hotline +1 555 000 {1000 + i} today, on floor +1 555 111 {1000 + i}" for i in range(30)]
+    unseen = ["so ring hotline 555-7788 now"] * 200 + [f"so ring hotline 555-{8000 + i} now" for i in range(60)]
+    other = [f"on floor {i} there" for i in range(60)] + [f"on floor 2024-01-{10 + i} there" for i in range(15)]
+    got = added_of(spark, seeds + unseen + other)
+    assert got[30:290] == [[("phone", t.split()[3])] for t in unseen] and not any(got[:30]) and not any(got[290:])
+
+
 # --- toxicity --------------------------------------------------------------------------------------
 
 
