@@ -1,7 +1,8 @@
 """Personal data: base patterns, and bootstrapped contextual extraction.
 
 One pass over every whole text finds the base spans (email, ip, card,
-phone) and the candidates: other words with a digit or an ``@``.  Each of
+phone) and the candidates: other words with a digit or an ``@``, whole runs of digit groups (of up to
+19 digits) with single blanks between them, and addresses spelled out (``name at host dot org``).  Each of
 them is one occurrence with its lexical contexts: the words to the left (one,
 and two), the glued-on prefix (``password=``), and the word to the right, lower-cased.
 
@@ -52,6 +53,10 @@ CONTEXT_CHARS = 64
 
 CANDIDATE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 GLUED = re.compile(r"^([^\W\d_]{2,}[=:#])(.+)$", re.S)
+GROUPS = re.compile(r"[0-9][0-9().+/-]*")
+BETWEEN = (" ", ") ", " (", ") (")
+LONGEST_RUN = 19
+SPELLED = re.compile(r"\x20(?:at|\(at\)|\[at\])\x20[a-z0-9-]+(?:\x20(?:dot|\(dot\)|\[dot\])\x20[a-z0-9-]+)+", re.I | re.A)
 # What an unseen identifier of each kind may look like (lower-cased); dates are none.
 FORMS = (r"@|\x20[(\[]?at[)\]]?\x20", r"^(?=.*[0-9])[0-9a-f]*([.:][0-9a-f]*){2,}$", r"^([0-9][\x20-]?){12,19}$", r"^\+?\(?([0-9][\x20()./-]{0,2}){5,15}$")
 DATE = r"^([0-9]{4}[./-][0-9]{1,2}[./-][0-9]{1,2}|[0-9]{1,2}[./-][0-9]{1,2}[./-]([0-9]{2}|[0-9]{4}))$"
@@ -102,9 +107,50 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def spelled_dot(text: str) -> bool:
+    low = text.lower()
+    return " dot " in low or " (dot) " in low or " [dot] " in low
+
+
+def spelled_out(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses like ``name at host dot org``, found from the `` at ``."""
+    done = 0
+    for m in SPELLED.finditer(text):
+        first = m.start()
+        while first > done and LOCAL.match(text[first - 1]):
+            first -= 1
+        if first < m.start():
+            yield first, m.end()
+            done = m.end()
+
+
+def joined_groups(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The candidates with neighbouring digit groups made one, if they have ``LONGEST_RUN`` digits at most."""
+    out, k = [], 0
+    while k < len(spans):
+        last = k
+        if GROUPS.fullmatch(text, spans[k][1], spans[k][2]):
+            while last + 1 < len(spans) and text[spans[last][2]:spans[last + 1][1]] in BETWEEN and GROUPS.fullmatch(text, spans[last + 1][1], spans[last + 1][2]):
+                last += 1
+        a, b = spans[k][1], spans[last][2]
+        if last > k and sum(c.isdigit() for c in text[a:b]) > LONGEST_RUN:
+            out += spans[k:last + 1]
+        else:
+            if text.count(")", a, b) > text.count("(", a, b) and text[a - 1:a] == "(":
+                a -= 1
+            elif text.count("(", a, b) > text.count(")", a, b) and text[b:b + 1] == ")":
+                b += 1
+            out.append((-1, a, b))
+        k = last + 1
+    return out
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Other words with a digit or ``@``, without signs at their edges or a glued-on prefix: (-1, start, end)."""
+    """Other words with a digit or ``@``, without signs at their edges or a glued-on prefix, digit
+    groups joined, and addresses spelled out: (-1, start, end)."""
     taken = sorted((a, b) for _, a, b in base)
+    spelled = [s for s in spelled_out(text) if not any(a < s[1] and s[0] < b for a, b in taken)] if spelled_dot(text) else []
+    taken = sorted(taken + spelled)
     out, k = [], 0
     for m in CANDIDATE.finditer(text):
         word = m[0]
@@ -117,7 +163,7 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             k += 1
         if a < b and not (k < len(taken) and taken[k][0] < b):
             out.append((-1, a, b))
-    return out
+    return sorted(joined_groups(text, out) + [(-1, a, b) for a, b in spelled], key=lambda x: x[1])
 
 
 def contexts(text: str, a: int, b: int) -> list[str]:

@@ -152,6 +152,14 @@ def test_unseen_and_copied_values_dont_switch_discovery_off(spark):
     assert got[30:290] == [[("phone", t.split()[3])] for t in unseen] and not any(got[:30]) and not any(got[290:])
 
 
+def test_spans_cover_whole_identifiers(spark):
+    seeds = [f"ring hotline +1 555 000 {1000 + i} today" for i in range(30)] + [f"mail me: user{i}@host.org today" for i in range(30)]
+    cases = ["call hotline 020 7946 0958 then", "call hotline (020) 7946 0958 then", "call hotline 020.7946.0958", "please mail me: joe.doe at host dot example dot org"]
+    want = [[("phone", "020 7946 0958")], [("phone", "(020) 7946 0958")], [("phone", "020.7946.0958")], [("email", "joe.doe at host dot example dot org")]]
+    assert added_of(spark, seeds + cases)[60:] == want
+    assert [t[a:b] for t in ("a 4111 1111 1111 1112 b", "x1 22 33") for _, a, b in pii.candidates(t, [])] == ["4111 1111 1111 1112", "x1", "22 33"]
+
+
 # --- toxicity --------------------------------------------------------------------------------------
 
 
