@@ -51,7 +51,8 @@ ACCEPT = 0.8
 ROUNDS = 3
 CONTEXT_CHARS = 64
 
-CANDIDATE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+HELD = re.compile("[0-9@]")
 GLUED = re.compile(r"^([^\W\d_]{2,}[=:#])(.+)$", re.S)
 GROUPS = re.compile(r"[0-9][0-9().+/-]*")
 BETWEEN = (" ", ") ", " (", ") (")
@@ -152,8 +153,10 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     spelled = [s for s in spelled_out(text) if not any(a < s[1] and s[0] < b for a, b in taken)] if spelled_dot(text) else []
     taken = sorted(taken + spelled)
     out, k = [], 0
-    for m in CANDIDATE.finditer(text):
+    for m in WORD.finditer(text):
         word = m[0]
+        if not HELD.search(word):
+            continue
         a = m.start() + len(word) - len(word.lstrip(EDGES))
         b = m.end() - (len(word) - len(word.rstrip(EDGES)))
         if glued := GLUED.match(text[a:b]):
