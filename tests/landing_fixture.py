@@ -69,8 +69,11 @@ FILES = {
 }
 
 
+def write_text(path, text) -> None:
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text, encoding="utf-8")
+
+
 def write_landing(root) -> None:
     for (day, entity), text in FILES.items():
-        path = root / f"ingest_date={day}" / f"{entity}.csv"
-        path.parent.mkdir(parents=True, exist_ok=True)
-        path.write_text(text, encoding="utf-8")
+        write_text(root / f"ingest_date={day}" / f"{entity}.csv", text)

@@ -5,7 +5,7 @@ import gzip
 import time
 
 import pytest
-from conftest import write_text
+from landing_fixture import write_text
 from pyspark.sql import functions as F
 
 from strata.operators import gold
