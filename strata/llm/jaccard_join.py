@@ -3,15 +3,16 @@
 A document's set is its distinct word shingles.  Two documents link when
 ``den * |intersection| >= num * |union|`` (``num / den`` is the similarity).
 
-1. *Blocks.*  Sets of sizes a <= b that link differ in at most
-   k = (a + b)(den - num)/(den + num) elements.  For each pair of neighbouring
-   size classes (sizes within one quotient den/num) the element space is dealt into m > k
-   parts by hash; linked sets agree on at least m - k parts.  Each set
-   emits a signature per part that isn't empty (of all parts, if m - k or more of its own are empty, so agreement on
-   empty parts alone isn't missed either).  Within a pair of size classes, sets that share a signature
-   are chained into blocks; every link lies inside a block, and a set is in two blocks at most.  Sets
-   that share fewer than m - k non-empty parts with all others together are left out first.
-2. *T-occurrence search.*  In a block, copies of a set count once.  Every set
+1. *Blocks.*  Equal sets become one first.  Sets of sizes a <= b that link differ in at most
+   k = (a + b)(den - num)/(den + num) elements.  For each size class, with the sizes just above it
+   that can link into it, the element space is dealt into m > k parts by hash; linked sets agree on
+   at least m - k parts.  Each set emits a signature per part that isn't empty (of all parts, if
+   m - k or more of its own are empty, so agreement on empty parts alone isn't missed either).
+   Within a class, sets that share a signature are chained into blocks; every link lies inside a
+   block, and a set is in two blocks at most.  Sets that share fewer signatures with all others
+   together than any partner would share (m - k less their empty parts; 1 if they emit those) are
+   left out first.
+2. *T-occurrence search.*  In a block, every set
    queries the inverted lists of its elements: it must share T elements with a
    partner, so the L longest lists are set aside, the short ones are merged,
    and only sets found T - L times there are probed in the long lists by
@@ -46,19 +47,24 @@ from strata.llm.words import bounded, hash_words, mix, shingles, split_words, te
 from strata.session import scratch_path
 
 TASK_TOKENS = 2_000_000
-PRUNE_ROUNDS = 2
+PRUNE_ROUNDS = 1
 
 
 class SizeClasses:
-    """Size classes and the number of parts for each pair of neighbours."""
+    """Size classes, the largest size that links into each class from above,
+    and the number of parts for each class with the one above it.
+
+    Classes are one and a half times (or the quotient of linked sizes, if
+    that is more) wide: wider ones need more parts, narrower ones put more
+    sets into two classes; this is near the fewest signatures in all."""
 
     def __init__(self, num: int, den: int, largest: int):
         self.first = [1]  # smallest size of each class
         while self.first[-1] <= largest:
-            self.first.append(self.first[-1] * den // num + 1)
-        self.allowed = []
-        for top in (x - 1 for x in self.first[1:]):
-            self.allowed.append((top + top * den // num) * (den - num) // (den + num))
+            self.first.append(max(self.first[-1] * den // num, self.first[-1] * 3 // 2) + 1)
+        tops = [x - 1 for x in self.first[1:]]
+        self.reach = [top * den // num for top in tops]
+        self.allowed = [(top + reach) * (den - num) // (den + num) for top, reach in zip(tops, self.reach)]
         self.parts = [k + 1 + (0 if k < 3 else 2 + k // 10) for k in self.allowed]
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
@@ -77,6 +83,8 @@ def signatures(offsets: np.ndarray, values: np.ndarray, num: int, den: int) -> l
     for back in (0, 1):  # as a member of its own class and as the larger set of the class below
         cls = own - back
         use = (sizes > 0) & (cls >= 0)
+        if back:
+            use &= sizes <= np.array(classes.reach)[np.maximum(cls, 0)]
         parts = np.where(use, np.array(classes.parts)[np.maximum(cls, 0)], 0)
         allowed = np.where(use, np.array(classes.allowed)[np.maximum(cls, 0)], 0)
         begin = np.concatenate([[0], np.cumsum(parts)]).astype(np.int64)
@@ -90,7 +98,8 @@ def signatures(offsets: np.ndarray, values: np.ndarray, num: int, den: int) -> l
         empty = np.bincount(owner[~filled], minlength=len(sizes))
         agree = parts - allowed
         emit = filled | (empty >= agree)[owner]
-        need = np.where(empty >= agree, agree, agree - empty)
+        # a partner that doesn't emit its empty parts has fewer than ``agree`` of them, so one filled part agrees at least
+        need = np.where(empty >= agree, 1, agree - empty)
         part = np.arange(len(total)) - begin[owner]
         key = mix(total ^ mix(part.astype(np.uint64) + (cls[owner].astype(np.uint64) << np.uint64(32)) + np.uint64(1)))
         out.append((owner[emit], key[emit], need))
@@ -121,8 +130,8 @@ def _sketch(n: int, num: int, den: int) -> Callable:
             for doc, sig, need in signatures(offsets, values, num, den):
                 cols.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(len(offsets))), pa.int32()), pa.array(sig.view(np.int64))))
                 cols.append(pa.array(need, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(offsets), pa.int64()), pa.array(digests, pa.binary()), *cols],
-                                             ["doc_id", "n_shingles", "digest", "own", "own_need", "below", "below_need"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("place"), pa.array(np.diff(offsets), pa.int64()), pa.array(digests, pa.binary()), *cols],
+                                             ["doc_id", "place", "n_shingles", "digest", "own", "own_need", "below", "below_need"])
     return run
 
 
@@ -198,7 +207,7 @@ def occurrence_search(sets: list[np.ndarray], num: int, den: int, side: np.ndarr
 
 def _search(num: int, den: int) -> Callable:
     def run(key: tuple, block: pa.Table) -> pa.Table:
-        ids = block.column("doc_id").to_numpy()
+        ids = block.column("place").to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in block.column("elements").to_pylist()]
         order = np.lexsort((ids, [len(s) for s in sets]))
         ids, sets = ids[order], [sets[k] for k in order]
@@ -225,52 +234,72 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SKETCH = "doc_id long, place long, n_shingles long, digest binary, own array<long>, own_need long, below array<long>, below_need long"
+
+
+def _nodes(different: DataFrame, lists: str, above: int) -> DataFrame:
+    """A set as a member of its own size class, or of the one below."""
+    return different.filter(F.size(lists) > 0).select((F.col("place") * 2 + above).alias("node"), "place", "doc_id", "digest", "n_shingles",
+                                                      F.lit(bool(above)).alias("above"), F.col(f"{lists}_need").alias("need"))
+
+
+def _blocks(different: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, block): the sets that share a signature, chained.
+
+    A signature's count is a group-by joined back (never a window), so a
+    signature that many different sets share is split over tasks like any
+    skewed join key."""
+    signed = different.select((F.col("place") * 2).alias("node"), F.explode("own").alias("s")).unionByName(
+        different.select((F.col("place") * 2 + 1).alias("node"), F.explode("below").alias("s")))
+    for _ in range(PRUNE_ROUNDS):  # a set that shares too few signatures with all others together has no partner
+        often = signed.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("s")
+        shared = _kept(signed.join(often, "s", "left_semi"), "shared")
+        enough = shared.groupBy("node").agg(F.count(F.lit(1)).alias("n")).join(nodes.select("node", "need"), "node").filter("n >= need").select("node")
+        signed = _kept(shared.join(enough, "node", "left_semi"), "signed")
+    least = signed.groupBy("s").agg(F.min("node").alias("least"))
+    edges = signed.join(least, "s").filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    return _kept(connected_components(edges).select("node", F.col("component").alias("block")), "blocks")
+
+
 def components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text",
                task_tokens: int = TASK_TOKENS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest
     doc_id reachable by links) and n_links (linked different sets)."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = _kept(rows.mapInArrow(_sketch(n, num, den), "doc_id long, n_shingles long, digest binary, own array<long>, own_need long, below array<long>, below_need long"), "sketch")
-    # chain the sets that share a signature to the smallest node among them; a set is one node
-    # per pair of size classes (a node is a hash: two that meet by chance only share a block)
+    numbered = rows.withColumn("place", F.monotonically_increasing_id())
+    sketch = _kept(numbered.mapInArrow(_sketch(n, num, den), SKETCH), "sketch")
+    # equal sets are one from here on: the copies of a text neither sign nor meet again
     known = sketch.filter("doc_id is not null and n_shingles > 0")
-    nodes = [known.select("doc_id", "digest", "n_shingles", F.lit(above).alias("above"), F.xxhash64("doc_id", F.lit(above)).alias("node"),
-                          F.col(lists).alias("signatures"), F.col(f"{lists}_need").alias("need"))
-             for above, lists in ((False, "own"), (True, "below"))]
-    nodes = nodes[0].unionByName(nodes[1])
-    signed = nodes.select("node", F.explode("signatures").alias("s"))
-    same = Window.partitionBy("s")
-    shared = _kept(signed.withColumn("n", F.count(F.lit(1)).over(same)).filter("n > 1").select("node", "s"), "shared")
-    for _ in range(PRUNE_ROUNDS):  # a set that shares too few signatures with all others together has no partner
-        enough = shared.groupBy("node").agg(F.count(F.lit(1)).alias("n")).join(nodes.groupBy("node").agg(F.min("need").alias("need")), "node").filter("n >= need")
-        left = shared.join(enough.select("node"), "node").withColumn("n", F.count(F.lit(1)).over(same))
-        shared = _kept(left.filter("n > 1").select("node", "s"), "shared")
-    chained = shared.withColumn("least", F.min("node").over(same)).filter("node <> least")
-    blocks = _kept(connected_components(chained, "node", "least").select("node", F.col("component").alias("block")), "blocks")
-    # one member for each different set of a block
-    members = _kept(nodes.drop("signatures", "need").join(blocks, "node").drop("node"), "members")
-    classes = _kept(members.groupBy("block", "digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
-                                                           F.min("above").alias("above")), "classes")
+    first = known.groupBy("digest").agg(F.min(F.struct("doc_id", "place")).alias("least"))
+    different = _kept(known.join(first.select(F.col("least.place").alias("place")), "place", "left_semi"), "different")
+    nodes = _kept(_nodes(different, "own", 0).unionByName(_nodes(different, "below", 1)), "nodes")
+    classes = nodes.join(_blocks(different, nodes), "node").groupBy("block", "place").agg(
+        F.first("doc_id").alias("doc_id"), F.first("digest").alias("digest"), F.first("n_shingles").alias("n_shingles"), F.min("above").alias("above"))
+    classes = _kept(classes, "classes")
     sizes = classes.groupBy("block").agg(F.sum("n_shingles").alias("tokens"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     dealt = classes.join(sizes.select("block", F.ceil(F.col("tokens") / task_tokens).alias("parts")), "block")
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("doc_id", "digest"), "parts"))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("place"), "parts"))
     sets = rows.join(dealt.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_sets(n), "doc_id long, digest binary, elements binary")
     # a block in parts: each pair of parts meets once, a part with itself too
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda p: F.struct(F.least("part", p).alias("x"), F.greatest("part", p).alias("y")))
     tasks = dealt.join(sets.dropDuplicates(["doc_id", "digest"]), ["doc_id", "digest"]).select(
-        "block", "doc_id", "elements", "above", "part", F.explode(pairs).alias("p"))
-    tasks = tasks.select("block", "p.x", "p.y", "doc_id", "elements", "above", "part")
+        "block", "place", "elements", "above", "part", F.explode(pairs).alias("p"))
+    tasks = tasks.select("block", "p.x", "p.y", "place", "elements", "above", "part")
     found = _kept(tasks.groupBy("block", "x", "y").applyInArrow(_search(num, den), "a long, b long, n_links long"), "links")
-    # which class each document's sets belong to; an id with several sets joins their classes
-    of_class = members.select("doc_id", "block", "digest").distinct().join(
-        classes.select("block", "digest", F.col("doc_id").alias("class")), ["block", "digest"]).select("doc_id", "class", "digest").distinct()
-    several = of_class.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
-    same = of_class.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("class").alias("b"))
-    joined = _kept(connected_components(found.select("a", "b").unionByName(same)), "joined")
-    counts = classes.select("digest", F.col("doc_id").alias("a")).distinct().join(found.groupBy("a").agg(F.sum("n_links").alias("n_links")), "a").select("digest", "n_links")
-    named = of_class.join(joined, of_class["class"] == joined["node"], "left").join(counts, "digest", "left")
-    per_doc = named.groupBy("doc_id").agg(F.min(F.coalesce("component", "class")).alias("component"), F.sum("n_links").alias("n_links"))
+    # an id with several texts joins the sets of all
+    named = known.select("doc_id", "digest").distinct().join(first.select("digest", F.col("least.place").alias("place")), "digest")
+    several = named.groupBy("doc_id").agg(F.min("place").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    same = named.join(several, "doc_id").select("a", F.col("place").alias("b"))
+    joined = connected_components(found.select("a", "b").unionByName(same))
+    counts = found.groupBy("a").agg(F.sum("n_links").alias("n_links"))
+    of_set = (first.select("digest", "least.doc_id", "least.place").join(joined, F.col("place") == F.col("node"), "left")
+              .join(counts, F.col("place") == F.col("a"), "left")
+              .select("digest", "doc_id", F.coalesce("component", "place").alias("component"), "n_links"))
+    of_set = _kept(of_set, "of-set")
+    name = of_set.groupBy("component").agg(F.min("doc_id").alias("name"))
+    named = known.select("doc_id", "digest").distinct().join(of_set.drop("doc_id").join(name, "component"), "digest")
+    per_doc = named.groupBy("doc_id").agg(F.min("name").alias("component"), F.sum("n_links").alias("n_links"))
     out = sketch.select("doc_id", "n_shingles").join(per_doc, "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
                       F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"))

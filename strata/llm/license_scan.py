@@ -105,6 +105,7 @@ VARIANTS = (("gnu", "lesser affero"), ("cc", "sa nc nd"), ("creative", "shareali
 # Common words of prose (some by chance words of another language), then less common ones: anchors only where a template needs them.
 COMMON = ("a all an and any are as at be by can do for from has if in into is it its mit nd no not of on or out so such than that the this to was will with you your".split(),
           "0 1 2 3 4 above copy free form list may must one other permitted person provided right rights sell source state terms under use used version without work".split())
+SALTS = 16
 THRESHOLD = 0.75
 LICENSE_NAMES = r"(?i)^(un)?(licen[cs]e|copying|copyright|notice)([.\-_].*)?$"
 NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -209,8 +210,10 @@ def running_parts(texts: DataFrame, templates: Sequence[tuple[str, str]], rows:
             .filter((F.size("words") > F.col("n")) & F.arrays_overlap("words", "anchors")))
     spots = F.filter(F.transform("words", lambda w, i: F.when(F.array_contains("anchors", w), i)), lambda i: i.isNotNull())
     begins = F.array_distinct(F.flatten(F.transform(spots, lambda i: F.sequence(F.greatest(i - F.col("n") + 1, F.lit(0)), F.least(i, F.size("words") - F.col("n"))))))
-    windows = (each.select("row", "words", "n", "vectors", F.explode(begins).alias("begin"))
-               .select("row", (-1 - F.col("begin").cast("long") * 100_003 - F.col("n")).alias("segment"), F.expr("slice(words, begin + 1, n)").alias("words"), "vectors")
+    # cut before the explode: a window's row then carries its own words, not the whole text's
+    cut = F.transform(begins, lambda i: F.struct(i.alias("begin"), F.slice(F.col("words"), i + 1, F.col("n")).alias("words")))
+    windows = (each.select("row", "n", "vectors", F.explode(cut).alias("w"))
+               .select("row", (-1 - F.col("w.begin").cast("long") * 100_003 - F.col("n")).alias("segment"), F.col("w.words").alias("words"), "vectors")
                .filter(can_reach(F.col("words"), F.col("vectors"), known, threshold)).drop("vectors"))
     return sentences.unionByName(windows)
 
@@ -248,7 +251,7 @@ def license_statements(files: DataFrame, templates: Sequence[tuple[str, str]] =
     telling = telling_words([*templates, *notices])
     anchors = constant(anchor_words(rows, threshold), "array<string>")
     path = scratch_path(spark, "speaking")
-    files.select("row", "text").filter(F.arrays_overlap(words_of(F.col("text")), anchors)).write.parquet(path)
+    files.select("row", "text").filter(F.arrays_overlap(words_of(F.col("text")), anchors)).dropDuplicates(["row"]).write.parquet(path)
     speaking = spark.read.schema("row long, text string").parquet(path)
     lines = F.split("text", r"\r?\n|\r")
     paragraphs = F.split("text", r"\n\s*\n")
@@ -283,8 +286,10 @@ def scan_licenses(files: DataFrame, path_col: str = "path", text_col: str = "tex
     """One row per file: path, license (or null), score, origin (``own``,
     ``inherited`` or ``none``) and license_dir (the directory inherited from), and the columns named in ``keep``."""
     spark = files.sparkSession
-    rows = files.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(path_col), F.lit("")).alias("path"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.struct(F.lit(0).alias("_"), *[F.col(c) for c in keep]).alias("kept"))
+    rows = files.select(F.coalesce(F.col(path_col), F.lit("")).alias("path"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                        F.struct(F.lit(0).alias("_"), *[F.col(c) for c in keep]).alias("kept"))
+    # a number by content: the same in every plan and retry, whatever shuffle feeds it; equal files share their licence
+    rows = rows.withColumn("row", F.xxhash64("path", "text"))
     names = rows.select("row", "path", "kept")
     path = scratch_path(spark, "statements")
     license_statements(rows, templates, threshold).write.parquet(path)
@@ -303,7 +308,9 @@ def scan_licenses(files: DataFrame, path_col: str = "path", text_col: str = "tex
     ancestors = dirs.select("dir", F.explode(F.when(F.col("dir") == "", F.array(F.struct(F.lit(0).alias("depth"), F.lit("").alias("above")))).otherwise(chain)).alias("a")).select("dir", "a.*")
     nearest = (ancestors.join(licensed, "above").groupBy("dir")
                .agg(F.max_by(F.struct("dir_license", "dir_score", "above"), "depth").alias("found")).select("dir", "found.*"))
-    out = files_own.join(nearest, "dir", "left")
+    # a directory may hold a third of all files: its one row of ``nearest`` is copied for each salt
+    salted = nearest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
+    out = files_own.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS).cast("long"))).join(salted, ["dir", "salt"], "left")
     return out.select(
         "kept", "path", F.coalesce("license", "dir_license").alias("license"), F.when(F.col("license").isNotNull(), F.col("score")).otherwise(F.col("dir_score")).alias("score"),
         F.when(F.col("license").isNotNull(), "own").when(F.col("dir_license").isNotNull(), "inherited").otherwise("none").alias("origin"),

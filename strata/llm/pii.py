@@ -30,7 +30,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.ship import ship_package
@@ -40,7 +40,7 @@ from strata.session import scratch_path
 # The base patterns, in the order of the result.
 KINDS = ("email", "ip", "card", "phone")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")  # a match begins where its digits do: long runs are read once
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -58,12 +58,22 @@ GROUPS = re.compile(r"[0-9][0-9().+/-]*")
 BETWEEN = (" ", ") ", " (", ") (")
 LONGEST_RUN = 19
 SPELLED = re.compile(r"\x20(?:at|\(at\)|\[at\])\x20[a-z0-9-]+(?:\x20(?:dot|\(dot\)|\[dot\])\x20[a-z0-9-]+)+", re.I | re.A)
-# What an unseen identifier of each kind may look like (lower-cased); dates are none.
-FORMS = (r"@|\x20[(\[]?at[)\]]?\x20", r"^(?=.*[0-9])[0-9a-f]*([.:][0-9a-f]*){2,}$", r"^([0-9][\x20-]?){12,19}$", r"^\+?\(?([0-9][\x20()./-]{0,2}){5,15}$")
 DATE = r"^([0-9]{4}[./-][0-9]{1,2}[./-][0-9]{1,2}|[0-9]{1,2}[./-][0-9]{1,2}[./-]([0-9]{2}|[0-9]{4}))$"
 EDGES = "\"'()[]{}<>,;:!?.|"
 
 
+def forms(value: Column) -> list[Column]:
+    """Whether an unseen (lower-cased) identifier may be of each kind; dates are of none.
+
+    Signs are tested by character classes and bounded counts only, so that a
+    word of any length is read in one pass without recursion."""
+    address = value.rlike(r"@|\x20[(\[]?at[)\]]?\x20")
+    parts = value.rlike(r"^[0-9a-f.:]++$") & value.rlike("[0-9]") & value.rlike(r"[.:][0-9a-f]*+[.:]")
+    card = value.rlike(r"^([0-9][\x20-]?){12,19}$")
+    phone = value.rlike(r"^\+?\(?([0-9][\x20()./-]{0,2}){5,15}$")
+    return [form & ~value.rlike(DATE) for form in (address, parts, card, phone)]
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -215,7 +225,7 @@ def score_graph(seen: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_SU
     confident patterns and accepted candidate instances."""
     total = seen.groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
     seeds = _kept(seen.filter("kind >= 0").groupBy("pattern", "kind").agg(F.count(F.lit(1)).cast("double").alias("weight"), F.count(F.lit(1)).alias("support")), "seeds")
-    fits = [F.col("value").rlike(form) & ~F.col("value").rlike(DATE) for form in FORMS]
+    fits = forms(F.col("value"))
     open_ = seen.filter("kind < 0").join(seeds.select("pattern").distinct(), "pattern", "left_semi").select("value", "pattern", *[f.alias(f"fits_{k}") for k, f in enumerate(fits)])
     open_ = _kept(open_, "open")
     accepted = patterns = None
@@ -226,7 +236,7 @@ def score_graph(seen: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_SU
                 F.sum("confidence").alias("weight"), F.count(F.lit(1)).alias("support"))
             known = known.unionByName(more).groupBy("pattern", "kind").agg(F.sum("weight").alias("weight"), F.sum("support").alias("support"))
         unknown = open_ if accepted is None else open_.join(accepted, "value", "left_anti")
-        unknown = unknown.groupBy("pattern").agg(F.array(*[F.sum(F.col(f"fits_{k}").cast("long")) for k in range(len(FORMS))]).alias("unknown"))
+        unknown = unknown.groupBy("pattern").agg(F.array(*[F.sum(F.col(f"fits_{k}").cast("long")) for k in range(len(KINDS))]).alias("unknown"))
         counted = F.col("total") - F.coalesce(F.get("unknown", F.col("kind")), F.lit(0))
         patterns = _kept(known.filter(F.col("support") >= min_support).join(total, "pattern").join(unknown, "pattern", "left").select(
             "pattern", "kind", (F.col("weight") / counted).alias("confidence")).filter(F.col("confidence") >= accept), "patterns")

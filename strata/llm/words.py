@@ -7,6 +7,7 @@ text (one longer text forms a batch of its own; texts are never cut)."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-MAX_BYTES = 8 << 20
+MAX_BYTES = 3 << 20
 
 
 def texts_of(column: pa.Array) -> pa.Array:
@@ -24,9 +25,20 @@ def texts_of(column: pa.Array) -> pa.Array:
     return pc.fill_null(column, "")
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are used again by
+    later stages, and would otherwise keep the most that any task needed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # no glibc
+        pass
+
+
 def bounded(batches: Iterable[pa.RecordBatch], text: str = "text", max_bytes: int = MAX_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut at row boundaries so that each holds at most
-    ``max_bytes`` of text, or one row."""
+    ``max_bytes`` of text, or one row.  After each of Spark's batches, what
+    the work on it held is given back."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -38,6 +50,8 @@ def bounded(batches: Iterable[pa.RecordBatch], text: str = "text", max_bytes: in
             last = max(first + 1, int(np.searchsorted(ends, before + max_bytes, "right")))
             yield batch.slice(first, last - first)
             first = last
+        del batch
+        give_back()
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:

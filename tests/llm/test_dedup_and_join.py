@@ -1,9 +1,11 @@
 """Exact and near duplicates against brute force."""
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from llm_cases import nasty_texts
 
@@ -65,6 +67,41 @@ def test_near_copies_in_a_large_group(spark):
     assert {v[1] for v in want.values()} == {0}
 
 
+def test_no_link_is_lost_between_small_sets(spark):
+    """Pairs just over 0.8, of every size from 10 to 40, each pair alone in its words; a set meets its pair only."""
+    rng, rows = random.Random(5), []
+    for size in range(10, 41):
+        for k in range(25):
+            more = rng.randint(0, size // 9)
+            drop = (size + more) * 20 // 180 - more  # as many as the bar allows
+            words = [f"{size}.{k}.{i}" for i in range(size)]
+            other = words[: size - max(drop, 0)] + [f"{size}.{k}.x{i}" for i in range(more + max(drop, 0))]
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.components(docs, 1, 80, 100).collect()}
+    sets = {d: set(t.split()) for d, t in rows}
+    linked = [d for d in range(0, len(rows), 2) if 100 * len(sets[d] & sets[d + 1]) >= 80 * len(sets[d] | sets[d + 1])]
+    assert len(linked) > 500
+    assert got == {d: d - 1 if d % 2 and d - 1 in set(linked) else d for d in sets}
+
+
+def test_signatures_of_linked_sets_reach_the_bound():
+    """Every linked pair shares as many signatures as the smaller need of both."""
+    rng = np.random.default_rng(11)
+    for size in range(1, 60):
+        for _ in range(40):
+            k = int(rng.integers(0, size * 20 // 100 + 1))
+            a = rng.integers(0, 1 << 63, size, np.uint64)
+            b = np.concatenate([a[: size - k], rng.integers(0, 1 << 63, int(rng.integers(0, size * 20 // 100 + 1)), np.uint64)])
+            x, y = np.unique(a), np.unique(b)
+            if 100 * len(np.intersect1d(x, y)) < 80 * len(np.union1d(x, y)):
+                continue
+            (ox, nx), (oy, ny) = (([set(s[d == 0].tolist()) for d, s, _ in sig], [int(n[0]) for _, _, n in sig])
+                                  for sig in (jaccard_join.signatures(np.array([0, len(v)]), v, 80, 100) for v in (x, y)))
+            pairs = [(len(ox[i] & oy[j]), nx[i], ny[j]) for i in (0, 1) for j in (0, 1) if ox[i] & oy[j]]
+            assert any(n >= p and n >= q for n, p, q in pairs), (size, k)
+
+
 def test_join_on_nasty_documents(nasty, empty):
     got = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["n_shingles"], r["component_id"]) for r in jaccard_join.components(nasty).collect()), key=str)
     group = {1: 1, 7: 1, 8: 1, 10: 5}

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -160,6 +161,26 @@ def test_spans_cover_whole_identifiers(spark):
     assert [t[a:b] for t in ("a 4111 1111 1111 1112 b", "x1 22 33") for _, a, b in pii.candidates(t, [])] == ["4111 1111 1111 1112", "x1", "22 33"]
 
 
+def test_very_long_words_and_digit_runs(spark):
+    """Words of any length behind a confident context neither end the JVM nor take quadratic time."""
+    seeds = [f"from node 10.0.{i}.7 today" for i in range(30)]
+    dump = ":".join(f"{i % 256:02x}" for i in range(7000))
+    cases = [f"from node {dump} today", "from node " + ".".join(["1"] * 30_000) + "x today", "7" * 1_000_000, "1." + "2" * 400_000 + "." + "3" * 400_000 + ".x"]
+    start = time.time()
+    assert pii.base_spans(cases[2]) == [] and pii.base_spans(cases[3]) == []
+    assert time.time() - start < 5
+    got = added_of(spark, seeds + cases)
+    assert got[30] == [("ip", dump)] and got[32:] == [[], []]
+
+
+def test_forms_of_unseen_identifiers(spark):
+    values = ["a@b", "joe at host", "1.2.3", "1.2", "..", "fe80::1", "12:ab:ff", "4111 1111 1111 1112", "555-7788", "2024-01-10", "10.1.2024", "x1.2.3"]
+    rows = spark.createDataFrame([(v,) for v in values], "v string").select(F.array(*pii.forms(F.col("v"))).alias("f")).collect()
+    got = {v: "".join(k[0] for k, x in zip(pii.KINDS, r["f"]) if x) for v, r in zip(values, rows)}
+    assert got == {"a@b": "e", "joe at host": "e", "1.2.3": "i", "1.2": "", "..": "", "fe80::1": "i", "12:ab:ff": "i", "4111 1111 1111 1112": "c",
+                   "555-7788": "p", "2024-01-10": "", "10.1.2024": "", "x1.2.3": ""}
+
+
 # --- toxicity --------------------------------------------------------------------------------------
 
 
@@ -248,6 +269,13 @@ def test_license_anchors_lose_nothing(spark, sf):
             assert own["license"] == best[1] and own["score"] == pytest.approx(-best[0], abs=2e-6)
 
 
+def test_licenses_stay_with_their_files_after_a_shuffle(spark):
+    files = [(f"d{i}/f.py", "Licensed under the Apache License, Version 2.0." if i % 3 == 0 else f"print({i}) " * (i % 50)) for i in range(900)]
+    rows = spark.createDataFrame(files, "path string, text string").repartition(40).dropDuplicates(["path"])
+    got = {r["path"]: r["license"] for r in license_scan.scan_licenses(rows).collect()}
+    assert got == {p: "Apache-2.0" if t.startswith("Licensed") else None for p, t in files}
+
+
 def licenses_of(spark, texts):
     files = spark.createDataFrame([(f"d{i}/f.py", t) for i, t in enumerate(texts)], "path string, text string")
     got = {r["path"]: r for r in license_scan.scan_licenses(files).collect()}
