@@ -125,10 +125,56 @@ SELECT said.conv_id, n_turns, turns_sha256, length(taught) AS loss_chars, sha256
 FROM said JOIN sizes ON said.conv_id IS NOT DISTINCT FROM sizes.conv_id JOIN heads ON said.conv_id IS NOT DISTINCT FROM heads.conv_id"""
 
 
+def repair_sql() -> str:
+    """Damage, faults and the cheapest repair: a plain table of (cost, audit) per state, row by row."""
+    crc = "SELECT range AS i, range AS c0 FROM range(256)"
+    for k in range(8):
+        crc = f"SELECT i, CASE WHEN c{k} & 1 = 1 THEN xor(c{k} >> 1, 3988292384) ELSE c{k} >> 1 END AS c{k + 1} FROM ({crc})"
+    return rf"""
+WITH RECURSIVE tab AS (SELECT list(c8 ORDER BY i) AS t FROM ({crc})),
+base AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)::BIGINT),
+                                lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS d FROM conversations, tab),
+damaged AS (SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+                   CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE d WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM base),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+faults AS (SELECT *, NOT regexp_matches(text, '[^ 	-
+]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+                  NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS cut, role[1] AS x, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS y FROM numbered),
+kinds AS (SELECT *, CASE WHEN blank OR again THEN 2 WHEN cut THEN 1 ELSE 0 END AS status, CASE x WHEN 's' THEN 1 WHEN 'u' THEN 2 WHEN 'a' THEN 3 ELSE 0 END AS initial FROM faults),
+put(s, p) AS (VALUES (0, 2), (1, 2), (2, 3), (3, 2)),
+led AS (SELECT s AS state, '' AS w, 0 AS cost, s AS here FROM put UNION ALL SELECT s, 'I', 5, p FROM put UNION ALL SELECT f.s, 'II', 10, g.p FROM put f JOIN put g ON g.s = f.p),
+each AS (SELECT led.*, p, status, initial FROM led JOIN put ON put.s = led.here CROSS JOIN range(3) a(status) CROSS JOIN range(4) b(initial)),
+moves AS (SELECT state, status, initial, w || 'D' AS word, cost + 2 AS cost, here AS target FROM each
+          UNION ALL SELECT state, status, initial, w || 'R', cost + 1 + 5 * status, p FROM each WHERE status < 2
+          UNION ALL SELECT state, status, initial, w || 'K', cost + 5 * status, initial FROM each WHERE status < 2 AND (initial = p OR (initial = 1 AND here = 0))),
+dp AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, {{'c': 0, 'a': ''}} AS best FROM kinds
+       UNION ALL SELECT d.conv_id, d.i + 1, target::INTEGER, min({{'c': (d.best.c + m.cost)::INTEGER, 'a': d.best.a || m.word}})
+       FROM dp d JOIN kinds k ON k.conv_id IS NOT DISTINCT FROM d.conv_id AND k.i = d.i + 1 JOIN moves m ON m.state = d.state AND m.status = k.status AND m.initial = k.initial
+       GROUP BY d.conv_id, d.i + 1, target),
+ends AS (SELECT conv_id, min({{'c': best.c + CASE state WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 0 END, 'a': best.a || CASE state WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END}}) AS best
+         FROM dp JOIN (SELECT conv_id AS c, max(i) AS n FROM kinds GROUP BY conv_id) ON c IS NOT DISTINCT FROM conv_id AND i = n GROUP BY conv_id),
+edits AS (SELECT conv_id, unnest(string_split(best.a, '')) AS e, unnest(range(length(best.a))) AS pos FROM ends),
+places AS (SELECT *, count_if(e <> 'I') OVER w AS i, count_if(e <> 'D') OVER w AS j FROM edits WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+outs AS (SELECT p.conv_id, p.pos, e, j, CASE WHEN e = 'I' THEN '' ELSE text END AS text, role, x = 's' AND e = 'K' AS opens FROM places p
+         JOIN kinds k ON k.conv_id IS NOT DISTINCT FROM p.conv_id AND k.i = greatest(p.i, 1) WHERE e <> 'D'),
+roles AS (SELECT *, j - coalesce(max(opens::INT) OVER (PARTITION BY conv_id), 0) AS nth FROM outs),
+texts AS (SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN nth % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY pos) AS body FROM roles GROUP BY conv_id),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank, count_if(again AND NOT blank) AS duplicate,
+                  count_if(status = 1) AS truncated, count_if(i > 1 AND y || x NOT IN ('su', 'ua', 'au')) AS illegal FROM kinds GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
 ORACLE: dict[str, str] = {
     "op1_license_scan": license_sql(),
     "op4_url_filter": url_sql(),
     "op5_jaccard_join": JACCARD_SQL,
     "op6_exact_dedup": DEDUP_SQL,
     "op9_chat_format": chat_sql(),
+    "op12_conversation_repair": repair_sql(),
 }

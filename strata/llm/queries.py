@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, pii, token_files, toxicity, url_filter
+from strata.llm import bpe, chat_format, conversation_repair, decontaminate, exact_dedup, jaccard_join, license_scan, pii, token_files, toxicity, url_filter
 from strata.llm.oracles import ORACLE as ORACLE
 from strata.session import scratch_path
 
@@ -97,6 +97,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(docs, model)
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversation rows with faults put in by a checksum of conversation and turn; nulls are one space."""
+    known = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat(known[0], F.lit(":"), known[1])) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), kind.alias("kind")).filter("kind <> 0")
+    rows = rows.withColumns({"role": F.when(F.col("kind") == 4, F.lit("user")).otherwise(F.col("role")),
+                             "text": F.when(F.col("kind") == 1, F.lit("")).when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))})
+    return rows.withColumn("copy", F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("kind", "copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return conversation_repair.conversation_report(damaged(turns), turns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_token_files": op2_token_files,
@@ -108,4 +124,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_chat_format": op9_chat_format,
     "op10_toxicity": op10_toxicity,
+    "op12_conversation_repair": op12_conversation_repair,
 }
