@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat_format, conversation_repair, decontaminate, exact_dedup, jaccard_join, license_scan, pii, token_files, toxicity, url_filter
+from strata.llm import best_fit_packing, bpe, chat_format, conversation_repair, decontaminate, exact_dedup, jaccard_join, license_scan, pii, token_files, toxicity, url_filter
 from strata.llm.oracles import ORACLE as ORACLE
 from strata.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
+BYTE_TOKENIZER, BYTE_END_ID = "byte_bpe_50k.json", 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,6 +98,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(docs, model)
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack(table(spark, sf_dir, "documents"), str(public_tokenizers.path(BYTE_TOKENIZER)), BYTE_END_ID)
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """Conversation rows with faults put in by a checksum of conversation and turn; nulls are one space."""
     known = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
@@ -124,5 +129,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_chat_format": op9_chat_format,
     "op10_toxicity": op10_toxicity,
+    "op11_best_fit_packing": op11_best_fit_packing,
     "op12_conversation_repair": op12_conversation_repair,
 }
