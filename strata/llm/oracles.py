@@ -170,6 +170,24 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts n ON n.conv
 LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM c.conv_id"""
 
 
+PHRASE_SQL = r"""
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM texts),
+words AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM words, range(1, 4) r(k)),
+f AS (SELECT lang, k, phrase, count(*) AS n FROM grams GROUP BY ALL),
+candidates AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND n >= 10),
+cuts AS (SELECT c.lang, c.k, c.phrase, a, cut, l.n AS l, r.n AS r, ((1000000::HUGEINT * a * a) // (l.n::HUGEINT * r.n))::BIGINT AS score
+         FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+         JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:cut], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (SELECT lang, phrase, max(a) AS most FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM candidates WHERE k = 3) GROUP BY lang, phrase),
+kept AS (SELECT s.* FROM scored s LEFT JOIN longer o ON s.k = 2 AND o.lang = s.lang AND o.phrase = s.phrase WHERE most IS NULL OR 100 * most < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
 ORACLE: dict[str, str] = {
     "op1_license_scan": license_sql(),
     "op4_url_filter": url_sql(),
@@ -177,4 +195,5 @@ ORACLE: dict[str, str] = {
     "op6_exact_dedup": DEDUP_SQL,
     "op9_chat_format": chat_sql(),
     "op12_conversation_repair": repair_sql(),
+    "op13_phrase_mining": PHRASE_SQL,
 }

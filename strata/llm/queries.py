@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import best_fit_packing, bpe, chat_format, conversation_repair, decontaminate, exact_dedup, jaccard_join, license_scan, pii, token_files, toxicity, url_filter
+from strata.llm import best_fit_packing, bpe, chat_format, conversation_repair, decontaminate, exact_dedup, jaccard_join, license_scan, phrase_mining, pii, token_files, toxicity, url_filter
 from strata.llm.oracles import ORACLE as ORACLE
 from strata.session import scratch_path
 
@@ -118,6 +118,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.conversation_report(damaged(turns), turns)
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_token_files": op2_token_files,
@@ -131,4 +135,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_best_fit_packing": op11_best_fit_packing,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_phrase_mining": op13_phrase_mining,
 }
