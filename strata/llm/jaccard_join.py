@@ -43,11 +43,10 @@ from pyspark.sql import functions as F
 from strata.llm.bpe import binary_rows
 from strata.llm.components import connected_components
 from strata.llm.ship import ship_package
-from strata.llm.words import bounded, hash_words, mix, shingles, split_words, texts_of
+from strata.llm.words import bounded, give_back, hash_words, mix, shingles, split_words, texts_of
 from strata.session import scratch_path
 
 TASK_TOKENS = 2_000_000
-PRUNE_ROUNDS = 1
 
 
 class SizeClasses:
@@ -135,6 +134,24 @@ def _sketch(n: int, num: int, den: int) -> Callable:
     return run
 
 
+def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, signature) rows; of the nodes with one signature in a batch, the first is ``sent``, and all are ``shared`` if there are several."""
+    for batch in batches:
+        place, nodes, keys = batch.column("place").to_numpy(), [], []
+        for above, name in enumerate(("own", "below")):
+            lists = batch.column(name)
+            keys.append(lists.flatten().to_numpy(zero_copy_only=False))
+            nodes.append(np.repeat(place * 2 + above, lists.value_lengths().to_numpy(zero_copy_only=False)))
+        node, key = np.concatenate(nodes), np.concatenate(keys)
+        order = np.argsort(key, kind="stable")
+        node, key = node[order], key[order]
+        first = np.append(True, key[1:] != key[:-1])[: len(key)]
+        group = np.cumsum(first) - 1
+        shared = (np.bincount(group) > 1)[group] if len(key) else first
+        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(key, pa.int64()), pa.array(first), pa.array(shared)], ["node", "s", "sent", "shared"])
+    give_back()
+
+
 def _sets(n: int) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches):
@@ -246,18 +263,17 @@ def _nodes(different: DataFrame, lists: str, above: int) -> DataFrame:
 def _blocks(different: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, block): the sets that share a signature, chained.
 
-    A signature's count is a group-by joined back (never a window), so a
-    signature that many different sets share is split over tasks like any
-    skewed join key."""
-    signed = different.select((F.col("place") * 2).alias("node"), F.explode("own").alias("s")).unionByName(
-        different.select((F.col("place") * 2 + 1).alias("node"), F.explode("below").alias("s")))
-    for _ in range(PRUNE_ROUNDS):  # a set that shares too few signatures with all others together has no partner
-        often = signed.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("s")
-        shared = _kept(signed.join(often, "s", "left_semi"), "shared")
-        enough = shared.groupBy("node").agg(F.count(F.lit(1)).alias("n")).join(nodes.select("node", "need"), "node").filter("n >= need").select("node")
-        signed = _kept(shared.join(enough, "node", "left_semi"), "signed")
-    least = signed.groupBy("s").agg(F.min("node").alias("least"))
-    edges = signed.join(least, "s").filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    A signature that occurs again in its batch is known to be shared there: one of its nodes
+    goes on to be counted with the other batches', the others stay.  So a signature that a third
+    of all sets share is one row per batch in the only exchange of all signatures."""
+    signed = different.mapInArrow(_sign, "node long, s long, sent boolean, shared boolean")
+    counted = signed.filter("sent").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("s"))).filter("shared or n > 1")
+    shared = _kept(counted.select("node", "s").unionByName(signed.filter("not sent").select("node", "s")), "shared")
+    # a set that shares too few signatures with all others together has no partner
+    enough = shared.groupBy("node").agg(F.count(F.lit(1)).alias("n")).join(nodes.select("node", "need"), "node").filter("n >= need").select("node")
+    shared = _kept(shared.join(enough, "node", "left_semi"), "signed")
+    least = shared.groupBy("s").agg(F.min("node").alias("least"))
+    edges = shared.join(least, "s").filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     return _kept(connected_components(edges).select("node", F.col("component").alias("block")), "blocks")
 
 
