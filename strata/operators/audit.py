@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # --- fixed values: quality flags of the silver tables -----------------------------------
@@ -50,6 +50,13 @@ def quality_summary(tables: dict[str, DataFrame], flags: dict[str, Sequence[str]
     return out
 
 
+def written_summary(spark: SparkSession, counts: dict[str, dict[str, int]]) -> DataFrame:
+    """``quality_summary`` from counts taken while the tables were written
+    (``writers.write_observed``): one row per table and measure, nothing is scanned."""
+    rows = [(table, measure, n) for table, seen in counts.items() for measure, n in seen.items()]
+    return spark.createDataFrame(rows, "table_name string, measure string, value long")
+
+
 def flag_profile(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     """Rows per combination of flag values (three-valued flags keep their nulls)."""
     return df.groupBy(*flags).agg(F.count(F.lit(1)).alias("rows"))

@@ -58,3 +58,18 @@ def latest_by(
     ordering = [_sort_key(c) for c in list(order) + list(tie_break)]
     w = Window.partitionBy(*keys).orderBy(*ordering)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
+
+
+def latest_with_count(df: DataFrame, keys: Sequence[str], newest: Sequence[str], tie_break: Sequence[str], superseded: str) -> DataFrame:
+    """``latest_by`` over the date or timestamp columns ``newest`` (latest first, nulls last)
+    and the columns ``tie_break`` (ascending, nulls first), with the number of other rows of the key.
+
+    Every row counts here, so a window's top-1 before the shuffle can't serve.  The
+    row to keep is the least struct of sort values instead, next to a count: both are
+    partial aggregates, so a hot key still sends one row per map task through the one exchange."""
+    recent = [F.struct(F.col(c).isNull().alias("none"), (-F.unix_micros(F.col(c).cast("timestamp"))).alias("back")) for c in newest]
+    ties = [F.struct(F.col(c).isNotNull().alias("some"), F.col(c).alias("value")) for c in tie_break]
+    rest = [c for c in df.columns if c not in keys]
+    ranked = F.struct(*[r.alias(f"r{i}") for i, r in enumerate(recent + ties)], F.struct(*rest).alias("row"))
+    found = df.groupBy(*keys).agg(F.min(ranked).alias("first"), (F.count(F.lit(1)) - 1).alias(superseded))
+    return found.select(*keys, *[F.col(f"first.row.{c}").alias(c) for c in rest], superseded)

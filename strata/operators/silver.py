@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from strata import fixed as K
 from strata.functions import clean as C
 from strata.functions import flags as Q
-from strata.operators.dedup import latest_by, recency
+from strata.operators.dedup import latest_by, latest_with_count, recency
 
 # Newest load first: the day of the load, then its stamp.
 RECENCY = ("ingest_date", "ingestion_ts")
@@ -44,9 +44,12 @@ SHIPMENT_COLUMNS = ("order_id", "carrier", "shipping_cost", "shipped_ts", "deliv
 # -----------------------------------------------------------------------------
 
 
-def _newest(df: DataFrame, keys: Sequence[str], business: Sequence[str]) -> DataFrame:
+def _newest(df: DataFrame, keys: Sequence[str], business: Sequence[str], superseded: str | None = None) -> DataFrame:
     """Newest load per key; ties inside one load broken on the typed business columns."""
-    return latest_by(df, keys, recency(*RECENCY), tie_break=[c for c in business if c not in keys])
+    ties = [c for c in business if c not in keys]
+    if superseded is not None:
+        return latest_with_count(df, keys, RECENCY, ties, superseded)
+    return latest_by(df, keys, recency(*RECENCY), tie_break=ties)
 
 
 def silver_customers(bronze: DataFrame) -> DataFrame:
@@ -99,14 +102,15 @@ def silver_products(bronze: DataFrame, ts_formats: Sequence[str | None] = (None,
 
 
 def silver_orders(bronze: DataFrame, ts_formats: Sequence[str | None] = (None,), strict: bool = False,
-                  home_currency: str = K.HOME_CURRENCY) -> DataFrame:
+                  home_currency: str = K.HOME_CURRENCY, lineage: bool = False) -> DataFrame:
     """Orders: parsed timestamp (missing -> midnight of the load day), money,
     lower-cased status and upper-cased payment method (missing -> ``UNKNOWN``),
     and quality flags.
 
     By default status, payment method and currency keep their edge blanks
     and case (so ``brl`` counts as foreign); ``strict=True`` trims them and
-    upper-cases the currency.
+    upper-cases the currency.  ``lineage`` adds the file each row came from
+    and the number of rows of its key that it superseded.
     """
     text = (lambda c: F.trim(F.col(c))) if strict else F.col
     df = bronze.filter(F.col("order_id").isNotNull()).select(
@@ -119,9 +123,10 @@ def silver_orders(bronze: DataFrame, ts_formats: Sequence[str | None] = (None,),
         C.parse_decimal("total_amount").alias("total_amount"),
         "ingestion_ts",
         F.col("ingest_date").try_cast("date").alias("ingest_date"),
+        *(["source_file"] if lineage else []),
     )
     df = _newest(df, ["order_id"],
-                 ["customer_id", "status", "payment_method", "currency", "order_ts", "total_amount"])
+                 ["customer_id", "status", "payment_method", "currency", "order_ts", "total_amount"], "superseded" if lineage else None)
     df = df.withColumns({
         "status": C.default_if_null("status", K.ORDER_STATUS_DEFAULT, then=F.lower),
         "payment_method": C.default_if_null("payment_method", K.PAYMENT_DEFAULT, then=F.upper),
@@ -129,7 +134,7 @@ def silver_orders(bronze: DataFrame, ts_formats: Sequence[str | None] = (None,),
     }).withColumn("order_date", F.to_date("order_ts"))
     flags = Q.order_flags(F.col("order_id"), F.col("customer_id"), F.col("order_ts"), F.col("total_amount"),
                           F.col("currency"), home_currency)
-    return df.withColumns(flags).select(*ORDER_COLUMNS)
+    return df.withColumns(flags).select(*ORDER_COLUMNS, *(["source_file", "superseded"] if lineage else []))
 
 
 def silver_order_items(bronze: DataFrame) -> DataFrame:

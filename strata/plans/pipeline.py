@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import gold, silver
-from strata.sinks.writers import export_csv, export_days, write_table
+from strata.operators.audit import SILVER_FLAGS
+from strata.sinks.writers import export_csv, export_days, write_observed, write_table
 from strata.sources.contracts import LINEAGE_COLUMNS, business_columns
 from strata.sources.landing import DEFAULT_PATTERN, ingest_entity
 from strata.sources.tables import read_if_exists, read_table
@@ -123,6 +124,20 @@ def run_silver(spark: SparkSession, lake: Lake, entities: Sequence[str] = ENTITI
     return fan_out({entity: build(entity) for entity in entities}, parallel)
 
 
+def run_silver_observed(spark: SparkSession, lake: Lake, bronze: dict[str, DataFrame], parallel: bool = True, **options) -> dict[str, dict[str, int]]:
+    """Every silver entity written from its bronze frame, and its quality counts (rows, and
+    rows with each flag true), taken by the write itself: {entity: {measure: count}}."""
+    def build(entity: str) -> Callable[[], dict[str, int]]:
+        def task() -> dict[str, int]:
+            path = lake.path("silver", entity)
+            counts = write_observed(SILVER_STAGES[entity](bronze[entity], **options.get(entity, {})), path, SILVER_FLAGS[entity], SILVER_PARTITIONS.get(entity, ()))
+            lake.written[f"silver/{entity}"] = path
+            return counts
+        return task
+
+    return fan_out({entity: build(entity) for entity in bronze}, parallel)
+
+
 def run_gold(spark: SparkSession, lake: Lake, tables: Sequence[str] = GOLD_TABLES,
              parallel: bool = True, **fact_options) -> dict[str, DataFrame]:
     """Dimensions and the item fact from silver (concurrently when

@@ -10,6 +10,7 @@ in the session zone), so the result compares value-for-value with the SQL in
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,15 +21,16 @@ from strata.functions import clean as C
 from strata.operators import audit, gold, silver
 from strata.operators.inspect import preview
 from strata.operators.dedup import latest_by, recency
+from strata.plans import incremental
 from strata.plans import oracle as O
 from strata.plans.feeds import feed, feed_sql
 from strata.plans.feeds import read_table as feed_table
 from strata.session import scratch_path
-from strata.sinks.writers import cluster_by, export_csv, write_table
-from strata.plans.pipeline import Lake, fan_out, run_bronze, run_gold, run_pipeline, run_silver
-from strata.sources.contracts import CONTRACTS, all_text, business_columns, conform
-from strata.sources.landing import ingest_audit, ingest_entity, lineage_audit
-from strata.sources.tables import read_table
+from strata.sinks.writers import cluster_by, export_csv, write_bucketed, write_table
+from strata.plans.pipeline import Lake, fan_out, run_bronze, run_gold, run_pipeline, run_silver, run_silver_observed
+from strata.sources.contracts import CONTRACTS, all_text, business_columns, conform, write_conformed
+from strata.sources.landing import header_drift, ingest_audit, ingest_entity, lineage_audit
+from strata.sources.tables import footer_counts, read_table
 from strata.streaming.incremental import drain, start_incremental_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -667,3 +669,179 @@ def q_silver_orders_bad_load_day(spark, sf):
     k = F.length("order_id") % 3
     day = F.when(k == 0, "nope").when(k == 1, F.lit(None)).otherwise(F.col("ingest_date").cast("date").cast("string"))
     return silver.silver_orders(feed(spark, sf, "orders").withColumn("ingest_date", day))
+
+
+# --- incremental loads -----------------------------------------------------------------------------
+
+def _loads(bronze: DataFrame, n: int) -> list[list[str]]:
+    """The feed's days in ``n`` consecutive loads (days are few beside rows: one entry per day)."""
+    days = sorted(str(r["d"]) for r in bronze.select(F.col("ingest_date").cast("date").alias("d")).distinct().collect())
+    size = -(-len(days) // n)
+    return [days[i:i + size] for i in range(0, len(days), size)]
+
+
+def _bronze(spark, lake: Lake, entity: str, rows: DataFrame) -> None:
+    write_table(rows, lake.path("bronze", entity))
+
+
+@register("silver_orders_incremental", ORACLE["silver_orders"])
+def q_silver_orders_incremental(spark, sf):
+    """Orders arrive in four loads.  The first is then found to be wrong (other rows, other
+    values) and its days are replaced.  After every load only the keys it touched are worked out again."""
+    lake, all_rows = Lake(scratch_path(spark, "silver-incremental")), feed(spark, sf, "orders")
+    first, *rest = _loads(all_rows, 4)
+    wrong = incremental.of_days(all_rows, first).withColumns({"order_id": F.when(F.length("order_id") % 2 == 0, F.concat("order_id", F.lit("x"))).otherwise(F.col("order_id")),
+                                                              "status": F.lit("wrong"), "total_amount": F.lit("1.00")})
+    _bronze(spark, lake, "orders", wrong)
+    incremental.refresh(spark, lake, first, ["orders"])
+    seen: list[str] = []
+    for days in (first, *rest):
+        seen += days
+        _bronze(spark, lake, "orders", incremental.of_days(all_rows, seen))
+        incremental.refresh(spark, lake, days, ["orders"])
+    return read_table(spark, lake.path("silver", "orders"), merge_schema=False)
+
+
+@register("fact_orders_incremental", ORACLE["fact_orders"])
+def q_fact_orders_incremental(spark, sf):
+    """Orders first, with the lines and shipments of the first half of the days; then the late lines and
+    shipments.  Only orders that a late row reaches are joined and summed again."""
+    lake = Lake(scratch_path(spark, "fact-incremental"))
+    feeds = {e: feed(spark, sf, e) for e in ("orders", "order_items", "shipments")}
+    early, late = _loads(feeds["order_items"], 2)
+    orders_days = [d for load in _loads(feeds["orders"], 1) for d in load]
+    for entity, rows in feeds.items():
+        _bronze(spark, lake, entity, rows if entity == "orders" else incremental.of_days(rows, early))
+    incremental.refresh(spark, lake, sorted({*orders_days, *early}), list(feeds))
+    for entity in ("order_items", "shipments"):
+        _bronze(spark, lake, entity, feeds[entity])
+    incremental.refresh(spark, lake, late, ["order_items", "shipments"])
+    return read_table(spark, lake.path("gold", "fact_orders"), merge_schema=False)
+
+
+@register("end_to_end_incremental", O.with_(
+    *O.feeds("customers", "products"), *O.silver_customers_ctes("feed_customers"), *O.dim_customers_ctes("sc"), *O.silver_products_ctes("feed_products"), *O.dim_products_ctes("sp"),
+    final="SELECT 'customer' AS kind, customer_id AS id, state AS first, city AS second, created_ts FROM dc "
+          "UNION ALL SELECT 'product', product_id, category, brand, created_ts FROM dp"))
+def q_end_to_end_incremental(spark, sf):
+    """Both dimensions, day by day: each day is loaded on its own and only its keys move on to silver and gold."""
+    lake = Lake(scratch_path(spark, "dims-incremental"))
+    feeds = {e: feed(spark, sf, e) for e in ("customers", "products")}
+    seen: list[str] = []
+    for (day,) in _loads(feeds["customers"], 1_000_000):
+        seen.append(day)
+        for entity, rows in feeds.items():
+            _bronze(spark, lake, entity, incremental.of_days(rows, seen))
+        incremental.refresh(spark, lake, [day], list(feeds))
+    customers, products = (read_table(spark, lake.path("gold", t), merge_schema=False) for t in ("dim_customers", "dim_products"))
+    return customers.select(F.lit("customer").alias("kind"), F.col("customer_id").alias("id"), F.col("state").alias("first"), F.col("city").alias("second"), "created_ts").unionByName(
+        products.select(F.lit("product").alias("kind"), F.col("product_id").alias("id"), F.col("category").alias("first"), F.col("brand").alias("second"), "created_ts"))
+
+
+# --- tables laid out for their joins ---------------------------------------------------------------
+
+def bucketed_fact_tables(spark: SparkSession, sf: str, buckets: int) -> dict[str, DataFrame]:
+    """Silver orders and shipments and the item fact as tables bucketed and sorted by order."""
+    stem = scratch_path(spark, "bucketed")
+    name = "strata_" + stem.rsplit("-", 1)[1]
+    frames = {"orders": orders_silver(spark, sf), "items": items_gold(spark, sf), "shipments": shipments_silver(spark, sf)}
+    return {t: write_bucketed(df, f"{name}_{t}", f"{stem}/{t}", ["order_id"], buckets) for t, df in frames.items()}
+
+
+@register("fact_orders_bucketed", ORACLE["fact_orders"])
+def q_fact_orders_bucketed(spark, sf):
+    """The order fact from bucketed tables: its sum and both joins read matching buckets, without an exchange."""
+    t = bucketed_fact_tables(spark, sf, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return gold.fact_orders(t["orders"], t["items"], t["shipments"])
+
+
+# --- error channel, drift, counts ------------------------------------------------------------------
+
+_TYPED_ORDERS = {"order_ts": "TIMESTAMP", "total_amount": "DECIMAL(10, 2)"}
+
+
+@register("contract_rejects", O.with_(
+    *O.feeds("orders"),
+    ("e", "SELECT " + ", ".join(f"trim({c}) <> '' AND TRY_CAST({c} AS {t}) IS NULL AS bad_{c}" for c, t in _TYPED_ORDERS.items()) + " FROM feed_orders"),
+    ("b", "SELECT " + ", ".join(f"coalesce(bad_{c}, false) AS {c}" for c in _TYPED_ORDERS) + " FROM e"),
+    final="SELECT 'accepted' AS outcome, NULL AS reason, count(*) AS rows FROM b WHERE NOT (order_ts OR total_amount) "
+          "UNION ALL SELECT 'rejected', CASE WHEN order_ts AND total_amount THEN 'order_ts,total_amount' WHEN order_ts THEN 'order_ts' ELSE 'total_amount' END, count(*) "
+          "FROM b WHERE order_ts OR total_amount GROUP BY 2"))
+def q_contract_rejects(spark, sf):
+    """Orders conformed with an error channel; rows accepted, and rows rejected by the columns that didn't parse."""
+    accepted, rejected = write_conformed(feed(spark, sf, "orders"), CONTRACTS["orders"], scratch_path(spark, "conformed"))
+    reasons = rejected.groupBy(F.array_join(F.array_sort(F.map_keys("errors")), ",").alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+    return accepted.agg(F.count(F.lit(1)).alias("rows")).filter("rows > 0").select(F.lit("accepted").alias("outcome"), F.lit(None).cast("string").alias("reason"), "rows").unionByName(
+        reasons.select(F.lit("rejected").alias("outcome"), "reason", "rows"))
+
+
+@register("contract_rejected_rows", O.with_(
+    *O.feeds("orders"),
+    final="SELECT order_id, TRY_CAST(order_ts AS TIMESTAMP) AS order_ts, CAST(TRY_CAST(total_amount AS DECIMAL(10, 2)) AS DOUBLE) AS total_amount, "
+          "CASE WHEN trim(order_ts) <> '' AND TRY_CAST(order_ts AS TIMESTAMP) IS NULL THEN order_ts END AS order_ts_text, "
+          "CASE WHEN trim(total_amount) <> '' AND TRY_CAST(total_amount AS DECIMAL(10, 2)) IS NULL THEN total_amount END AS total_amount_text, source_file FROM feed_orders "
+          "WHERE (trim(order_ts) <> '' AND TRY_CAST(order_ts AS TIMESTAMP) IS NULL) OR (trim(total_amount) <> '' AND TRY_CAST(total_amount AS DECIMAL(10, 2)) IS NULL)"))
+def q_contract_rejected_rows(spark, sf):
+    """The rejected rows themselves: what parsed, and the text of what did not."""
+    _, rejected = write_conformed(feed(spark, sf, "orders"), CONTRACTS["orders"], scratch_path(spark, "conformed"))
+    return rejected.select("order_id", "order_ts", "total_amount", *[F.element_at("errors", c).alias(f"{c}_text") for c in _TYPED_ORDERS], "source_file")
+
+
+_DRIFT = {0: [("added", "channel"), ("missing", "city")], 1: [("moved", "customer_id"), ("moved", "state"), ("moved", "city"), ("moved", "created_ts")],
+          2: [("renamed", "STATE"), ("added", "channel"), ("moved", "state"), ("moved", "city")]}
+
+
+@register("landing_drift", "SELECT DISTINCT d.ingest_date, change, \"column\" FROM (SELECT CAST(ingest_date AS DATE) AS ingest_date, "
+          f"date_diff('day', DATE '1970-01-01', CAST(ingest_date AS DATE)) % 3 AS k FROM ({feed_sql('customers')}) f) d JOIN (VALUES "
+          + ", ".join(f"({k}, '{change}', '{column}')" for k, rows in _DRIFT.items() for change, column in rows) + ") v(k, change, \"column\") USING (k)")
+def q_landing_drift(spark, sf):
+    """Customers land under another header each day; how each day's headers differ from the contract."""
+    root = scratch_path(spark, "header-drift")
+    df = feed(spark, sf, "customers").select(*_CUSTOMER_LANDING, F.lit("web").alias("channel"), "ingest_date")
+    k = F.unix_date(F.col("ingest_date").cast("date")) % 3
+    layouts = (["customer_id", "channel", "state", "created_ts"], [*reversed(_CUSTOMER_LANDING)],
+               ["customer_id", "city", F.col("state").alias("STATE"), "channel", "created_ts"])
+    for n, layout in enumerate(layouts):
+        write_landing(df.filter(k == n).select(*layout, "ingest_date"), f"{root}/landing", "customers", mode="append")
+    return header_drift(spark, f"{root}/landing", "customers", _CUSTOMER_LANDING, pattern=_DROPS)
+
+
+@register("quality_summary_written", _summary_sql())
+def q_quality_summary_written(spark, sf):
+    """The quality summary taken while the silver tables are written, all five at once."""
+    lake = Lake(scratch_path(spark, "observed"))
+    counts = run_silver_observed(spark, lake, {e: feed(spark, sf, e) for e in _ENTITIES})
+    return audit.written_summary(spark, counts)
+
+
+@register("bronze_rows_from_footers", O.with_(*_LANDED, final=" UNION ALL ".join(
+    f"SELECT '{e}' AS table_name, ingest_date, count(*) AS rows FROM land_{e} GROUP BY 2" for e in _ENTITIES)))
+def q_bronze_rows_from_footers(spark, sf):
+    """Rows per day of every bronze table of the end-to-end run, from Parquet footers."""
+    lake = _end_to_end_lake(spark, sf)
+    parts = [footer_counts(spark, lake.path("bronze", e), "ingest_date").select(F.lit(e).alias("table_name"), "ingest_date", "rows") for e in _ENTITIES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("dim_export_single_file", O.with_(
+    *O.feeds("products"), *O.silver_products_ctes("feed_products"), *O.dim_products_ctes("sp"), final="SELECT product_id, category, brand, 1::BIGINT AS files FROM dp"))
+def q_dim_export_single_file(spark, sf):
+    """The product dimension as one extract file, read back, with the number of files it was read from."""
+    path = scratch_path(spark, "single-file")
+    table = gold.dim_products(silver.silver_products(feed(spark, sf, "products")))
+    export_csv(table, path, single_file=True)
+    back = spark.read.option("header", True).option("delimiter", ";").schema(all_text(table.columns)).csv(path).withColumn("file", F.col("_metadata.file_path"))
+    files = back.agg(F.countDistinct("file").alias("files"))
+    return back.select("product_id", "category", "brand").join(F.broadcast(files))
+
+
+@register("silver_orders_lineage", O.with_(
+    *O.feeds("orders"), *O.silver_orders_ctes("feed_orders"),
+    ("h", "SELECT order_id, count(*) - 1 AS superseded FROM feed_orders WHERE order_id IS NOT NULL GROUP BY order_id"),
+    ("t", f"SELECT *, {O.parse_ts('order_ts')} AS ts, {O.parse_decimal('total_amount')} AS amount FROM feed_orders WHERE order_id IS NOT NULL"),
+    ("w", "SELECT order_id, source_file FROM t QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY CAST(ingest_date AS DATE) DESC NULLS LAST, ingestion_ts DESC NULLS LAST, "
+          "customer_id NULLS FIRST, status NULLS FIRST, payment_method NULLS FIRST, currency NULLS FIRST, ts NULLS FIRST, amount NULLS FIRST) = 1"),
+    final="SELECT so.order_id, so.status, so.ingest_date, superseded, source_file FROM so JOIN h USING (order_id) JOIN w USING (order_id)"))
+def q_silver_orders_lineage(spark, sf):
+    """Each silver order with the file it came from and the number of loaded rows it superseded."""
+    return silver.silver_orders(feed(spark, sf, "orders"), lineage=True).select("order_id", "status", "ingest_date", "superseded", "source_file")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,6 +20,37 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
         df.write.mode("overwrite").parquet(path)
 
 
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """``write_table`` for a frame that may read the table it replaces: the new
+    table is written beside the old one, which goes only when it is complete."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    write_table(df, f"{path}__next", partition_by)
+    fs, folder = _file_system(spark, path)
+    following = _file_system(spark, f"{path}__next")[1]
+    if fs.exists(folder):
+        fs.delete(folder, True)
+    if not fs.rename(following, folder):
+        raise OSError(f"{path}__next could not be put in place of {path}")
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """A catalog table at ``path``, hashed into ``buckets`` by ``keys`` and sorted by them inside each.
+
+    Joins on and sums by these keys then read matching buckets side by side,
+    without an exchange or sort of their own.  Rows are dealt by the same hash
+    first, so every bucket is one file.  The table is read back and returned."""
+    (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
+def write_observed(df: DataFrame, path: str, flags: Sequence[str], partition_by: Sequence[str] = ()) -> dict[str, int]:
+    """``write_table``, counting the rows and those with each flag true as they pass: no second scan."""
+    seen = Observation()
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(f)).alias(f) for f in flags]), path, partition_by)
+    return {name: int(n) for name, n in seen.get.items()}
+
+
 def cluster_by(df: DataFrame, *cols: str) -> DataFrame:
     """Gather rows by ``cols`` before a partitioned write (a ``REBALANCE``).
 

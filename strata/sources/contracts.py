@@ -9,9 +9,9 @@ missing column as a typed null.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegerType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import BooleanType, DecimalType, IntegerType, MapType, StringType, StructField, StructType, TimestampType
 
 
 def _contract(*fields: tuple[str, object]) -> StructType:
@@ -64,6 +64,36 @@ def conform(df: DataFrame, contract: StructType) -> DataFrame:
     return df.select(*cols)
 
 
+def parse_errors(df: DataFrame, contract: StructType) -> Column:
+    """Per row: the contract's columns whose text is there but doesn't parse, with that text
+    (a map; empty if all parse).  Blank text is a missing value, not an error."""
+    present = {f.name: f.dataType for f in df.schema.fields}
+    wrong = []
+    for field in contract.fields:
+        if isinstance(present.get(field.name), StringType) and not isinstance(field.dataType, StringType):
+            c = F.col(field.name)
+            bad = (F.trim(c) != "") & c.try_cast(field.dataType).isNull()
+            wrong.append(F.when(bad, F.struct(F.lit(field.name).alias("key"), c.alias("value"))))
+    if not wrong:
+        return F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    return F.map_from_entries(F.filter(F.array(*wrong), lambda e: e.isNotNull()))
+
+
+def write_conformed(df: DataFrame, contract: StructType, path: str) -> tuple[DataFrame, DataFrame]:
+    """``conform`` with an error channel: one pass writes every row to exactly one of two tables.
+
+    Rows that parse in full go to ``<path>/rejected=false``, the others to
+    ``<path>/rejected=true`` with ``errors`` (column -> text that didn't parse);
+    the columns that did parse are kept.  Returns (accepted, rejected), read back."""
+    spark, errors = df.sparkSession, "__errors"
+    parsed = conform(df.withColumn(errors, parse_errors(df, contract)), StructType([*contract.fields, StructField(errors, MapType(StringType(), StringType()), True)]))
+    parsed = parsed.withColumn("rejected", F.size(errors) > 0).withColumnRenamed(errors, "errors")
+    parsed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("rejected").parquet(path)
+    schema = StructType([*contract.fields, StructField("errors", MapType(StringType(), StringType()), True), StructField("rejected", BooleanType(), True)])
+    both = spark.read.schema(schema).parquet(path)
+    return both.filter("not rejected").drop("errors", "rejected"), both.filter("rejected").drop("rejected")
+
+
 def all_text(columns) -> StructType:
     """An all-string schema (how landing files are read: nothing inferred)."""
     return StructType([StructField(c, StringType(), True) for c in columns])

@@ -82,6 +82,33 @@ def file_headers(spark: SparkSession, glob: str, base: str) -> DataFrame:
     return lines.filter("block = 0").groupBy("file", "ingest_date").agg(F.min_by("value", "place").alias("header"))
 
 
+def header_drift(spark: SparkSession, root: str, entity: str, expected: Sequence[str], pattern: str = DEFAULT_PATTERN,
+                 delimiter: str = ",") -> DataFrame:
+    """(ingest_date, change, column): how each day's headers differ from ``expected``.
+
+    ``added`` and ``missing`` compare names without case; ``renamed`` are names that differ in case only; ``moved``
+    are expected columns whose place among the header's expected columns is not that of the contract.
+    Headers are reduced to the distinct ones of a day first; a day that agrees has no row."""
+    root = root.rstrip("/")
+    headers = file_headers(spark, f"{root}/{pattern.format(entity=entity)}", _base_path(root, pattern, entity)).select("ingest_date", "header").distinct()
+    names = F.transform(F.split(F.regexp_replace("header", "^\ufeff", ""), F.lit(f"[{delimiter}]")), lambda c: F.regexp_replace(F.trim(c), '^"(.*)"$', "$1"))
+    agreed = F.array(*[F.lit(c) for c in expected])
+    low = F.transform("names", lambda c: F.lower(c))
+    low_agreed = F.transform(agreed, lambda c: F.lower(c))
+
+    def rows(change: str, columns: Column) -> Column:
+        return F.transform(columns, lambda c: F.struct(F.lit(change).alias("change"), c.alias("column")))
+
+    found = F.filter(low, lambda c: F.array_contains(low_agreed, c))  # the expected columns in the header's order
+    due = F.filter(agreed, lambda c: F.array_contains(low, F.lower(c)))  # and in the contract's
+    changes = F.concat(
+        rows("added", F.filter("names", lambda c: ~F.array_contains(low_agreed, F.lower(c)))),
+        rows("missing", F.filter(agreed, lambda c: ~F.array_contains(low, F.lower(c)))),
+        rows("renamed", F.filter("names", lambda c: F.array_contains(low_agreed, F.lower(c)) & ~F.array_contains(agreed, c))),
+        rows("moved", F.filter(due, lambda c: F.array_position(found, F.lower(c)) != F.array_position(due, c))))
+    return headers.select("ingest_date", names.alias("names")).select("ingest_date", F.explode(changes).alias("c")).select("ingest_date", "c.*").distinct()
+
+
 def _groups(spark: SparkSession, glob: str, base: str, delimiter: str) -> dict[tuple[str, ...], list[str]]:
     """Paths to read by header.  Only days and their distinct headers reach
     the driver; single files only for days that mix several headers."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
@@ -14,6 +15,18 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = True) -> Dat
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
+def footer_counts(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """(``by``, rows) of a Parquet table partitioned by ``by``, from its files' footers.
+
+    The count is pushed down into the scan (Parquet statistics, the
+    data source's second version), so no column of any file is read.  Its
+    settings belong to a session of its own: the caller's stay as they are."""
+    own = spark.newSession()
+    for key, value in (("spark.sql.sources.useV1SourceList", ""), ("spark.sql.parquet.aggregatePushdown", "true")):
+        own.conf.set(key, value)
+    return own.read.parquet(path).groupBy(by).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def read_if_exists(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame | None:
     """The table at ``path``, or None if there is none (on any filesystem)."""
     try:
