@@ -54,21 +54,31 @@ def url_sql() -> str:
                        f"SELECT dst, score * share FROM {name}_{i} JOIN {name}_fan ON host = src) GROUP BY host)")
         return ",\n".join(out)
 
+    def guilt() -> str:
+        out = ["guilt_0 AS (SELECT host, barred AS guilt FROM shares WHERE barred > 0)"]
+        for i in range(url_filter.ROUNDS):
+            out.append(f"guilt_{i + 1} AS MATERIALIZED (SELECT host, max(guilt) AS guilt FROM (SELECT * FROM guilt_0 UNION ALL "
+                       f"SELECT src, sum(guilt * share) FROM guilt_{i} JOIN trust_fan ON host = dst GROUP BY src) GROUP BY host)")
+        return ",\n".join(out)
+
     last = url_filter.ROUNDS
     least = (1 - d) * url_filter.MIN_SHARE * (1 - 1e-9)
-    link = url_filter.LINK.replace("'", "''")
+    link, bare = (x.replace("'", "''") for x in (url_filter.LINK, url_filter.BARE_LINK))
+    guilty = d * url_filter.MIN_SHARE * (1 - 1e-9)
     return rf"""
 WITH rules(verdict, host, path) AS (VALUES {rules}),
-urls AS (SELECT page_id, html, {host.format('url')} AS host, coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+urls AS (SELECT page_id, html, regexp_extract(url, '^(?s:(.*?))://', 1) AS scheme, {host.format('url')} AS host, coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 hits AS (SELECT u.page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
          FROM urls u JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path) GROUP BY u.page_id),
 shares AS (SELECT host, avg((verdict IS NOT NULL AND verdict = 'allow')::INT) AS allowed, avg((verdict IS NOT NULL AND verdict = 'block')::INT) AS barred
            FROM urls LEFT JOIN hits USING (page_id) WHERE host <> '' GROUP BY host),
-links AS (SELECT host AS src, unnest(regexp_extract_all(html, '{link}', 1)) AS url FROM urls),
+links AS (SELECT host AS src, unnest(regexp_extract_all(html, '{link}', 1) || list_transform(regexp_extract_all(html, '{bare}', 1), lambda x: scheme || ':' || x)) AS url FROM urls),
 edges AS MATERIALIZED (SELECT DISTINCT src, {host.format('url')} AS dst FROM links WHERE src <> '' AND {host.format('url')} NOT IN ('', src)),
 {ranks('trust', 'src', 'dst', 'allowed')},
 {ranks('distrust', 'dst', 'src', 'barred')},
-blocked AS (SELECT d.host FROM distrust_{last} d LEFT JOIN trust_{last} t USING (host) WHERE d.score > coalesce(t.score, 0) AND d.score >= {least!r})
+{guilt()},
+blocked AS (SELECT g.host FROM guilt_{last} g LEFT JOIN trust_{last} t USING (host) WHERE g.host IN (SELECT src FROM edges)
+            AND guilt >= {guilty!r} AND guilt * {1 - d!r} > coalesce(t.score, 0) UNION SELECT d.host FROM distrust_{last} d LEFT JOIN trust_{last} t USING (host) WHERE d.score > coalesce(t.score, 0) AND d.score >= {least!r})
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict
 FROM urls LEFT JOIN hits USING (page_id)"""
 

@@ -72,13 +72,19 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return links.filter("src <> '' and dst <> '' and src <> dst").distinct()
 
 
+def link_shares(edges: DataFrame, damping: float) -> DataFrame:
+    """(src, dst, share): ``damping`` dealt evenly over each host's links; written once, as every round reads it."""
+    spark, path = edges.sparkSession, scratch_path(edges.sparkSession, "link-shares")
+    edges.join(edges.groupBy("src").agg(F.count(F.lit(1)).alias("n")), "src").select("src", "dst", (F.lit(damping) / F.col("n")).alias("share")).write.parquet(path)
+    return spark.read.schema("src string, dst string, share double").parquet(path)
+
+
 def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING, cut_every: int = 4) -> DataFrame:
     """Personalised PageRank: (host, score) from ``seeds`` (host, weight) along
     ``edges`` (src, dst).  Score that has no way out of a host is lost, so
     a score never depends on unrelated hosts.  A seed's own share is ``1 - damping`` times its weight."""
     spark = edges.sparkSession
-    fan = edges.join(edges.groupBy("src").agg(F.count(F.lit(1)).alias("n")), "src").select(
-        "src", "dst", (F.lit(damping) / F.col("n")).alias("share"))
+    fan = link_shares(edges, damping)
     start = seeds.select("host", (F.col("weight") * (1 - damping)).alias("score"))
     now = start
     for i in range(rounds):
@@ -96,7 +102,7 @@ def guilt_of(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     the hosts that it links to (0 if unknown), whichever is larger.  It depends on a host's own
     links only, never on how many others link to the same hosts."""
     spark = edges.sparkSession
-    fan = edges.join(edges.groupBy("src").agg(F.count(F.lit(1)).alias("n")), "src").select("src", "dst", (F.lit(damping) / F.col("n")).alias("share"))
+    fan = link_shares(edges, damping)
     start = seeds.select("host", F.col("weight").alias("guilt"))
     now = start
     for i in range(rounds):

@@ -355,6 +355,31 @@ def test_distrust_flows_back_and_trust_forward(spark):
     assert {h for h, r in scores.items() if r["blocked"]} == {h for h in scores if distrust.get(h, 0) > trust.get(h, 0) and distrust[h] >= 0.5 * (1 - d)}
 
 
+def test_sql_agrees_on_a_linked_web(spark):
+    """The oracle, on pages that link across hosts, absolutely and without a scheme: flows and linkers decide some verdicts."""
+    import duckdb
+    import pandas as pd
+
+    from strata.llm.oracles import ORACLE
+
+    rng, rows = random.Random(9), []
+    for i in range(300):
+        host = f"h{i % 60}.org" if i >= 40 else f"s{i % 20}.{rng.choice(['net', 'com'])}"
+        into = [f"s{rng.randint(0, 19)}.{rng.choice(['net', 'com', 'net'])}" if rng.random() < 0.5 else f"h{rng.randint(0, 59)}.org" for _ in range(rng.randint(0, 3))]
+        html = "".join(f'<a {"class=x " * (i % 2)}href={rng.choice(chr(34) + chr(39))}{rng.choice(["//", "https://", "HTTP://"])}{x}/p">' for x in into)
+        rows.append((i, f"http://{host}{rng.choice(['/es/a', '/', '/fr/b?x'])}" if i % 41 else None, html if i % 37 else None))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.filter_urls(pages).collect())
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame(rows, columns=["page_id", "url", "html"]))
+    cur = con.execute(ORACLE["op4_url_filter"])
+    names = [c[0] for c in cur.description]
+    want = sorted(tuple(r[names.index(c)] for c in ("page_id", "host", "path", "rule", "verdict")) for r in cur.fetchall())
+    assert [tuple(x) for x in got] == want
+    unruled = [r[4] for r in got if r[3] is None]
+    assert unruled.count("block") > 5 and unruled.count("allow") > 5
+
+
 def test_linkers_are_judged_by_their_own_links(spark):
     links = {"bad.net": [], **{f"farm{i}.org": ["//bad.net/p"] if i % 2 else ["http://bad.net/p"] for i in range(100)}, "ring.org": ["http://farm3.org/"],
              "mixed.org": ["http://bad.net/", "http://a.org/", "http://b.org/"], "a.org": [], "good.com": ["//friend.org/x"], "friend.org": []}
