@@ -18,6 +18,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a table of daily folders is listed by a few tasks of many folders each, not by a task per folder
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "16",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -38,6 +40,7 @@ SCALE_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "1000",
 }
 
 
