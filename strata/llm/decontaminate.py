@@ -9,9 +9,10 @@ their order doesn't matter, so reordered passages count in full).  A
 document is contaminated by an item if the tiles cover at least ``coverage`` of the item's words, or if those of
 ``PASSAGE_TILE`` words or more cover ``PASSAGE_WORDS``, however long the item is.
 
-Documents are read in place, without a shuffle.  The benchmark goes to the
-tasks in blocks of at most about ``block_bytes`` of text; a larger benchmark
-takes one scan of the documents per block, so nothing unbounded is sent out.
+Documents are read in place, without a shuffle.  The benchmark is written as a
+table of blocks of about ``block_bytes`` of text in the shared folder, and tasks read a block
+from there: no item passes through the driver or a plan.  A larger benchmark takes one scan of
+the documents per block, each written before the next, so a plan or a worker holds one block.
 
 Defined results: null texts are empty; an item of fewer than ``min_match``
 words matches where it stands whole: anywhere if it has ``SHORT_WORDS`` or more, else only as a document of
@@ -25,15 +26,19 @@ import heapq
 import math
 import re
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.ship import ship_package
+from strata.llm.token_files import open_folder
 from strata.llm.words import bounded, spread, split_words, texts_of
+from strata.session import scratch_path
 
 MIN_MATCH = 5
 COVERAGE = 0.5
@@ -168,9 +173,13 @@ def tile(at: np.ndarray, place: np.ndarray, n: int) -> list[tuple[int, int, int]
     return tiles
 
 
-@lru_cache(maxsize=4)
-def _index(rows: tuple[tuple[int, str], ...], min_match: int) -> Items:
-    return Items(rows, min_match)
+@lru_cache(maxsize=1)
+def _index(block: str, min_match: int) -> Items:
+    """The items of a block's folder, in order of id and text (no folder: none)."""
+    fs, folder = open_folder(block)
+    parts = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True)) if f.path.endswith(".parquet"))
+    rows = [row for part in parts for row in pq.read_table(fs.open_input_file(part), columns=["item_id", "text"]).to_pylist()]
+    return Items(tuple(sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))), min_match)
 
 
 def _matches(items: Items, batch: pa.RecordBatch, text: str, coverage: float) -> Iterator[tuple[int, int, int, list[tuple[int, int, int]], int]]:
@@ -198,9 +207,9 @@ def _matches(items: Items, batch: pa.RecordBatch, text: str, coverage: float) ->
             yield int(doc[a]), items.item_ids[int(item[a])], size, tiles, covered
 
 
-def _find(rows: tuple, min_match: int, coverage: float) -> Callable:
+def _find(block: str, min_match: int, coverage: float) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = _index(rows, min_match)
+        items = _index(block, min_match)
         for batch in bounded(batches):
             out = [(batch.column("doc_id")[d].as_py(), i, size, covered, covered / size,
                     [{"doc_word": x, "item_word": y, "words": k} for x, y, k in sorted(tiles)])
@@ -214,9 +223,9 @@ def _find(rows: tuple, min_match: int, coverage: float) -> Callable:
     return run
 
 
-def _clean(rows: tuple, min_match: int, coverage: float, text: str) -> Callable:
+def _clean(block: str, min_match: int, coverage: float, text: str) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = _index(rows, min_match)
+        items = _index(block, min_match)
         for batch in bounded(batches, text):
             keep = np.ones(batch.num_rows, bool)
             for d, *_ in _matches(items, batch, text, coverage):
@@ -225,14 +234,20 @@ def _clean(rows: tuple, min_match: int, coverage: float, text: str) -> Callable:
     return run
 
 
-def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[tuple[int, str], ...]]:
-    """The benchmark's rows in blocks of about ``block_bytes`` of text, one block at a time."""
+def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> list[str]:
+    """Folders of the benchmark's rows (item_id, text), each of about ``block_bytes`` of text."""
+    spark = benchmark.sparkSession
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    n = max(1, math.ceil(total / block_bytes))
-    for k in range(n):
-        block = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield tuple((r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").toLocalIterator())
+    n, path = max(1, math.ceil(total / block_bytes)), scratch_path(spark, "items")
+    items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))).repartition("block").write.partitionBy("block").parquet(path)
+    return [f"{path}/block={k}" for k in range(n)]
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_match: int = MIN_MATCH,
@@ -241,17 +256,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     item's words, those covered, their share and the tiles."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    out = None
-    for block in item_blocks(benchmark, block_bytes=block_bytes):
-        part = rows.mapInArrow(_find(block, min_match, coverage), RESULT)
-        out = part if out is None else out.unionByName(part)
-    return out
+    blocks = item_blocks(benchmark, block_bytes=block_bytes)
+    parts = [rows.mapInArrow(_find(block, min_match, coverage), RESULT) for block in blocks]
+    return parts[0] if len(parts) == 1 else reduce(DataFrame.unionByName, [_kept(part, "contaminated") for part in parts])
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", min_match: int = MIN_MATCH,
                       coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, all their columns as they are."""
     ship_package(docs.sparkSession)
-    for block in item_blocks(benchmark, block_bytes=block_bytes):
-        docs = docs.mapInArrow(_clean(block, min_match, coverage, text_col), docs.schema)
+    for k, block in enumerate(item_blocks(benchmark, block_bytes=block_bytes)):
+        before = _kept(docs, "clean") if k else docs
+        docs = before.mapInArrow(_clean(block, min_match, coverage, text_col), docs.schema)
     return docs
