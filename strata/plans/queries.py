@@ -26,7 +26,7 @@ from strata.plans import oracle as O
 from strata.plans.feeds import feed, feed_sql
 from strata.plans.feeds import read_table as feed_table
 from strata.session import scratch_path
-from strata.sinks.writers import DIRECT_COMMIT, cluster_by, export_csv, write_bucketed, write_table
+from strata.sinks.writers import DIRECT_COMMIT, export_csv, write_bucketed, write_table
 from strata.plans.pipeline import Lake, fan_out, run_bronze, run_gold, run_pipeline, run_silver, run_silver_observed
 from strata.sources.contracts import CONTRACTS, all_text, business_columns, conform, write_conformed
 from strata.sources.landing import header_drift, ingest_audit, ingest_entity, lineage_audit
@@ -436,9 +436,9 @@ _LANDING_SQL = _feed_sql("customers", ", ".join(f"nullif({c}, '') AS {c}" for c
 
 def write_landing(df: DataFrame, root: str, entity: str, mode: str = "overwrite") -> None:
     """Write a feed as landing CSV drops ``<root>/<entity>/ingest_date=<d>/``
-    (text kept exactly: no edge trimming).  Rows are clustered by load day
-    first, so a load is a few files, as a landing zone holds them."""
-    (cluster_by(df, "ingest_date").write.mode(mode).option("header", True).option(*DIRECT_COMMIT)
+    (text kept exactly: no edge trimming).  Rows are dealt over the tasks by load
+    day first, so a load is one file, as a landing zone holds them."""
+    (df.repartition(df.sparkSession.sparkContext.defaultParallelism, "ingest_date").write.mode(mode).option("header", True).option(*DIRECT_COMMIT)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .partitionBy("ingest_date").csv(f"{root}/{entity}"))
 

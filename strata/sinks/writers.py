@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -63,14 +63,30 @@ def cluster_by(df: DataFrame, *cols: str) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
-def write_days(df: DataFrame, path: str, day_col: str = "ingest_date", cluster: bool = False) -> None:
+def spread_days(df: DataFrame, sizes: Mapping[str, int], day_col: str = "ingest_date", tasks: int | None = None) -> DataFrame:
+    """Pack many days of known bytes into ``tasks`` (default: the cluster's slots) for a partitioned write.
+
+    A backfill of thousands of small days costs a file each, not their bytes, so the
+    days are dealt over all tasks (``cluster_by`` goes by bytes and would leave
+    them to one).  A day above a task's even share is split over as many tasks as shares it holds."""
+    tasks = max(1, min(tasks or df.sparkSession.sparkContext.defaultParallelism, len(sizes)))
+    share = max(1, -(-sum(sizes.values()) // tasks))
+    parts = {day: min(tasks, -(-size // share)) for day, size in sizes.items() if size > share}
+    part = F.lit(0).cast("long")
+    for n in sorted(set(parts.values())):
+        days = [F.lit(day).cast("date") for day, k in parts.items() if k == n]
+        part = F.when(F.col(day_col).isin(days), F.pmod(F.xxhash64(*df.columns), F.lit(n).cast("long"))).otherwise(part)
+    return df.repartition(tasks, F.col(day_col), part)
+
+
+def write_days(df: DataFrame, path: str, day_col: str = "ingest_date", cluster: bool = False, sizes: Mapping[str, int] | None = None) -> None:
     """Replace only the days present in ``df`` (dynamic partition overwrite).
 
     Re-running a load, or a task retry, rewrites its days instead of
     appending them a second time, so a load is idempotent.  A daily load
     writes map-side (one file per input split, no shuffle); ``cluster=True``
     suits a backfill of many days, where that would mean one file per task
-    and day (see ``cluster_by``).  A path that a streaming query writes is
+    and day (see ``cluster_by``; with the days' ``sizes``, ``spread_days``).  A path that a streaming query writes is
     refused: its readers follow the stream's log and would not see these files.
 
     Tasks commit straight into the staging folder that a dynamic overwrite
@@ -78,7 +94,9 @@ def write_days(df: DataFrame, path: str, day_col: str = "ingest_date", cluster:
     second time on the driver costs more than writing it, and nobody reads the staging folder."""
     if _exists(df.sparkSession, f"{path.rstrip('/')}/_spark_metadata"):
         raise ValueError(f"{path} is written by a streaming query; load it with that query only")
-    out = cluster_by(df, day_col) if cluster else df
+    out = df
+    if cluster:
+        out = spread_days(df, sizes, day_col) if sizes else cluster_by(df, day_col)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(*DIRECT_COMMIT)
      .partitionBy(day_col).parquet(path))
 

@@ -72,14 +72,14 @@ def header_names(line: str, delimiter: str = ",") -> tuple[str, ...]:
 
 
 def file_headers(spark: SparkSession, glob: str, base: str) -> DataFrame:
-    """(file, ingest_date, header): the first line of every landing file.
+    """(file, ingest_date, header, size): the first line and the bytes of every landing file.
 
     One distributed text scan (so any codec Spark reads works), reduced to a
     row per file inside the tasks."""
     lines = spark.read.option("basePath", base).text(glob)
     lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                         F.monotonically_increasing_id().alias("place"), "ingest_date", "value")
-    return lines.filter("block = 0").groupBy("file", "ingest_date").agg(F.min_by("value", "place").alias("header"))
+                         F.col("_metadata.file_size").alias("size"), F.monotonically_increasing_id().alias("place"), "ingest_date", "value")
+    return lines.filter("block = 0").groupBy("file", "ingest_date").agg(F.min_by("value", "place").alias("header"), F.max("size").alias("size"))
 
 
 def header_drift(spark: SparkSession, root: str, entity: str, expected: Sequence[str], pattern: str = DEFAULT_PATTERN,
@@ -109,15 +109,16 @@ def header_drift(spark: SparkSession, root: str, entity: str, expected: Sequence
     return headers.select("ingest_date", names.alias("names")).select("ingest_date", F.explode(changes).alias("c")).select("ingest_date", "c.*").distinct()
 
 
-def _groups(spark: SparkSession, glob: str, base: str, delimiter: str) -> dict[tuple[str, ...], list[str]]:
-    """Paths to read by header.  Only days and their distinct headers reach
+def _groups(spark: SparkSession, glob: str, base: str, delimiter: str) -> tuple[dict[tuple[str, ...], list[str]], dict[str, int]]:
+    """Paths to read by header, and the bytes of each day.  Only days and their distinct headers reach
     the driver; single files only for days that mix several headers."""
     found = file_headers(spark, glob, base)
-    days = found.groupBy("ingest_date").agg(F.collect_set("header").alias("headers")).collect()
+    days = found.groupBy("ingest_date").agg(F.collect_set("header").alias("headers"), F.sum("size").alias("size")).collect()
+    sizes = {str(r["ingest_date"]): r["size"] for r in days}
     named = {r["ingest_date"]: {header_names(h, delimiter) for h in r["headers"]} for r in days}
     headers = {h for hs in named.values() for h in hs}
     if len(headers) == 1:
-        return {headers.pop(): [glob]}
+        return {headers.pop(): [glob]}, sizes
     groups: dict[tuple[str, ...], list[str]] = {}
     pure: dict[tuple[str, ...], list[str]] = {}
     for day, hs in named.items():
@@ -129,7 +130,7 @@ def _groups(spark: SparkSession, glob: str, base: str, delimiter: str) -> dict[t
     if mixed:
         for r in found.filter(F.col("ingest_date").isin(mixed)).select("file", "header").collect():
             groups.setdefault(header_names(r["header"], delimiter), []).append(r["file"])
-    return groups
+    return groups, sizes
 
 
 def _for_days(glob: str, days: Sequence[str]) -> str:
@@ -157,6 +158,12 @@ def read_landing(
     ``keep_corrupt`` adds ``_corrupt_record`` with the text of rows that
     don't fit their header.  With ``days`` the path glob names those day
     folders, so only they are listed, however many days the zone holds."""
+    return _read(spark, root, entity, columns, pattern, delimiter, by_header, days, keep_corrupt)[0]
+
+
+def _read(spark: SparkSession, root: str, entity: str, columns: Sequence[str] | None, pattern: str, delimiter: str, by_header: bool,
+          days: Sequence[str] | None, keep_corrupt: bool) -> tuple[DataFrame, dict[str, int]]:
+    """``read_landing`` and, as far as the header scan tells, the bytes of each day."""
     root = root.rstrip("/")
     glob = f"{root}/{pattern.format(entity=entity)}"
     if days:
@@ -167,18 +174,18 @@ def read_landing(
         return all_text([*names, *([CORRUPT] if keep_corrupt else [])]).add(StructField("ingest_date", DateType(), True))
 
     if by_header:
-        groups = _groups(spark, glob, base, delimiter)
+        groups, sizes = _groups(spark, glob, base, delimiter)
         if not groups:
             raise FileNotFoundError(glob)
         out = None
         for header, paths in groups.items():
             frame = _with_source(_reader(spark, base, delimiter).schema(schema_of(header)).csv(paths))
             out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
-        return out
+        return out, sizes
     reader = _reader(spark, base, delimiter).option("enforceSchema", False)
     if columns is None:
         columns = [f.name for f in reader.option("inferSchema", False).csv(glob).schema.fields if f.name != "ingest_date"]
-    return _with_source(reader.schema(schema_of(columns)).csv(glob))
+    return _with_source(reader.schema(schema_of(columns)).csv(glob)), {}
 
 
 def ingest_entity(
@@ -198,12 +205,12 @@ def ingest_entity(
     Only the days carried are replaced; with ``days`` only those folders are
     listed and read, and each of them is replaced even if it has no rows any
     more.  Running it twice leaves one copy."""
-    df = read_landing(spark, landing_root, entity, columns, pattern, by_header=by_header, days=days, keep_corrupt=keep_corrupt)
+    df, sizes = _read(spark, landing_root, entity, columns, pattern, ",", by_header, days, keep_corrupt)
     if days:
         df = df.filter(F.col("ingest_date").isin([F.lit(d).cast("date") for d in days]))
     seen = Observation()
     out = lineage(df).observe(seen, F.collect_set(F.col("ingest_date").cast("string")).alias("days"))
-    write_days(out, bronze_path, cluster=cluster)
+    write_days(out, bronze_path, cluster=cluster, sizes=sizes)
     if days:
         clear_days(spark, bronze_path, sorted(set(days) - set(seen.get["days"])))
     return read_table(spark, bronze_path)

@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from strata.operators.inspect import preview
-from strata.sinks.writers import export_csv, write_days
+from strata.sinks.writers import export_csv, spread_days, write_days
 from strata.sources.contracts import CONTRACTS, all_text, conform
 from strata.sources.tables import read_if_exists, read_table
 from strata.streaming.incremental import drain, start_incremental_ingest
@@ -138,3 +138,13 @@ def test_day_limited_load_lists_only_those_days(spark, tmp_path):
     ingest_entity(spark, str(landing), bronze, "orders", by_header=True, days=["2025-12-01", "2025-12-03"])
     assert sorted(r.order_id for r in read_table(spark, bronze).collect()) == \
         ["O-2025-12-01", "O-2025-12-02", "O-2025-12-03"]
+
+
+def test_small_days_are_dealt_over_tasks_and_a_large_day_is_split(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("id", "CAST(date_add(DATE '2025-01-01', CAST(IF(id % 3 = 0, 0, id % 50) AS INT)) AS DATE) AS ingest_date")
+    sizes = {str(r["ingest_date"]): r["n"] * 10 for r in rows.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = spread_days(rows, sizes, tasks=6)
+    parts = out.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("ingest_date").alias("days")).collect()
+    assert len(parts) == 6 and max(r["n"] for r in parts) < 1100 and min(r["days"] for r in parts) > 1
+    write_days(rows, str(tmp_path / "b"), cluster=True, sizes=sizes)
+    assert sorted(map(tuple, read_table(spark, str(tmp_path / "b")).select("id", "ingest_date").collect())) == sorted(map(tuple, rows.collect()))
