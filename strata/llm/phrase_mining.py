@@ -9,7 +9,7 @@ names its first ``depth`` words.
 2. *Routing.*  Suffixes go to buckets by their language and first two words, as
    blobs: distinct suffixes of a batch with their counts, over a dictionary of the
    blob's own words.  A phrase that stands in a third of all texts is one
-   entry per batch.  A bucket above ``BUCKET_BYTES`` is dealt again: its blobs are
+   entry per batch.  A bucket above ``bucket_bytes`` is dealt again: its blobs are
    merged in groups of that size, equal suffixes made one, and routed on by another hash.
 3. *Sort.*  In a bucket the pointers are partitioned at the word of their depth
    into less, equal and greater, all open partitions at once.  The equal part
@@ -43,7 +43,7 @@ TOP = 2000
 HALF = 50  # percent of a phrase's count that a longer one must reach to take its place
 SCALE = 1_000_000
 BATCH_BYTES = 6 << 20
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 16 << 20  # before compression
 MOST_BUCKETS = 4096
 
 # Bytes that end a piece, bytes between words.
@@ -56,7 +56,8 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def piece_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """(text of each word, whether it ends its piece, codes, words), words in reading order."""
+    """(text of each word, whether it ends its piece, codes, words): words in reading order, coded
+    in the order of their bytes, which keeps a blob's own words short when packed."""
     offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
     raw = texts.buffers()[2]
     data = np.frombuffer(bytes(memoryview(raw)[offsets[0]:offsets[-1]]).translate(LOWER) if raw else b"", np.uint8)
@@ -71,14 +72,17 @@ def piece_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa
     first = offsets[:-1][np.diff(offsets) > 0]
     begins[first] = inside[first]  # a text's first byte begins a word of its own
     begins = np.flatnonzero(begins)
-    held = np.concatenate([[0], np.cumsum(inside)])
+    held = np.concatenate([np.zeros(1, np.int32), np.cumsum(inside, dtype=np.int32)])
     ends = np.append(held[begins], held[-1]).astype(np.int32)
     words = pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data[inside].tobytes())]).dictionary_encode()
     text = np.searchsorted(offsets, begins, "right") - 1
-    breaks = np.cumsum(kind == 2)[begins] if len(begins) else np.empty(0, np.int64)
+    breaks = np.cumsum(kind == 2, dtype=np.int32)[begins] if len(begins) else np.empty(0, np.int64)
     last = np.ones(len(begins), bool)
     last[:-1] = (text[1:] != text[:-1]) | (breaks[1:] != breaks[:-1])
-    return text, last, words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
+    order = pc.sort_indices(words.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return text, last, rank[words.indices.to_numpy(zero_copy_only=False)], words.dictionary.take(pa.array(order))
 
 
 def suffixes(codes: np.ndarray, last: np.ndarray, depth: int) -> np.ndarray:
@@ -114,8 +118,13 @@ def merged(rows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarra
 # --- blobs -----------------------------------------------------------------------------------------
 
 
-def to_blob(rows: np.ndarray, weights: np.ndarray, words: pa.Array) -> bytes:
-    """Suffixes with their counts and their own words, as an Arrow stream."""
+PACKED = pa.ipc.IpcWriteOptions(compression="zstd")
+
+
+def to_blob(rows: np.ndarray, weights: np.ndarray, words: pa.Array) -> tuple[bytes, int]:
+    """Suffixes with their counts and their own words, as a compressed Arrow stream, and its bytes unpacked.
+
+    The rows come sorted, so their columns are mostly runs and small steps."""
     used, local = np.unique(rows, return_inverse=True)
     if not len(used) or used[0] != 0:
         used, local = np.append(0, used), local + 1
@@ -124,10 +133,11 @@ def to_blob(rows: np.ndarray, weights: np.ndarray, words: pa.Array) -> bytes:
     own = words.take(pa.array(used[1:] - 1))
     sink = pa.BufferOutputStream()
     columns = {f"w{d}": pa.array(local[:, d].astype(kind)) for d in range(rows.shape[1])}
-    for table in (pa.table({**columns, "n": pa.array(weights.astype(np.uint32 if weights.max(initial=0) < 1 << 32 else np.uint64))}), pa.table({"word": own})):
-        with pa.ipc.new_stream(sink, table.schema) as out:
+    tables = (pa.table({**columns, "n": pa.array(weights.astype(np.uint32 if weights.max(initial=0) < 1 << 32 else np.uint64))}), pa.table({"word": own}))
+    for table in tables:
+        with pa.ipc.new_stream(sink, table.schema, options=PACKED) as out:
             out.write_table(table)
-    return sink.getvalue().to_pybytes()
+    return sink.getvalue().to_pybytes(), sum(t.nbytes for t in tables)
 
 
 def from_blobs(blobs: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -168,8 +178,8 @@ def _blobs(lang: str, rows: np.ndarray, weights: np.ndarray, words: pa.Array, bu
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
     for part in np.split(order, cuts):
         if len(part):
-            blob = to_blob(rows[part], weights[part], words)
-            yield {"lang": lang, "bucket": int(bucket[part[0]]), "size": len(blob), "blob": blob}
+            blob, size = to_blob(rows[part], weights[part], words)
+            yield {"lang": lang, "bucket": int(bucket[part[0]]), "size": size, "blob": blob}
 
 
 def _scan(depth: int, buckets: int) -> Callable:
@@ -189,8 +199,8 @@ def _scan(depth: int, buckets: int) -> Callable:
                 seed = int(hash_words([lang])[0])
                 both = rows[here & (rows[:, 1] > 0)] if depth > 1 else rows[:0]
                 both, weights = merged(both, np.ones(len(both), np.int64))
-                blobs = [{"lang": lang, "bucket": -1, "size": len(b), "blob": b} for b in [to_blob(own[:, None] + 1, n, words)]]
-                yield pa.RecordBatch.from_pylist([*blobs, *_blobs(lang, both, weights, words, route(both, hashes, seed, 0, buckets))], ROUTED_ARROW)
+                blob, size = to_blob(own[:, None] + 1, n, words)
+                yield pa.RecordBatch.from_pylist([{"lang": lang, "bucket": -1, "size": size, "blob": blob}, *_blobs(lang, both, weights, words, route(both, hashes, seed, 0, buckets))], ROUTED_ARROW)
     return run
 
 

@@ -82,8 +82,8 @@ def test_quicksort_counts_every_frequent_prefix(least):
 def test_blobs_and_their_merging():
     words = pa.array([b"a", b"b", b"c", b"d"], pa.binary())
     rows = np.array([[1, 2, 0], [4, 4, 4], [1, 2, 0]], np.int32)
-    blob = M.to_blob(*M.merged(rows, np.array([1, 2, 3])), words)
-    other = M.to_blob(np.array([[3, 1, 2]], np.int32), np.array([1 << 33]), words)
+    blob, _ = M.to_blob(*M.merged(rows, np.array([1, 2, 3])), words)
+    other, _ = M.to_blob(np.array([[3, 1, 2]], np.int32), np.array([1 << 33]), words)
     got, n, names = M.from_blobs([blob, other, blob])
     got, n = M.merged(got, n)
     text = {tuple(names[c - 1].as_py().decode() if c else "" for c in row): k for row, k in zip(got.tolist(), n.tolist())}
