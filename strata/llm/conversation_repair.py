@@ -375,8 +375,20 @@ def _marked(pieces: DataFrame) -> DataFrame:
     return _kept(pieces.join(late, HERE, "left").mapInArrow(_mark, MARKED), "marked")
 
 
+ROOT = "none boolean, conv long, place long, first int, last int, cost long"
+
+
+def _passages(placed: DataFrame, fan: int) -> tuple[DataFrame, DataFrame]:
+    """(first, last) state of every piece, and the least cost of every conversation.
+
+    A conversation of one piece is its own root, in place; only those in several pieces go up and down a tree."""
+    alone = (F.col("place") == 0) & F.col("closes")
+    single = placed.filter(alone).select(*CONV, "place", "matrix").mapInArrow(_root, ROOT)
+    states, costs = _tree(placed.filter(~alone), fan)
+    return states.unionByName(single.drop("cost")), costs.unionByName(single.select(*CONV, "cost"))
+
+
 def _tree(placed: DataFrame, fan: int) -> tuple[DataFrame, DataFrame]:
-    """(first, last) state of every piece, and the least cost of every conversation."""
     levels = [placed.select(*CONV, "place", "matrix")]
     schema = "none boolean, conv long, place long, matrix array<long>"
     while True:
@@ -384,7 +396,7 @@ def _tree(placed: DataFrame, fan: int) -> tuple[DataFrame, DataFrame]:
         levels.append(_kept(up, "level"))
         if not levels[-1].agg(F.max("place").alias("m")).first()["m"]:
             break
-    root = _kept(levels[-1].mapInArrow(_root, "none boolean, conv long, place long, first int, last int, cost long"), "root")
+    root = _kept(levels[-1].mapInArrow(_root, ROOT), "root")
     known = root.drop("cost")
     for level in reversed(levels[:-1]):
         above = known.select(*CONV, F.col("place").alias("above"), F.col("first").alias("parent_first"), F.col("last").alias("parent_last"))
@@ -406,7 +418,7 @@ def repair(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", ro
     placed = (_marked(pieces).withColumn("place", F.row_number().over(by).cast("long") - 1).withColumn("closes", F.lead("part").over(by).isNull())
               .withColumn("crosses", F.concat(F.lag("closing").over(by), "opening")).withColumn("reached", F.last("high", ignorenulls=True).over(before)))
     placed = _kept(placed, "placed")
-    states, costs = _tree(placed, fan)
+    states, costs = _passages(placed, fan)
     passed = placed.select(*CONV, *HERE, "place", "kinds", "closes").join(states, [*CONV, "place"]).select(*HERE, "kinds", "closes", "first", "last")
     edits = _kept(pieces.drop("keys").join(passed, HERE).mapInArrow(_edit, EDITS), "edits")
     turns_seen = F.sum(F.col("turns") - F.coalesce((F.col("low") == F.col("reached")).cast("long"), F.lit(0)))
