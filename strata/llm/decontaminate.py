@@ -45,6 +45,7 @@ COVERAGE = 0.5
 PASSAGE_TILE, PASSAGE_WORDS = 8, 50
 SHORT_WORDS = 3
 BLOCK_BYTES = 16 << 20
+HITS = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
 PLAIN = re.compile(r"[^\W_]+")
 
@@ -110,10 +111,13 @@ class Items:
         lengths = np.fromiter(map(len, out), np.int64, len(out))
         return spread(codes, offsets, lengths, np.fromiter((i for o in out for i in o), np.int32, int(lengths.sum())))
 
-    def hits(self, offsets: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Equal windows: (document, item, word in the batch, word among the items), by document and item."""
+    def matches(self, offsets: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Maximal matches: (document, item, word in the batch, word among the items, words), by document and item.
+
+        Equal windows of one diagonal are one match, found at its first window.  Windows are compared
+        ``HITS`` at a time, so a word that texts and items repeat takes memory for its diagonals only."""
         n = self.n
-        none = (np.empty(0, np.int64),) * 4
+        none = (np.empty(0, np.int64),) * 5
         if len(ids) < n or not len(self.seeds):
             return none
         good = ids >= 0
@@ -126,37 +130,50 @@ class Items:
         at, doc = at[inside], doc[inside]
         value = window_hashes(ids, at, n)
         lo, hi = np.searchsorted(self.seeds, value, "left"), np.searchsorted(self.seeds, value, "right")
-        times = hi - lo
-        if not times.sum():
-            return none
+        seen = hi > lo
+        at, doc, lo, times = at[seen], doc[seen], lo[seen], (hi - lo)[seen]
+        ends = np.cumsum(times)
+        found, a = [none], 0
+        while a < len(at):
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + HITS, "right")))
+            found.append(self._maximal(offsets, ids, at[a:b], doc[a:b], lo[a:b], times[a:b]))
+            a = b
+        doc, item, at, place, length = map(np.concatenate, zip(*found))
+        order = np.lexsort((at, place, item, doc))
+        return doc[order], item[order], at[order], place[order], length[order]
+
+    def _maximal(self, offsets: np.ndarray, ids: np.ndarray, at: np.ndarray, doc: np.ndarray, lo: np.ndarray,
+                 times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The matches that begin at the given windows, each with ``times`` seeds from ``lo`` on."""
         at, doc, lo = (np.repeat(x, times) for x in (at, doc, lo))
-        seed = lo + np.arange(len(lo)) - np.repeat(np.concatenate([[0], np.cumsum(times)[:-1]]), times)
+        seed = lo + np.arange(len(lo)) - np.repeat(np.cumsum(times) - times, times)
         item, place = self.seed_item[seed], self.seed_at[seed]
+        begins = (at == offsets[doc]) | (place == self.starts[item]) | (ids[at - 1] != self.ids[place - 1])
+        at, doc, item, place = at[begins], doc[begins], item[begins], place[begins]
         same = np.ones(len(at), bool)
-        for k in range(n):
+        for k in range(self.n):
             same &= ids[at + k] == self.ids[place + k]
-        doc, item, at, place = doc[same], item[same], at[same], place[same]
-        order = np.lexsort((at, place - at, item, doc))
-        return doc[order], item[order], at[order], place[order]
-
-
-def tile(at: np.ndarray, place: np.ndarray, n: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles (document word, item word, length) from equal ``n``-word
-    windows, sorted by diagonal and document word."""
-    new = np.ones(len(at), bool)
-    new[1:] = (np.diff(at) != 1) | (np.diff(place) != 1)
-    first = np.flatnonzero(new)
-    length = np.diff(np.append(first, len(at))) + n - 1
-    heap = [(-int(k), int(place[f]), int(at[f])) for f, k in zip(first, length)]
+        at, doc, item, place = at[same], doc[same], item[same], place[same]
+        room = np.minimum(offsets[doc + 1] - at, self.starts[item + 1] - place)
+        length, more = np.full(len(at), self.n), np.arange(len(at))
+        while len(more := more[length[more] < room[more]]) and len(more := more[ids[(at + length)[more]] == self.ids[(place + length)[more]]]):
+            length[more] += 1
+        return doc, item, at, place, length
+
+
+def tile(at: np.ndarray, place: np.ndarray, length: np.ndarray, n: int) -> list[tuple[int, int, int]]:
+    """Greedy tiles (document word, item word, words) of at least ``n`` words from
+    all maximal matches of a document and an item."""
+    heap = [(-int(k), int(j), int(i)) for i, j, k in zip(at, place, length)]
     heapq.heapify(heap)
     marked_doc: set[int] = set()
-    marked_item: set[int] = set()
-    tiles = []
-    while heap:
+    marked_item = bytearray(int((place + length).max(initial=0)))
+    room, tiles = bytes(n), []
+    while heap and room in marked_item:  # no tile fits where fewer than n words in a row are unmarked
         k, j, i = heapq.heappop(heap)
         free, begin = [], None
         for x in range(-k + 1):
-            open_ = x < -k and i + x not in marked_doc and j + x not in marked_item
+            open_ = x < -k and i + x not in marked_doc and not marked_item[j + x]
             if open_ and begin is None:
                 begin = x
             elif not open_ and begin is not None:
@@ -164,7 +181,7 @@ def tile(at: np.ndarray, place: np.ndarray, n: int) -> list[tuple[int, int, int]
                 begin = None
         if free == [(0, -k)]:
             marked_doc.update(range(i, i - k))
-            marked_item.update(range(j, j - k))
+            marked_item[j:j - k] = b"\1" * -k
             tiles.append((i, j, -k))
         else:
             for a, b in free:
@@ -187,7 +204,7 @@ def _matches(items: Items, batch: pa.RecordBatch, text: str, coverage: float) ->
     offsets, ids = items.word_ids(texts_of(batch.column(text)))
     for d, item_id, first, n in items.short_hits(offsets, ids):
         yield d, item_id, n, [(first, 0, n)], n
-    doc, item, at, place = items.hits(offsets, ids)
+    doc, item, at, place, length = items.matches(offsets, ids)
     if not len(doc):
         return
     pair = np.flatnonzero(np.append(True, (np.diff(doc) != 0) | (np.diff(item) != 0)))
@@ -196,12 +213,11 @@ def _matches(items: Items, batch: pa.RecordBatch, text: str, coverage: float) ->
         need = coverage * size - 1e-9
         least = min(need, PASSAGE_WORDS)
         reach = np.zeros(size + 1, np.int64)  # words that any match covers: no tiling can cover more
-        spots = np.unique(place[a:b] - start)
-        reach[spots] += 1
-        np.subtract.at(reach, np.minimum(spots + items.n, size), 1)
+        np.add.at(reach, place[a:b] - start, 1)
+        np.subtract.at(reach, place[a:b] - start + length[a:b], 1)
         if np.count_nonzero(np.cumsum(reach)[:size]) < least:
             continue
-        tiles = tile(at[a:b] - offsets[doc[a]], place[a:b] - start, items.n)
+        tiles = tile(at[a:b] - offsets[doc[a]], place[a:b] - start, length[a:b], items.n)
         covered = sum(k for _, _, k in tiles)
         if covered >= need or sum(k for _, _, k in tiles if k >= PASSAGE_TILE) >= PASSAGE_WORDS:
             yield int(doc[a]), items.item_ids[int(item[a])], size, tiles, covered

@@ -45,13 +45,35 @@ def test_tiling_is_greedy():
         doc = [rng.choice("abcdx") for _ in range(rng.randint(5, 30))] + item[5:12] + ["x"] + item[:6]
         items = decontaminate.Items(((1, " ".join(item)),), 3)
         offsets, ids = items.word_ids(pa.array([" ".join(doc)]))
-        d, _, at, place = items.hits(offsets, ids)
-        got = decontaminate.tile(at, place, 3) if len(d) else []
+        _, _, at, place, length = items.matches(offsets, ids)
+        got = decontaminate.tile(at, place, length, 3)
         assert sum(k for _, _, k in got) == sum(k for _, _, k in brute_tiles(doc, item, 3))
         assert all(doc[i:i + k] == item[j:j + k] for i, j, k in got)
         assert len({j + x for _, j, k in got for x in range(k)}) == sum(k for _, _, k in got)
 
 
+def test_repeated_words_take_memory_for_their_diagonals_only(monkeypatch):
+    rng = random.Random(7)
+    for hits in (1 << 18, 3):
+        monkeypatch.setattr(decontaminate, "HITS", hits)
+        for _ in range(60):  # a few words often: many places on both sides
+            item = [rng.choice("aab") for _ in range(rng.randint(4, 20))]
+            docs = [[rng.choice("aaabx") for _ in range(rng.randint(0, 40))] for _ in range(3)]
+            items = decontaminate.Items(((1, " ".join(item)),), 4)
+            offsets, ids = items.word_ids(pa.array([" ".join(d) for d in docs]))
+            doc, _, at, place, length = items.matches(offsets, ids)
+            for k, words in enumerate(docs):
+                mine = doc == k
+                got = decontaminate.tile(at[mine] - offsets[k], place[mine], length[mine], 4)
+                assert sum(x for _, _, x in got) == sum(x for _, _, x in brute_tiles(words, item, 4))
+    monkeypatch.undo()
+    items = decontaminate.Items(((1, "buffalo " * 60),), 5)
+    batch = pa.RecordBatch.from_pydict({"text": ["buffalo " * 200_000]})
+    offsets, ids = items.word_ids(batch.column("text"))
+    assert len(items.matches(offsets, ids)[0]) == 200_000 + 60 - 2 * 5 + 1  # one for each diagonal of at least five words
+    assert list(decontaminate._matches(items, batch, "text", 0.5)) == [(0, 1, 60, [(0, 0, 60)], 60)]
+
+
 def test_query_finds_all_whole_items(spark, sf):
     docs = {r["doc_id"]: decontaminate.plain_words(r["text"] or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     items = {r["item_id"]: decontaminate.plain_words(r["text"] or "") for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
