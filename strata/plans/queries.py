@@ -23,7 +23,7 @@ from strata.operators.inspect import preview
 from strata.operators.dedup import latest_by, recency
 from strata.plans import incremental
 from strata.plans import oracle as O
-from strata.plans.feeds import feed, feed_sql
+from strata.plans.feeds import FEEDS, feed, feed_sql
 from strata.plans.feeds import read_table as feed_table
 from strata.session import scratch_path
 from strata.sinks.writers import DIRECT_COMMIT, export_csv, write_bucketed, write_table
@@ -434,11 +434,21 @@ _LANDING_SQL = _feed_sql("customers", ", ".join(f"nullif({c}, '') AS {c}" for c
                          + ", ingest_date")
 
 
-def write_landing(df: DataFrame, root: str, entity: str, mode: str = "overwrite") -> None:
-    """Write a feed as landing CSV drops ``<root>/<entity>/ingest_date=<d>/``
+_DROPS = "{entity}/ingest_date=*/part-*"
+
+
+def landing_tasks(spark: SparkSession) -> int:
+    """Tasks that landing drops are dealt over: every slot has days to write, and a large feed is
+    sorted in as many parts as the session's shuffles have, not in one part a slot, however long."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def write_landing(df: DataFrame, root: str, entity: str, mode: str = "overwrite", dealt: bool = False) -> None:
+    """Write a feed as landing CSV drops ``<root>/<entity>/ingest_date=<d>/``, gzipped
     (text kept exactly: no edge trimming).  Rows are dealt over the tasks by load
-    day first, so a load is one file, as a landing zone holds them."""
-    (df.repartition(df.sparkSession.sparkContext.defaultParallelism, "ingest_date").write.mode(mode).option("header", True).option(*DIRECT_COMMIT)
+    day first (unless ``dealt`` already), so a load is one file, as a landing zone holds them, or a file per million rows."""
+    rows = df if dealt else df.repartition(landing_tasks(df.sparkSession), "ingest_date")
+    (rows.write.mode(mode).option("header", True).option(*DIRECT_COMMIT).option("compression", "gzip").option("maxRecordsPerFile", 1_000_000)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .partitionBy("ingest_date").csv(f"{root}/{entity}"))
 
@@ -452,7 +462,7 @@ def q_bronze_roundtrip(spark, sf):
                   "customers")
     for _ in range(2):
         ingest_entity(spark, f"{root}/landing", f"{root}/bronze/customers", "customers",
-                      pattern="{entity}/ingest_date=*/*.csv", cluster=True)
+                      pattern=_DROPS, cluster=True)
     return read_table(spark, f"{root}/bronze/customers").select(*_CUSTOMER_LANDING, "ingest_date")
 
 
@@ -496,7 +506,6 @@ def q_contract_conform(spark, sf):
 # Bronze stamps one ``ingestion_ts`` per load, so inside a load the stamp
 # never decides a tie; any constant stands for it in the oracle.
 _LOAD_STAMP = "TIMESTAMP '2000-01-01 00:00:00'"
-_DROPS = "{entity}/ingest_date=*/*.csv"
 
 
 def _landed(entity: str) -> str:
@@ -508,13 +517,17 @@ def _landed(entity: str) -> str:
 def land_drops(spark: SparkSession, sf: str, root: str, entity: str) -> None:
     """An entity's feed as daily CSV drops; from the middle of the period on
     with a column more in the middle of the header, as real feeds grow."""
-    landed = feed(spark, sf, entity).select(*business_columns(entity), "ingest_date")
     names = business_columns(entity)
-    middle = landed.agg(F.percentile_approx(F.unix_date(F.col("ingest_date").cast("date")), 0.5).alias("d")).first()["d"]
+    days = feed(spark, sf, entity).select("ingest_date")
+    middle = days.agg(F.percentile_approx(F.unix_date(F.col("ingest_date").cast("date")), 0.5).alias("d")).first()["d"]
     late = F.unix_date(F.col("ingest_date").cast("date")) >= middle
-    write_landing(landed.filter(~late), root, entity)
+    # a table sent once has a file per day also if its own columns are dealt, which are half as wide as the texts;
+    # of a table sent twice, each copy would leave one
+    once = FEEDS[entity].copies == 1
+    landed = feed(spark, sf, entity, dealt=landing_tasks(spark) if once else None).select(*names, "ingest_date")
+    write_landing(landed.filter(~late), root, entity, dealt=once)
     grown = landed.filter(late).select(*names[:1], F.lit("v2").alias("feed_version"), *names[1:], "ingest_date")
-    write_landing(grown, root, entity, mode="append")
+    write_landing(grown, root, entity, mode="append", dealt=once)
 
 
 def _end_to_end_lake(spark: SparkSession, sf: str) -> Lake:

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 DIRECT_COMMIT = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
+# layer tables are mostly text and near-unique keys, which snappy hardly shrinks
+CODEC = ("compression", "zstd")
+# landing bytes (perhaps compressed) for one task of a backfill that is dealt by day
+TASK_BYTES = 32 << 20
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -16,10 +20,10 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     ``cluster_by``).  Partitions that ``df`` doesn't have go too, whatever
     the session's overwrite mode."""
     if partition_by:
-        (cluster_by(df, *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (cluster_by(df, *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static").option(*CODEC)
          .partitionBy(*partition_by).parquet(path))
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option(*CODEC).parquet(path)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -64,13 +68,20 @@ def cluster_by(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def spread_days(df: DataFrame, sizes: Mapping[str, int], day_col: str = "ingest_date", tasks: int | None = None) -> DataFrame:
-    """Pack many days of known bytes into ``tasks`` (default: the cluster's slots) for a partitioned write.
+    """Pack many days of known bytes into ``tasks`` (default: the cluster's slots, more for a load of
+    more than ``TASK_BYTES`` a slot, so that no task's sort outgrows its memory) for a partitioned write.
 
     A backfill of thousands of small days costs a file each, not their bytes, so the
     days are dealt over all tasks (``cluster_by`` goes by bytes and would leave
     them to one).  A day above a task's even share is split over as many tasks as shares it holds."""
-    tasks = max(1, min(tasks or df.sparkSession.sparkContext.defaultParallelism, len(sizes)))
-    share = max(1, -(-sum(sizes.values()) // tasks))
+    total = sum(sizes.values())
+    if tasks is None:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        tasks = max(min(slots, len(sizes)), -(-total // TASK_BYTES))
+    else:
+        tasks = min(tasks, len(sizes))
+    tasks = max(1, tasks)
+    share = max(1, -(-total // tasks))
     parts = {day: min(tasks, -(-size // share)) for day, size in sizes.items() if size > share}
     part = F.lit(0).cast("long")
     for n in sorted(set(parts.values())):
@@ -97,7 +108,7 @@ def write_days(df: DataFrame, path: str, day_col: str = "ingest_date", cluster:
     out = df
     if cluster:
         out = spread_days(df, sizes, day_col) if sizes else cluster_by(df, day_col)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(*DIRECT_COMMIT)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(*DIRECT_COMMIT).option(*CODEC)
      .partitionBy(day_col).parquet(path))
 
 

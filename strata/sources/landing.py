@@ -16,7 +16,7 @@ a mismatch.
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,7 @@ from strata.sources.tables import read_table
 
 DEFAULT_PATTERN = "ingest_date=*/{entity}.csv"
 CORRUPT = "_corrupt_record"
+FILE_BYTES = 8 << 20
 
 
 def lineage(df: DataFrame, ingestion_ts: Column | None = None) -> DataFrame:
@@ -109,16 +110,17 @@ def header_drift(spark: SparkSession, root: str, entity: str, expected: Sequence
     return headers.select("ingest_date", names.alias("names")).select("ingest_date", F.explode(changes).alias("c")).select("ingest_date", "c.*").distinct()
 
 
-def _groups(spark: SparkSession, glob: str, base: str, delimiter: str) -> tuple[dict[tuple[str, ...], list[str]], dict[str, int]]:
-    """Paths to read by header, and the bytes of each day.  Only days and their distinct headers reach
-    the driver; single files only for days that mix several headers."""
+def _groups(spark: SparkSession, glob: str, base: str, delimiter: str) -> tuple[dict[tuple[str, ...], list[str]], dict[str, int], int]:
+    """Paths to read by header, the bytes of each day, and the number of files.  Only days and their distinct
+    headers reach the driver; single files only for days that mix several headers."""
     found = file_headers(spark, glob, base)
-    days = found.groupBy("ingest_date").agg(F.collect_set("header").alias("headers"), F.sum("size").alias("size")).collect()
+    days = found.groupBy("ingest_date").agg(F.collect_set("header").alias("headers"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("files")).collect()
+    files = sum(r["files"] for r in days)
     sizes = {str(r["ingest_date"]): r["size"] for r in days}
     named = {r["ingest_date"]: {header_names(h, delimiter) for h in r["headers"]} for r in days}
     headers = {h for hs in named.values() for h in hs}
     if len(headers) == 1:
-        return {headers.pop(): [glob]}, sizes
+        return {headers.pop(): [glob]}, sizes, files
     groups: dict[tuple[str, ...], list[str]] = {}
     pure: dict[tuple[str, ...], list[str]] = {}
     for day, hs in named.items():
@@ -130,7 +132,7 @@ def _groups(spark: SparkSession, glob: str, base: str, delimiter: str) -> tuple[
     if mixed:
         for r in found.filter(F.col("ingest_date").isin(mixed)).select("file", "header").collect():
             groups.setdefault(header_names(r["header"], delimiter), []).append(r["file"])
-    return groups, sizes
+    return groups, sizes, files
 
 
 def _for_days(glob: str, days: Sequence[str]) -> str:
@@ -162,8 +164,8 @@ def read_landing(
 
 
 def _read(spark: SparkSession, root: str, entity: str, columns: Sequence[str] | None, pattern: str, delimiter: str, by_header: bool,
-          days: Sequence[str] | None, keep_corrupt: bool) -> tuple[DataFrame, dict[str, int]]:
-    """``read_landing`` and, as far as the header scan tells, the bytes of each day."""
+          days: Sequence[str] | None, keep_corrupt: bool) -> tuple[DataFrame, dict[str, int], int]:
+    """``read_landing`` and, as far as the header scan tells, the bytes of each day and the number of files."""
     root = root.rstrip("/")
     glob = f"{root}/{pattern.format(entity=entity)}"
     if days:
@@ -174,18 +176,24 @@ def _read(spark: SparkSession, root: str, entity: str, columns: Sequence[str] |
         return all_text([*names, *([CORRUPT] if keep_corrupt else [])]).add(StructField("ingest_date", DateType(), True))
 
     if by_header:
-        groups, sizes = _groups(spark, glob, base, delimiter)
+        groups, sizes, files = _groups(spark, glob, base, delimiter)
         if not groups:
             raise FileNotFoundError(glob)
         out = None
         for header, paths in groups.items():
             frame = _with_source(_reader(spark, base, delimiter).schema(schema_of(header)).csv(paths))
             out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
-        return out, sizes
+        return out, sizes, files
     reader = _reader(spark, base, delimiter).option("enforceSchema", False)
     if columns is None:
         columns = [f.name for f in reader.option("inferSchema", False).csv(glob).schema.fields if f.name != "ingest_date"]
-    return _with_source(reader.schema(schema_of(columns)).csv(glob)), {}
+    return _with_source(reader.schema(schema_of(columns)).csv(glob)), {}, 0
+
+
+def gathered(sizes: Mapping[str, int], files: int) -> bool:
+    """Whether landing files hold whole days, or large parts of them, so that writing a file
+    for each as it is read leaves a day in few files: up to two a day, and one per ``FILE_BYTES``."""
+    return 0 < files <= 2 * len(sizes) + sum(sizes.values()) // FILE_BYTES
 
 
 def ingest_entity(
@@ -204,13 +212,16 @@ def ingest_entity(
 
     Only the days carried are replaced; with ``days`` only those folders are
     listed and read, and each of them is replaced even if it has no rows any
-    more.  Running it twice leaves one copy."""
-    df, sizes = _read(spark, landing_root, entity, columns, pattern, ",", by_header, days, keep_corrupt)
+    more.  Running it twice leaves one copy.
+
+    ``cluster`` gathers each day of a backfill before the write, unless its files hold
+    whole days as they are (see ``gathered``): those are written as they are read, without an exchange."""
+    df, sizes, files = _read(spark, landing_root, entity, columns, pattern, ",", by_header, days, keep_corrupt)
     if days:
         df = df.filter(F.col("ingest_date").isin([F.lit(d).cast("date") for d in days]))
     seen = Observation()
     out = lineage(df).observe(seen, F.collect_set(F.col("ingest_date").cast("string")).alias("days"))
-    write_days(out, bronze_path, cluster=cluster, sizes=sizes)
+    write_days(out, bronze_path, cluster=cluster and not gathered(sizes, files), sizes=sizes)
     if days:
         clear_days(spark, bronze_path, sorted(set(days) - set(seen.get["days"])))
     return read_table(spark, bronze_path)

@@ -148,3 +148,47 @@ def test_small_days_are_dealt_over_tasks_and_a_large_day_is_split(spark, tmp_pat
     assert len(parts) == 6 and max(r["n"] for r in parts) < 1100 and min(r["days"] for r in parts) > 1
     write_days(rows, str(tmp_path / "b"), cluster=True, sizes=sizes)
     assert sorted(map(tuple, read_table(spark, str(tmp_path / "b")).select("id", "ingest_date").collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_whole_day_files_load_without_an_exchange(spark, tmp_path, monkeypatch):
+    from strata.sources import landing
+
+    seen = []
+    write = landing.write_days
+    monkeypatch.setattr(landing, "write_days", lambda df, path, cluster=False, **kw: (seen.append(cluster), write(df, path, cluster=cluster, **kw)))
+    for n, name in ((1, "whole"), (9, "scattered")):
+        for day in ("2025-12-01", "2025-12-02"):
+            folder = tmp_path / name / f"ingest_date={day}" / "orders.csv"
+            folder.mkdir(parents=True)
+            for i in range(n):
+                (folder / f"part-{i}.csv").write_text(f"order_id,status\nO{day}-{i},new\n")
+        table = landing.ingest_entity(spark, str(tmp_path / name), str(tmp_path / f"bronze-{name}"), "orders", pattern="ingest_date=*/{entity}.csv/part-*", cluster=True)
+        assert table.count() == 2 * n
+    assert seen == [False, True]
+    assert landing.gathered({"a": 5 * landing.FILE_BYTES}, 7) and not landing.gathered({"a": 5 * landing.FILE_BYTES}, 8) and not landing.gathered({}, 0)
+
+
+def test_a_large_backfill_is_dealt_over_more_tasks_than_slots(spark):
+    from strata.sinks.writers import TASK_BYTES
+
+    rows = spark.range(10).selectExpr("id", "DATE '2025-01-01' AS ingest_date")
+    slots = spark.sparkContext.defaultParallelism
+    assert spread_days(rows, {"2025-01-01": 10 * slots * TASK_BYTES}).rdd.getNumPartitions() == 10 * slots
+    assert spread_days(rows, {"2025-01-01": 100}).rdd.getNumPartitions() == 1
+
+
+def test_landing_rows_are_dealt_before_their_texts_are_made(spark, tmp_path):
+    from strata.plans.feeds import feed
+    from strata.plans.queries import land_drops
+
+    (spark.range(300).selectExpr("id AS l_orderkey", "id % 7 AS l_partkey", "id % 5 AS l_suppkey", "CAST(id % 4 AS INT) AS l_linenumber", "CAST(id AS DOUBLE) AS l_quantity", "id / 4 AS l_extendedprice",
+                                 "0.05D AS l_discount", "0.01D AS l_tax", "IF(id % 50 = 0, NULL, timestamp_ntz '1995-01-01' + make_dt_interval(CAST(id % 9 AS INT))) AS l_shipdate")
+     .write.parquet(str(tmp_path / "lineitem.parquet")))
+    dealt = feed(spark, str(tmp_path), "shipments", dealt=5)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(dealt) == rows(feed(spark, str(tmp_path), "shipments"))
+    exchange = [line for line in dealt._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in line]
+    assert exchange and all("l_shipdate" in line for line in exchange)
+    land_drops(spark, str(tmp_path), str(tmp_path / "in"), "shipments")
+    files = glob.glob(str(tmp_path / "in" / "shipments" / "ingest_date=1995*" / "part-*"))
+    assert len(files) == 9 and all(f.endswith(".csv.gz") for f in files)
