@@ -1,13 +1,13 @@
 """Incremental silver and gold: a load's days change some keys; only those are worked out again.
 
-``changed_keys`` finds the keys that a load can change: those of its bronze
-rows, and those whose current silver row comes from a day it replaced (the day
-may hold that row no longer).  ``merge_silver`` reads these keys' whole history
-from bronze again, as an older row may win now, and keeps every other silver row as
-it is.  ``merge_gold_items`` and ``merge_fact_orders`` carry the changed keys on:
-an order is worked out again if its own row, any of its lines or its shipment
-changed.  Every merge is an anti join and a semi join on keys, so its shuffle
-grows with what changed; the result equals a full run.
+A silver row is the newest row of its key, so it stands for the key's bronze rows of all days that a
+load leaves alone, unless it came from a day that the load replaced (the day may hold it no longer).
+``silver_again`` works out the load's own rows, with the other days' history of those ``withdrawn_keys``
+only, and ``put_newer`` settles the result against the rows that stay, by load day.
+``changed_keys`` finds the keys that a load can change, for what follows from silver: an order is worked out
+again by ``merge_fact_orders`` if its own row, any of its lines or its shipment changed; the item
+fact is silver's rows one by one, so it follows them without a join.  Every merge is an anti join and a semi
+join on keys, so its shuffle grows with what changed; the result equals a full run.
 
 ``run_days`` does it on a lake: bronze days, then silver, then gold, each table
 written whole beside the old one and then put in its place.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from strata.operators import gold
 from strata.plans.pipeline import SILVER_PARTITIONS, SILVER_STAGES, Lake, run_bronze
 from strata.session import scratch_path
-from strata.sinks.writers import replace_table
+from strata.sinks.writers import replace_table, write_table
 from strata.sources.landing import DEFAULT_PATTERN
 from strata.sources.tables import read_if_exists, read_table
 
@@ -41,8 +41,17 @@ KEYS: dict[str, tuple[str, ...]] = {
 
 def of_days(df: DataFrame, days: Sequence[str], day_col: str = "ingest_date") -> DataFrame:
     """Rows of these days (ISO dates): one ``IN`` of literals, which prunes a table partitioned by day."""
+    return df.filter(_in_days(days, day_col)) if days else df.limit(0)
+
+
+def other_days(df: DataFrame, days: Sequence[str], day_col: str = "ingest_date") -> DataFrame:
+    """Rows of all other days, and of none."""
+    return df.filter(f"NOT coalesce({_in_days(days, day_col)}, false)") if days else df
+
+
+def _in_days(days: Sequence[str], day_col: str) -> str:
     literals = ", ".join(f"DATE'{date.fromisoformat(d)}'" for d in days)
-    return df.filter(f"try_cast({day_col} AS date) IN ({literals})") if days else df.limit(0)
+    return f"try_cast({day_col} AS date) IN ({literals})"
 
 
 def changed_keys(bronze: DataFrame, current: DataFrame | None, keys: Sequence[str], days: Sequence[str]) -> DataFrame:
@@ -60,22 +69,43 @@ def put_in(current: DataFrame | None, changed: DataFrame, again: DataFrame, keys
     return current.join(changed, list(keys), "left_anti").select(*again.columns).unionByName(again)
 
 
-def merge_silver(entity: str, bronze: DataFrame, current: DataFrame | None, changed: DataFrame, **options) -> DataFrame:
-    """The silver table after a load: ``changed`` keys from their whole bronze history, all others as they are."""
-    keys = KEYS[entity]
-    history = bronze.join(changed, list(keys), "left_semi")
-    return put_in(current, changed, SILVER_STAGES[entity](history, **options), keys)
+def withdrawn_keys(current: DataFrame, keys: Sequence[str], days: Sequence[str]) -> DataFrame:
+    """Keys whose silver row came from one of ``days``: their other rows have to be looked at again."""
+    return of_days(current, days).select(*keys)
+
+
+def silver_again(entity: str, bronze: DataFrame, days: Sequence[str], unsettled: DataFrame | None, **options) -> DataFrame:
+    """Silver rows of the load's own rows, and of the ``unsettled`` keys' rows of all other days."""
+    rows = of_days(bronze, days)
+    if unsettled is not None:
+        rows = rows.unionByName(other_days(bronze, days).join(unsettled, list(KEYS[entity]), "left_semi"))
+    return SILVER_STAGES[entity](rows, **options)
+
+
+def put_newer(settled: DataFrame, again: DataFrame, keys: Sequence[str], days: Sequence[str], day_col: str = "ingest_date") -> DataFrame:
+    """``settled`` silver rows (none from ``days``) with those of ``again`` put in; of a key that both have, the later day's.
+
+    The two never share a day, and a missing day is the earliest.  Only settled rows later than
+    the load's first day can stay, so a load of the newest days looks for none."""
+    late = settled.filter(F.col(day_col) > F.lit(date.fromisoformat(min(days)))) if days else settled.limit(0)
+    if not late.isEmpty():
+        loaded = again.select(*keys, F.col(day_col).alias("__loaded"))
+        stay = late.select(*keys, day_col).join(loaded, list(keys)).filter(F.col(day_col) > F.col("__loaded")).select(*keys)
+        again = again.join(stay, list(keys), "left_anti")
+    return put_in(settled, again.select(*keys), again, keys)
 
 
-def merge_gold_items(items: DataFrame, current: DataFrame | None, changed: DataFrame) -> DataFrame:
-    """The item fact after a load, from silver ``items`` and the changed (order, product) keys."""
-    keys = KEYS["order_items"]
-    return put_in(current, changed, gold.fact_order_items(items.join(changed, list(keys), "left_semi")), keys)
+def merge_gold_items(items: DataFrame) -> DataFrame:
+    """The item fact after a load: silver ``items`` row by row, so no key has to be looked up in the old one."""
+    return gold.fact_order_items(items)
 
 
-def changed_orders(changed: dict[str, DataFrame]) -> DataFrame:
-    """Distinct order ids that a change of orders, their lines or their shipments reaches."""
-    ids = [changed[e].select("order_id") for e in ("orders", "order_items", "shipments") if e in changed]
+def changed_orders(loads: dict[str, tuple[DataFrame, DataFrame | None]], days: Sequence[str]) -> DataFrame:
+    """Distinct order ids that a load of orders, their lines or their shipments reaches; ``loads``: bronze and silver by entity."""
+    ids = []
+    for entity in ("orders", "order_items", "shipments"):
+        if entity in loads:
+            ids += [of_days(df, days).dropna(subset=list(KEYS[entity])).select(F.col("order_id").cast("string").alias("order_id")) for df in loads[entity] if df is not None]
     return reduce(DataFrame.unionByName, ids).distinct()
 
 
@@ -97,19 +127,34 @@ def run_days(spark: SparkSession, landing: str, lake: Lake, days: Sequence[str],
 def refresh(spark: SparkSession, lake: Lake, days: Sequence[str], entities: Sequence[str] = tuple(KEYS), silver_options: dict[str, dict] | None = None,
             fact_options: dict | None = None) -> Lake:
     """Silver and gold of a lake whose bronze ``days`` were loaded or replaced."""
-    changed: dict[str, DataFrame] = {}
-    for entity in entities:
-        path = lake.path("silver", entity)
-        bronze, current = read_table(spark, lake.path("bronze", entity)), read_if_exists(spark, path, merge_schema=False)
-        # written first: silver is about to be replaced, and gold needs the keys too
-        keys = scratch_path(spark, f"changed-{entity}")
-        changed_keys(bronze, current, KEYS[entity], days).write.parquet(keys)
-        changed[entity] = spark.read.schema(", ".join(f"{k} string" for k in KEYS[entity])).parquet(keys)
-        replace_table(merge_silver(entity, bronze, current, changed[entity], **(silver_options or {}).get(entity, {})), path, SILVER_PARTITIONS.get(entity, ()))
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        # written first: the tables it was worked out from are about to be replaced
+        path = scratch_path(spark, name)
+        write_table(df, path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def table(layer: str, name: str) -> DataFrame | None:
+        return read_if_exists(spark, lake.path(layer, name), merge_schema=False)
+
+    loads = {e: (read_table(spark, lake.path("bronze", e)), table("silver", e)) for e in entities}
+    facts = (bool(set(loads) & {"orders", "order_items", "shipments"}) and ("orders" in loads or table("silver", "orders") is not None)
+             and ("order_items" in loads or table("gold", "fact_order_items") is not None))
+    reached = kept(changed_orders(loads, days), "changed-orders") if facts else None
+    changed = {e: kept(changed_keys(*loads[e], KEYS[e], days), f"changed-{e}") for e in ("customers", "products") if e in loads}
+    for entity, (bronze, current) in loads.items():
+        path, keys, options = lake.path("silver", entity), KEYS[entity], (silver_options or {}).get(entity, {})
+        # without a silver table, no row of another day is settled; nor is one to be looked at if there is none
+        unsettled = changed_keys(bronze, None, keys, days) if current is None else withdrawn_keys(current, keys, days)
+        if unsettled.isEmpty() or other_days(bronze, days).isEmpty():
+            unsettled = None
+        again = silver_again(entity, bronze, days, unsettled, **options)
+        if current is not None:
+            again = put_newer(other_days(current, days), kept(again, f"again-{entity}"), keys, days)
+        replace_table(again, path, SILVER_PARTITIONS.get(entity, ()))
         lake.written[f"silver/{entity}"] = path
 
     def silver(name: str) -> DataFrame | None:
-        return read_if_exists(spark, lake.path("silver", name), merge_schema=False)
+        return table("silver", name)
 
     def publish(df: DataFrame, name: str) -> None:
         replace_table(df, lake.path("gold", name))
@@ -119,11 +164,9 @@ def refresh(spark: SparkSession, lake: Lake, days: Sequence[str], entities: Sequ
     for entity, name, build in (("customers", "dim_customers", gold.dim_customers), ("products", "dim_products", gold.dim_products)):
         if entity in changed:
             again = build(silver(entity).join(changed[entity], list(KEYS[entity]), "left_semi"))
-            publish(put_in(read_if_exists(spark, lake.path("gold", name), merge_schema=False), changed[entity], again, KEYS[entity]), name)
-    if "order_items" in changed:
-        publish(merge_gold_items(silver("order_items"), read_if_exists(spark, lake.path("gold", "fact_order_items"), merge_schema=False), changed["order_items"]), "fact_order_items")
-    orders, items = silver("orders"), read_if_exists(spark, lake.path("gold", "fact_order_items"), merge_schema=False)
-    if orders is not None and items is not None and set(changed) & {"orders", "order_items", "shipments"}:
-        current = read_if_exists(spark, lake.path("gold", "fact_orders"), merge_schema=False)
-        publish(merge_fact_orders(orders, items, silver("shipments"), current, changed_orders(changed), **(fact_options or {})), "fact_orders")
+            publish(put_in(table("gold", name), changed[entity], again, KEYS[entity]), name)
+    if "order_items" in loads:
+        publish(merge_gold_items(silver("order_items")), "fact_order_items")
+    if reached is not None:
+        publish(merge_fact_orders(silver("orders"), table("gold", "fact_order_items"), silver("shipments"), table("gold", "fact_orders"), reached, **(fact_options or {})), "fact_orders")
     return lake

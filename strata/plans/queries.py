@@ -26,7 +26,7 @@ from strata.plans import oracle as O
 from strata.plans.feeds import FEEDS, feed, feed_sql
 from strata.plans.feeds import read_table as feed_table
 from strata.session import scratch_path
-from strata.sinks.writers import DIRECT_COMMIT, export_csv, write_bucketed, write_table
+from strata.sinks.writers import CODEC, DIRECT_COMMIT, export_csv, write_bucketed, write_table
 from strata.plans.pipeline import Lake, fan_out, run_bronze, run_gold, run_pipeline, run_silver, run_silver_observed
 from strata.sources.contracts import CONTRACTS, all_text, business_columns, conform, write_conformed
 from strata.sources.landing import header_drift, ingest_audit, ingest_entity, lineage_audit
@@ -693,8 +693,9 @@ def _loads(bronze: DataFrame, n: int) -> list[list[str]]:
     return [days[i:i + size] for i in range(0, len(days), size)]
 
 
-def _bronze(spark, lake: Lake, entity: str, rows: DataFrame) -> None:
-    write_table(rows, lake.path("bronze", entity))
+def _bronze(spark, lake: Lake, entity: str, rows: DataFrame, mode: str = "overwrite") -> None:
+    """Bronze rows, or more of them, in files of so few rows that a task, which reads files by bytes, has room to sort its own."""
+    rows.write.mode(mode).option(*CODEC).option("maxRecordsPerFile", 250_000).parquet(lake.path("bronze", entity))
 
 
 @register("silver_orders_incremental", ORACLE["silver_orders"])
@@ -707,10 +708,8 @@ def q_silver_orders_incremental(spark, sf):
                                                               "status": F.lit("wrong"), "total_amount": F.lit("1.00")})
     _bronze(spark, lake, "orders", wrong)
     incremental.refresh(spark, lake, first, ["orders"])
-    seen: list[str] = []
     for days in (first, *rest):
-        seen += days
-        _bronze(spark, lake, "orders", incremental.of_days(all_rows, seen))
+        _bronze(spark, lake, "orders", incremental.of_days(all_rows, days), "overwrite" if days is first else "append")
         incremental.refresh(spark, lake, days, ["orders"])
     return read_table(spark, lake.path("silver", "orders"), merge_schema=False)
 
@@ -727,7 +726,7 @@ def q_fact_orders_incremental(spark, sf):
         _bronze(spark, lake, entity, rows if entity == "orders" else incremental.of_days(rows, early))
     incremental.refresh(spark, lake, sorted({*orders_days, *early}), list(feeds))
     for entity in ("order_items", "shipments"):
-        _bronze(spark, lake, entity, feeds[entity])
+        _bronze(spark, lake, entity, incremental.of_days(feeds[entity], late), "append")
     incremental.refresh(spark, lake, late, ["order_items", "shipments"])
     return read_table(spark, lake.path("gold", "fact_orders"), merge_schema=False)
 
