@@ -6,9 +6,13 @@ load leaves alone, unless it came from a day that the load replaced (the day may
 only, and ``put_newer`` settles the result against the rows that stay, by load day.
 ``changed_keys`` finds the keys that a load can change, for what follows from silver: an order is worked out
 again by ``merge_fact_orders`` if its own row, any of its lines or its shipment changed; the item
-fact is silver's rows one by one, so it follows them without a join.  Every merge is an anti join and a semi
+fact is silver's rows one by one, so it follows them without a join.  Every merge of a dimension is an anti join and a semi
 join on keys, so its shuffle grows with what changed; the result equals a full run.
 
+The tables that grow with the orders are ``BUCKETED`` by their keys.  A load's rows are dealt by key once, for their newest
+row; what they are then settled against (``settle``), summed up to or joined with lies in the same buckets, so no stored row is
+sent again except the reached orders' lines, which the order fact sums by order.
+
 ``run_days`` does it on a lake: bronze days, then silver, then gold, each table
 written whole beside the old one and then put in its place.
 """
@@ -25,9 +29,9 @@ from pyspark.sql import functions as F
 from strata.operators import gold
 from strata.plans.pipeline import SILVER_PARTITIONS, SILVER_STAGES, Lake, run_bronze
 from strata.session import scratch_path
-from strata.sinks.writers import replace_table, write_table
+from strata.sinks.writers import replace_bucketed, replace_table, write_table
 from strata.sources.landing import DEFAULT_PATTERN
-from strata.sources.tables import read_if_exists, read_table
+from strata.sources.tables import read_bucketed, read_if_exists, read_table
 
 # keys of the silver tables
 KEYS: dict[str, tuple[str, ...]] = {
@@ -37,6 +41,13 @@ KEYS: dict[str, tuple[str, ...]] = {
     "order_items": ("order_id", "product_id"),
     "shipments": ("order_id",),
 }
+# tables kept in buckets, and by which columns
+BUCKETED: dict[tuple[str, str], tuple[str, ...]] = {
+    ("silver", "orders"): KEYS["orders"],
+    ("silver", "order_items"): KEYS["order_items"],
+    ("silver", "shipments"): KEYS["shipments"],
+    ("gold", "fact_orders"): ("order_id",),
+}
 
 
 def of_days(df: DataFrame, days: Sequence[str], day_col: str = "ingest_date") -> DataFrame:
@@ -95,13 +106,23 @@ def put_newer(settled: DataFrame, again: DataFrame, keys: Sequence[str], days: S
     return put_in(settled, again.select(*keys), again, keys)
 
 
+def settle(settled: DataFrame, again: DataFrame, keys: Sequence[str], day_col: str = "ingest_date") -> DataFrame:
+    """``put_newer`` side by side, in one pass of a full outer join: for tables in buckets, where neither side is sent for it."""
+    rest = [c for c in again.columns if c not in keys]
+    old, new = (df.select(*keys, F.struct(*rest).alias(name)) for df, name in ((settled, "__old"), (again, "__new")))
+    stays = F.col("__new").isNull() | F.coalesce(F.col(f"__old.{day_col}") > F.col(f"__new.{day_col}"), F.lit(False))
+    row = F.when(stays, F.col("__old")).otherwise(F.col("__new")).alias("__row")
+    return old.join(new, list(keys), "full_outer").select(*keys, row).select(*[c if c in keys else F.col(f"__row.{c}") for c in again.columns])
+
+
 def merge_gold_items(items: DataFrame) -> DataFrame:
     """The item fact after a load: silver ``items`` row by row, so no key has to be looked up in the old one."""
     return gold.fact_order_items(items)
 
 
-def changed_orders(loads: dict[str, tuple[DataFrame, DataFrame | None]], days: Sequence[str]) -> DataFrame:
-    """Distinct order ids that a load of orders, their lines or their shipments reaches; ``loads``: bronze and silver by entity."""
+def changed_orders(loads: dict[str, tuple[DataFrame | None, DataFrame | None]], days: Sequence[str]) -> DataFrame:
+    """Distinct order ids that a load of orders, their lines or their shipments reaches; ``loads``: by entity, tables
+    whose rows of ``days`` name them (silver before and after the load, say)."""
     ids = []
     for entity in ("orders", "order_items", "shipments"):
         if entity in loads:
@@ -109,12 +130,13 @@ def changed_orders(loads: dict[str, tuple[DataFrame, DataFrame | None]], days: S
     return reduce(DataFrame.unionByName, ids).distinct()
 
 
-def merge_fact_orders(orders: DataFrame, items: DataFrame, shipments: DataFrame | None, current: DataFrame | None, reached: DataFrame, **options) -> DataFrame:
-    """The order fact after a load: only the ``reached`` orders are joined and summed again."""
+def merge_fact_orders(orders: DataFrame, items: DataFrame, shipments: DataFrame | None, current: DataFrame | None, reached: DataFrame | None, **options) -> DataFrame:
+    """The order fact after a load: only the ``reached`` orders (None: all of them) are joined and summed again."""
     def of(df: DataFrame | None) -> DataFrame | None:
-        return df if df is None else df.join(reached, "order_id", "left_semi")
+        return df if df is None or reached is None else df.join(reached, "order_id", "left_semi")
 
-    return put_in(current, reached, gold.fact_orders(of(orders), of(items), of(shipments), **options), ["order_id"])
+    again = gold.fact_orders(of(orders), of(items), of(shipments), **options)
+    return again if reached is None else put_in(current, reached, again, ["order_id"])
 
 
 def run_days(spark: SparkSession, landing: str, lake: Lake, days: Sequence[str], entities: Sequence[str] = tuple(KEYS), pattern: str = DEFAULT_PATTERN,
@@ -127,46 +149,63 @@ def run_days(spark: SparkSession, landing: str, lake: Lake, days: Sequence[str],
 def refresh(spark: SparkSession, lake: Lake, days: Sequence[str], entities: Sequence[str] = tuple(KEYS), silver_options: dict[str, dict] | None = None,
             fact_options: dict | None = None) -> Lake:
     """Silver and gold of a lake whose bronze ``days`` were loaded or replaced."""
-    def kept(df: DataFrame, name: str) -> DataFrame:
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))  # as many as the tasks that a load's rows are dealt to
+
+    def kept(df: DataFrame, name: str, keys: Sequence[str] = ()) -> DataFrame:
         # written first: the tables it was worked out from are about to be replaced
         path = scratch_path(spark, name)
+        if keys:
+            replace_bucketed(df, path, keys, buckets)
+            return read_bucketed(spark, path, keys)
         write_table(df, path)
         return spark.read.schema(df.schema).parquet(path)
 
     def table(layer: str, name: str) -> DataFrame | None:
+        if (layer, name) in BUCKETED:
+            return read_bucketed(spark, lake.path(layer, name), BUCKETED[layer, name])
         return read_if_exists(spark, lake.path(layer, name), merge_schema=False)
 
+    def replace(df: DataFrame, layer: str, name: str) -> None:
+        path = lake.path(layer, name)
+        if (layer, name) in BUCKETED:
+            replace_bucketed(df, path, BUCKETED[layer, name], buckets)
+        else:
+            replace_table(df, path, SILVER_PARTITIONS.get(name, ()) if layer == "silver" else ())
+        lake.written[f"{layer}/{name}"] = path
+
     loads = {e: (read_table(spark, lake.path("bronze", e)), table("silver", e)) for e in entities}
-    facts = (bool(set(loads) & {"orders", "order_items", "shipments"}) and ("orders" in loads or table("silver", "orders") is not None)
+    of_orders = [e for e in ("orders", "order_items", "shipments") if e in loads]
+    facts = (bool(of_orders) and ("orders" in loads or table("silver", "orders") is not None)
              and ("order_items" in loads or table("gold", "fact_order_items") is not None))
-    reached = kept(changed_orders(loads, days), "changed-orders") if facts else None
     changed = {e: kept(changed_keys(*loads[e], KEYS[e], days), f"changed-{e}") for e in ("customers", "products") if e in loads}
+    withdrawn: dict[str, DataFrame] = {}
     for entity, (bronze, current) in loads.items():
-        path, keys, options = lake.path("silver", entity), KEYS[entity], (silver_options or {}).get(entity, {})
+        keys, options = KEYS[entity], (silver_options or {}).get(entity, {})
         # without a silver table, no row of another day is settled; nor is one to be looked at if there is none
         unsettled = changed_keys(bronze, None, keys, days) if current is None else withdrawn_keys(current, keys, days)
-        if unsettled.isEmpty() or other_days(bronze, days).isEmpty():
+        if unsettled.isEmpty():
+            unsettled = None
+        elif facts and current is not None and entity in of_orders:
+            withdrawn[entity] = kept(of_days(current, days).select(*keys, "ingest_date"), f"withdrawn-{entity}")
+        if unsettled is not None and other_days(bronze, days).isEmpty():
             unsettled = None
         again = silver_again(entity, bronze, days, unsettled, **options)
-        if current is not None:
+        if current is not None and ("silver", entity) in BUCKETED:
+            again = settle(other_days(current, days), again, keys)
+        elif current is not None:
             again = put_newer(other_days(current, days), kept(again, f"again-{entity}"), keys, days)
-        replace_table(again, path, SILVER_PARTITIONS.get(entity, ()))
-        lake.written[f"silver/{entity}"] = path
-
-    def silver(name: str) -> DataFrame | None:
-        return table("silver", name)
-
-    def publish(df: DataFrame, name: str) -> None:
-        replace_table(df, lake.path("gold", name))
-        lake.written[f"gold/{name}"] = lake.path("gold", name)
+        replace(again, "silver", entity)
 
     # the dimensions have one row per silver row, so they follow silver's keys alike
     for entity, name, build in (("customers", "dim_customers", gold.dim_customers), ("products", "dim_products", gold.dim_products)):
         if entity in changed:
-            again = build(silver(entity).join(changed[entity], list(KEYS[entity]), "left_semi"))
-            publish(put_in(table("gold", name), changed[entity], again, KEYS[entity]), name)
+            again = build(table("silver", entity).join(changed[entity], list(KEYS[entity]), "left_semi"))
+            replace(put_in(table("gold", name), changed[entity], again, KEYS[entity]), "gold", name)
     if "order_items" in loads:
-        publish(merge_gold_items(silver("order_items")), "fact_order_items")
-    if reached is not None:
-        publish(merge_fact_orders(silver("orders"), table("gold", "fact_order_items"), silver("shipments"), table("gold", "fact_orders"), reached, **(fact_options or {})), "fact_orders")
+        replace(merge_gold_items(table("silver", "order_items")), "gold", "fact_order_items")
+    if facts:
+        current = table("gold", "fact_orders")
+        # an order changes with the silver rows that the load put in or took away; without a fact, every order is to be worked out
+        reached = None if current is None else kept(changed_orders({e: (withdrawn.get(e), table("silver", e)) for e in of_orders}, days), "changed-orders", ["order_id"])
+        replace(merge_fact_orders(table("silver", "orders"), table("gold", "fact_order_items"), table("silver", "shipments"), current, reached, **(fact_options or {})), "gold", "fact_orders")
     return lake

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -29,8 +30,36 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """``write_table`` for a frame that may read the table it replaces: the new
     table is written beside the old one, which goes only when it is complete."""
-    spark, path = df.sparkSession, path.rstrip("/")
+    path = path.rstrip("/")
     write_table(df, f"{path}__next", partition_by)
+    _put_in_place(df.sparkSession, path)
+
+
+def replace_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """``replace_table``, the rows hashed into ``buckets`` by ``keys``; a frame that is already
+    dealt by them into as many tasks is written without an exchange, one file per bucket.
+
+    The folder says by its mark how it is bucketed, so ``tables.read_bucketed`` needs no
+    catalog entry of an earlier session; to every other reader it is a plain Parquet table."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    fs, following = _file_system(spark, f"{path}__next")
+    entry = f"strata_{uuid.uuid4().hex}"
+    (df.write.mode("overwrite").format("parquet").option(*CODEC).option("path", fs.makeQualified(following).toString())
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(entry))
+    spark.sql(f"DROP TABLE {entry}")  # an outside table: the files stay
+    if any(f.getPath().getName().startswith("part-") for f in fs.listStatus(following)):
+        fs.create(_file_system(spark, f"{path}__next/{bucket_mark(keys)}{buckets}")[1]).close()
+    else:  # no row, so no bucket has a file to hold the schema
+        write_table(spark.createDataFrame([], df.schema), f"{path}__next")
+    _put_in_place(spark, path)
+
+
+def bucket_mark(keys: Sequence[str]) -> str:
+    """Name, but for the number of buckets, of the hidden file that marks a bucketed folder; a plain overwrite takes it away with the rows."""
+    return f"_buckets-{'+'.join(keys)}-"
+
+
+def _put_in_place(spark: SparkSession, path: str) -> None:
     fs, folder = _file_system(spark, path)
     following = _file_system(spark, f"{path}__next")[1]
     if fs.exists(folder):

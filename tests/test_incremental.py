@@ -8,10 +8,10 @@ from strata.operators import audit, gold
 from strata.operators.dedup import latest_by, latest_with_count, recency
 from strata.plans import incremental
 from strata.plans.pipeline import ENTITIES, GOLD_TABLES, Lake, run_bronze, run_pipeline, run_silver_observed
-from strata.sinks.writers import replace_table, write_bucketed, write_days
+from strata.sinks.writers import replace_bucketed, replace_table, write_bucketed, write_days
 from strata.sources.contracts import CONTRACTS, conform, parse_errors, write_conformed
 from strata.sources.landing import header_drift
-from strata.sources.tables import footer_counts, read_table
+from strata.sources.tables import footer_counts, read_bucketed, read_table
 
 ORDERS = "order_id,customer_id,order_ts,status,payment_method,total_amount,currency\n"
 ITEMS = "order_id,product_id,quantity,unit_price,discount_amount\n"
@@ -178,3 +178,65 @@ def test_a_load_of_new_days_leaves_other_days_rows_alone(spark):
     assert "Join" not in plan and plan.count("Exchange") <= 1
     items = incremental.merge_gold_items(spark.createDataFrame([], cols.replace("quantity string", "quantity int").replace("price string", "price decimal(10,2)").replace("amount string", "amount decimal(10,2)")))
     assert "Exchange" not in items._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_a_load_sends_none_of_the_stored_rows(spark, tmp_path):
+    landing, lake, days = tmp_path / "in", Lake(str(tmp_path / "lake")), ["2025-12-01", "2025-12-02"]
+    for n, day in enumerate(days):
+        land(landing, day, [(f"O{i}", "new", "1.00") for i in range(n, 40)], [(f"O{i}", f"P{i % 7}", 1 + n, "2.00") for i in range(n, 60)], [(f"O{i}", "1.00") for i in range(n, 30)])
+        incremental.run_days(spark, str(landing), lake, [day], ["orders", "order_items", "shipments"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = {e: read_bucketed(spark, lake.path("silver", e), incremental.KEYS[e]) for e in ("orders", "order_items", "shipments")}
+        for entity, silver in stored.items():  # one exchange: the load's rows, for their newest
+            again = incremental.silver_again(entity, read_table(spark, lake.path("bronze", entity)), days[1:], None)
+            assert exchanges(incremental.settle(incremental.other_days(silver, days[1:]), again, incremental.KEYS[entity])) == 1
+        fact, reached = read_bucketed(spark, lake.path("gold", "fact_orders"), ["order_id"]), stored["shipments"].select("order_id")
+        items = read_table(spark, lake.path("gold", "fact_order_items"))
+        assert exchanges(incremental.merge_fact_orders(stored["orders"], items, stored["shipments"], fact, reached)) == 1  # the lines
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    run_pipeline(spark, str(landing), str(tmp_path / "full"), entities=["orders", "order_items", "shipments"], gold_tables=["fact_order_items", "fact_orders"])
+    for layer, name in (*(("silver", e) for e in stored), ("gold", "fact_order_items"), ("gold", "fact_orders")):
+        got, want = (rows_of(read_table(spark, f"{root}/{layer}/{name}"), ["ingestion_ts"]) for root in (lake.root, str(tmp_path / "full")))
+        assert got == want and got, (layer, name)
+
+
+def test_settling_side_by_side_is_by_load_day(spark):
+    frame = lambda *rows: spark.createDataFrame(rows, "k string, v string, d string").selectExpr("k", "v", "CAST(d AS date) AS ingest_date")
+    settled = frame(("A", "old", "2025-12-01"), ("B", "old", "2025-12-03"), ("C", "old", None), ("D", "old", "2025-12-01"), ("E", None, "2025-12-03"))
+    again = frame(("A", "new", "2025-12-02"), ("B", "new", "2025-12-02"), ("C", None, "2025-12-02"), ("E", "new", "2025-12-02"), ("F", "new", "2025-12-02"))
+    for a, b in ((settled, again), (settled, again.limit(0)), (settled.limit(0), again)):
+        got = incremental.settle(a, b, ["k"])
+        assert got.columns == again.columns
+        if a is settled and b is again:
+            assert {r["k"]: r["v"] for r in got.collect()} == {"A": "new", "B": "old", "C": None, "D": "old", "E": None, "F": "new"}
+            assert rows_of(got) == rows_of(incremental.put_newer(settled, again, ["k"], ["2025-12-02"]))
+        else:
+            assert rows_of(got) == rows_of(a.unionByName(b))
+
+
+def test_buckets_are_known_by_the_folder_alone(spark, tmp_path):
+    path = str(tmp_path / "it's here" / "t")
+    rows = spark.range(100).selectExpr("concat('k', id) AS k", "id % 5 AS v")
+    tables = len(spark.catalog.listTables())
+    (tmp_path / "it's here" / "t__next").mkdir(parents=True)
+    (tmp_path / "it's here" / "t__next" / "part-of-a-broken-run").write_text("x")
+    replace_bucketed(rows, path, ["k"], 3)
+    got = read_bucketed(spark, path, ["k"])
+    assert "Exchange" not in got.groupBy("k").agg(F.sum("v"))._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(got) == rows_of(rows) == rows_of(read_table(spark, path))
+    replace_bucketed(got.filter("v = 1"), path, ["k"], 3)  # may read what it replaces
+    assert rows_of(read_bucketed(spark, path, ["k"])) == rows_of(rows.filter("v = 1"))
+    assert rows_of(read_bucketed(spark, path, ["v"])) == rows_of(rows.filter("v = 1"))  # by other columns: a plain table
+    replace_bucketed(rows.limit(0), path, ["k"], 3)
+    assert read_bucketed(spark, path, ["k"]).schema == read_table(spark, path).schema and read_table(spark, path).count() == 0
+    replace_table(rows, path)  # written plainly over it
+    assert "Exchange" in read_bucketed(spark, path, ["k"]).groupBy("k").agg(F.sum("v"))._jdf.queryExecution().executedPlan().toString()
+    assert read_bucketed(spark, str(tmp_path / "none"), ["k"]) is None
+    assert len(spark.catalog.listTables()) == tables
